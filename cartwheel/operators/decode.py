@@ -70,7 +70,7 @@ def validate(df: DataFrame):
     return valid, bad
 
 
-def raw_projection(df: DataFrame, ingested_at=None) -> DataFrame:
+def raw_projection(df: DataFrame, ingested_at=None, extra=()) -> DataFrame:
     """The six stored event fields plus ``ingested_at``."""
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
-    return df.select(*RAW_COLUMNS, stamp.alias("ingested_at"))
+    return df.select(*RAW_COLUMNS, stamp.alias("ingested_at"), *extra)
