@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel import constants as C
+from cartwheel.functions.once import once
 from cartwheel.schemas import EVENT_SCHEMA, RAW_COLUMNS
 
 REQUIRED = ("event_id", "user_id", "product_id", "event_type")
@@ -31,8 +32,9 @@ def decode_events(records: DataFrame, value_col: str = "value", keep=("timestamp
     for name in keep:
         if name in records.columns:
             extra.append(F.col(name).alias("kafka_timestamp" if name == "timestamp" else name))
+    # parsed once per row although validation tests many fields (explode_outer keeps NULL values)
     parsed = records.select(
-        F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA).alias("data"), *extra
+        once(F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA)).alias("data"), *extra
     )
     return parsed.select(
         "data.*",

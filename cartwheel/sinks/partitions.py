@@ -29,8 +29,11 @@ def replace_dates(
 
     Other dates are untouched. Returns the dates that were cleared for lack of rows.
     """
+    # range partitioning on (date, next column): a large date spreads over several tasks and
+    # files, a small one stays in one file
+    spread = [date_col] + [c for c in df.columns if c != date_col][:1]
     (
-        df.repartition(date_col)
+        df.repartitionByRange(*spread)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel import constants as C
+from cartwheel.functions.once import once
 
 _TYPE_MAP = {"click": "view", "signup": "add_to_cart"}
 
@@ -42,12 +43,13 @@ def clickstream_from_events(events: DataFrame) -> DataFrame:
     filters on it reach the Parquet scan; the session time zone is UTC, so the
     instant is the same as a TIMESTAMP.
     """
-    k = _k(F.col("props"))
+    with_k = events.select("event_id", "ts", "user_id", "event_type", once(_k(F.col("props"))).alias("k"))
+    k = F.col("k")
     product_number = (k % C.PRODUCT_COUNT) + 1
     event_type = F.col("event_type")
     for src, dst in _TYPE_MAP.items():
         event_type = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(event_type)
-    return events.select(
+    return with_k.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.lit("USER-"), F.lpad(F.col("user_id").cast("string"), 5, "0")).alias("user_id"),
         product_id_of(product_number).alias("product_id"),
