@@ -257,6 +257,8 @@ BATCH_QUERIES = {
 
 def _wrap(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # days and windows are UTC: the library assumes a UTC session
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return comparable(fn(spark, sf_dir))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__

@@ -49,16 +49,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     as in local tests, a fresh local folder is made and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
+        pass
+    if not root and sc is not None:
+        current = sc._jsc.sc().getCheckpointDir()
+        root = current.get() if current.isDefined() else None
     if not root:
-        root = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = root.get() if root.isDefined() else None
-    if not root:
-        master = spark.sparkContext.master
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
