@@ -103,6 +103,7 @@ def start(
     trigger: dict | None = None,
     aggregate_trigger: dict | None = None,
     validated_windows: bool = False,
+    dedup_within_watermark: bool = False,
 ):
     """Start both queries over a streaming DataFrame of records with a ``value`` column.
 
@@ -110,7 +111,9 @@ def start(
     e.g. ``{"processingTime": "10 seconds"}`` and ``{"processingTime": "30 seconds"}``
     as in production, or ``{"availableNow": True}`` for replay and tests.
     ``validated_windows`` counts only valid events in the windows (off: every decoded
-    event with a time counts, as the raw stream does).
+    event with a time counts, as the raw stream does). ``dedup_within_watermark`` drops
+    repeated ``event_id``s from the window counts while the watermark still holds the
+    first copy (off: windows count redeliveries, only the raw table is unique).
     """
     checkpoint_root(spark)
     paths = JobPaths(out_root)
@@ -127,7 +130,15 @@ def start(
         .start()
     )
     window_input = decode.validate(decoded)[0] if validated_windows else decoded
-    windows = sliding_counts(window_input, settings.window, settings.slide, watermark=settings.watermark)
+    watermark = settings.watermark
+    if dedup_within_watermark:
+        window_input = (
+            window_input.where(F.col("event_time").isNotNull())
+            .withWatermark("event_time", settings.watermark)
+            .dropDuplicatesWithinWatermark(["event_id"])
+        )
+        watermark = None  # already set upstream
+    windows = sliding_counts(window_input, settings.window, settings.slide, watermark=watermark)
     agg_query = (
         windows.writeStream.outputMode("update")
         .foreachBatch(aggregate_batch_writer(spark, paths, settings))

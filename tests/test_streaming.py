@@ -86,3 +86,19 @@ def test_raw_table_keeps_first(spark, run):
     rows = {r.event_id: r for r in raw.collect()}
     assert rows["dup"].event_type == "view"
     assert raw.count() == len(set(e["event_id"] for b in BATCHES for e in b))
+
+
+def test_dedup_within_watermark_option(spark):
+    from cartwheel.session import scratch_path
+
+    root = scratch_path(spark, "stream-dedup")
+    batches = [BATCHES[0], [event("dup", "PROD-001", "view", DAY + "05:10+00:00")]]
+    for i, batch in enumerate(batches):
+        wire(spark, batch).coalesce(1).write.parquet(f"{root}/source/part={i:05d}")
+    stream = replay.read_slices(spark, f"{root}/source", WIRE_SCHEMA)
+    started = job.start(spark, stream, f"{root}/out", StreamSettings(min_views=2, max_purchases=1),
+                        trigger={"availableNow": True}, dedup_within_watermark=True)
+    job.await_all(started)
+    aggs = keyed.current(spark, started["paths"].aggregates, ["window_start", "window_end", "product_id"])
+    row = aggs.where(F.col("window_start") == F.lit("2024-01-15 00:05:00").cast("timestamp")).first()
+    assert row.view_count == 2  # "dup" counted once although delivered three times
