@@ -37,9 +37,24 @@ def _header(days: DataFrame, title: str, columns: str, rule: str) -> DataFrame:
     return days.select("report_date", F.inline(lines))
 
 
-def _empty(days: DataFrame, rows: DataFrame, text: str) -> DataFrame:
-    return days.join(rows.select("report_date"), "report_date", "left_anti").select(
-        "report_date", F.lit(6).alias("line_no"), F.lit(text).alias("line")
+def _lines(days: DataFrame, header: DataFrame, rows: DataFrame, empty_text: str) -> DataFrame:
+    """Header + row lines per day; a day without rows gets the fixed empty line instead.
+
+    One pass over the rows: a placeholder line per day is dropped where the day has
+    rows (a window over the few lines of one day), so the report is computed once and
+    neither joined nor broadcast.
+    """
+    placeholder = days.select("report_date", F.lit(6).alias("line_no"), F.lit(empty_text).alias("line"))
+    tagged = (
+        header.withColumn("_kind", F.lit(0))
+        .unionByName(rows.withColumn("_kind", F.lit(1)))
+        .unionByName(placeholder.withColumn("_kind", F.lit(2)))
+    )
+    has_rows = F.max(F.when(F.col("_kind") == 1, 1).otherwise(0)).over(Window.partitionBy("report_date"))
+    return (
+        tagged.withColumn("_has_rows", has_rows)
+        .where((F.col("_kind") != 2) | (F.col("_has_rows") == 0))
+        .drop("_kind", "_has_rows")
     )
 
 
@@ -52,7 +67,7 @@ def top_products_lines(report: DataFrame, days: DataFrame) -> DataFrame:
                   decimal_percent_text(F.col("conversion_rate"))).alias("line"),
     )
     header = _header(days, C.TOP_PRODUCTS_TITLE, C.TOP_PRODUCTS_COLUMNS, C.TOP_PRODUCTS_RULE)
-    return header.unionByName(rows).unionByName(_empty(days, report, C.TOP_PRODUCTS_EMPTY))
+    return _lines(days, header, rows, C.TOP_PRODUCTS_EMPTY)
 
 
 def conversion_csv_rows(conversion: DataFrame) -> DataFrame:
@@ -79,7 +94,7 @@ def category_summary_lines(categories: DataFrame, days: DataFrame) -> DataFrame:
                   F.col("conversion_text")).alias("line"),
     )
     header = _header(days, C.CATEGORY_SUMMARY_TITLE, C.CATEGORY_SUMMARY_COLUMNS, C.CATEGORY_SUMMARY_RULE)
-    return header.unionByName(rows).unionByName(_empty(days, categories, C.CATEGORY_SUMMARY_EMPTY))
+    return _lines(days, header, rows, C.CATEGORY_SUMMARY_EMPTY)
 
 
 def write_text(lines: DataFrame, path: str) -> None:
