@@ -1,8 +1,9 @@
 """Keyed tables over Parquet without a transactional table format.
 
-A table is a folder of micro-batch slices ``<table>/batch_id=<N>/``. Each slice is
-written with overwrite, so a replayed batch replaces its own slice and changes
-nothing else (idempotent at-least-once delivery).
+A table is a folder of micro-batch slices ``<table>/batch_id=<N>/`` (or, for a
+partitioned insert-ignore log, ``<table>/<partition>=<v>/batch_id=<N>/``). Each
+slice is written with overwrite, so a replayed batch replaces its own slice and
+changes nothing else (idempotent at-least-once delivery).
 
 * insert-ignore (raw events): a slice only holds keys not seen in earlier slices;
   the table is the union of the slices.
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from cartwheel.sources.tables import read_partitions
+
 BATCH_COL = "batch_id"
 # keys of one micro-batch broadcast for the history probe; the batch size is set by the trigger
 BROADCAST_KEY_LIMIT = 2_000_000
@@ -49,6 +52,24 @@ def first_per_key(batch: DataFrame, key: str, order_cols) -> DataFrame:
     return picked.select(key, "_row.*")
 
 
+def write_log_rows(df: DataFrame, table_path: str, batch_id: int, partition_by=()) -> None:
+    """Write a batch's rows; partitioned logs keep the batch id below the partition folders.
+
+    Dynamic overwrite replaces exactly the folders ``<partition>=<v>/batch_id=<N>`` the
+    batch writes, so a replayed batch replaces its own rows and nothing else.
+    """
+    if not partition_by:
+        write_slice(df, table_path, batch_id)
+        return
+    (
+        df.withColumn(BATCH_COL, F.lit(int(batch_id)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by, BATCH_COL)
+        .parquet(table_path)
+    )
+
+
 def insert_ignore(
     spark: SparkSession,
     batch: DataFrame,
@@ -57,7 +78,7 @@ def insert_ignore(
     key: str = "event_id",
     order_cols=("event_time",),
     partition_by=("event_date",),
-    prune_col: str | None = None,
+    probe_by: str | None = None,
     broadcast_limit: int = BROADCAST_KEY_LIMIT,
 ) -> None:
     """Append the batch's rows whose key is in no earlier slice; first row wins inside the batch.
@@ -65,27 +86,34 @@ def insert_ignore(
     The history is probed with the batch's keys: a semi join against the broadcast
     keys scans history column-pruned to the key and never shuffles it. When the
     batch has more keys than ``broadcast_limit`` a shuffle anti join is used.
-    ``prune_col`` (e.g. ``event_date``) limits the probe to history partitions that
-    the batch touches, for keys known to repeat only with the same value of it.
+
+    ``probe_by`` names a partition column whose value is fixed for a key (for events,
+    the date of the event time: a redelivered event carries its own time). The probe
+    then lists and reads only the history folders of the values in the batch, so its
+    cost follows the batch, not the table. None probes the whole history (keys that
+    may come back with another value).
     """
     first = first_per_key(batch, key, order_cols).persist()
     try:
-        history = read_log(spark, table_path)
+        if probe_by:
+            # one row per value in the batch (dates of one micro-batch): bounded metadata
+            per_value = first.groupBy(probe_by).count().collect()
+            n_keys = sum(r["count"] for r in per_value)
+            history = read_partitions(spark, table_path, probe_by, [r[probe_by] for r in per_value])
+        else:
+            n_keys = first.count()
+            history = read_log(spark, table_path)
         if history is not None:
-            history = history.where(F.col(BATCH_COL) < F.lit(int(batch_id)))
-            if prune_col:
-                touched = first.select(prune_col).distinct()
-                history = history.join(F.broadcast(touched), prune_col, "left_semi")
-            history_keys = history.select(key)
+            history_keys = history.where(F.col(BATCH_COL) < F.lit(int(batch_id))).select(key)
             batch_keys = first.select(key)
-            if first.count() <= broadcast_limit:
+            if n_keys <= broadcast_limit:
                 seen = history_keys.join(F.broadcast(batch_keys), key, "left_semi")
                 fresh = first.join(F.broadcast(seen), key, "left_anti")
             else:
                 fresh = first.join(history_keys, key, "left_anti")
         else:
             fresh = first
-        write_slice(fresh, table_path, batch_id, partition_by)
+        write_log_rows(fresh, table_path, batch_id, partition_by)
     finally:
         first.unpersist()
 

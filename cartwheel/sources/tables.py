@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 
 def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -47,12 +48,39 @@ def in_closed_range(df: DataFrame, start, end, column: str) -> DataFrame:
     return df.where(cond)
 
 
+def read_partitions(spark: SparkSession, table_path: str, column: str, values) -> DataFrame | None:
+    """Only the folders ``<table>/<column>=<value>`` of the given values, or None when none exists.
+
+    The glob limits both the file listing and the scan to those folders, so the cost
+    follows the values asked for, not the size of the table.
+    """
+    values = sorted({str(v) for v in values})
+    if not values:
+        return None
+    pattern = f"{table_path.rstrip('/')}/{column}={{{','.join(values)}}}"
+    try:
+        return spark.read.option("basePath", table_path).parquet(pattern)
+    except AnalysisException:
+        return None
+
+
+def dates_between(start, end) -> list[dt.date]:
+    """Every date from ``start``'s to ``end``'s, both included."""
+    first, last = as_timestamp(start).date(), as_timestamp(end).date()
+    return [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+
+
 def read_events_range(spark: SparkSession, path: str, start, end) -> DataFrame:
     """Raw events of ``[start, end)`` from the stored raw table (partitioned by event_date).
 
-    The date predicate prunes partitions; the time predicate is pushed to Parquet.
+    With both bounds only the date folders of the range are listed and read; the time
+    predicate is pushed to Parquet. A table without date folders is read whole and filtered.
     """
-    df = spark.read.parquet(path)
+    df = None
+    if start is not None and end is not None:
+        df = read_partitions(spark, path, "event_date", dates_between(start, end))
+    if df is None:
+        df = spark.read.parquet(path)
     if "event_date" in df.columns:
         if start is not None:
             df = df.where(F.col("event_date") >= F.lit(as_timestamp(start).date()))

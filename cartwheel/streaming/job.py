@@ -53,8 +53,14 @@ class JobPaths:
         return f"{self.root}/_checkpoints/{name}"
 
 
-def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_time",)):
-    """foreachBatch function of the raw-events query."""
+def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_time",),
+                     strict_keys: bool = False):
+    """foreachBatch function of the raw-events query.
+
+    The insert-ignore probe reads only the raw folders of the event dates in the batch
+    (a redelivered event keeps its time, hence its date); ``strict_keys`` probes the
+    whole raw history instead, for ids that may come back with another time.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -73,6 +79,7 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
             keyed.insert_ignore(
                 spark, rows, paths.raw, batch_id, key="event_id",
                 order_cols=[f"_o_{c}" for c in order], partition_by=("event_date",),
+                probe_by=None if strict_keys else "event_date",
             )
         finally:
             batch.unpersist()
@@ -104,6 +111,7 @@ def start(
     aggregate_trigger: dict | None = None,
     validated_windows: bool = False,
     dedup_within_watermark: bool = False,
+    strict_keys: bool = False,
 ):
     """Start both queries over a streaming DataFrame of records with a ``value`` column.
 
@@ -114,6 +122,8 @@ def start(
     event with a time counts, as the raw stream does). ``dedup_within_watermark`` drops
     repeated ``event_id``s from the window counts while the watermark still holds the
     first copy (off: windows count redeliveries, only the raw table is unique).
+    ``strict_keys`` makes the raw table's insert-ignore probe all history rather than
+    the dates of each batch (see ``raw_batch_writer``).
     """
     checkpoint_root(spark)
     paths = JobPaths(out_root)
@@ -123,7 +133,7 @@ def start(
 
     raw_query = (
         decoded.writeStream.outputMode("append")
-        .foreachBatch(raw_batch_writer(spark, paths))
+        .foreachBatch(raw_batch_writer(spark, paths, strict_keys=strict_keys))
         .option("checkpointLocation", paths.checkpoint("raw_events"))
         .trigger(**trig)
         .queryName("raw_events")

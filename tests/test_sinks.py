@@ -37,6 +37,49 @@ def test_insert_ignore_shuffle_path(spark, scratch):
     assert keyed.union_of_slices(spark, scratch).count() == 1
 
 
+def test_insert_ignore_probes_only_batch_dates(spark, scratch):
+    b0 = _raw(spark, [
+        ("e1", "u1", "P1", None, "view", ts("2024-01-15 10:00:00")),
+        ("e2", "u1", "P2", None, "view", ts("2024-01-16 10:00:00")),
+    ])
+    keyed.insert_ignore(spark, b0, scratch, 0, probe_by="event_date")
+    assert {p.name for p in __import__("pathlib").Path(scratch).iterdir() if p.is_dir()} == {
+        "event_date=2024-01-15", "event_date=2024-01-16"}
+    b1 = _raw(spark, [
+        ("e1", "u2", "P1", None, "view", ts("2024-01-15 10:00:00")),  # redelivery: same time
+        ("e3", "u1", "P3", None, "view", ts("2024-01-17 09:00:00")),
+    ])
+    keyed.insert_ignore(spark, b1, scratch, 1, probe_by="event_date")
+    keyed.insert_ignore(spark, b1, scratch, 1, probe_by="event_date")  # replay of batch 1
+    got = sorted((r.event_id, r.user_id, r.batch_id) for r in
+                 spark.read.parquet(scratch).collect())
+    assert got == [("e1", "u1", 0), ("e2", "u1", 0), ("e3", "u1", 1)]
+    # an id coming back under another date is only caught by the whole-history probe
+    b2 = _raw(spark, [("e2", "u7", "P2", None, "view", ts("2024-01-18 10:00:00"))])
+    keyed.insert_ignore(spark, b2, scratch, 2)
+    assert keyed.union_of_slices(spark, scratch).where("event_id = 'e2'").count() == 1
+    keyed.insert_ignore(spark, b2, scratch, 3, probe_by="event_date")
+    assert keyed.union_of_slices(spark, scratch).where("event_id = 'e2'").count() == 2
+
+
+def test_read_partitions_lists_only_asked_folders(spark, scratch):
+    from cartwheel.sources.tables import read_events_range, read_partitions
+
+    rows = _raw(spark, [
+        ("e1", "u1", "P1", None, "view", ts("2024-01-15 10:00:00")),
+        ("e2", "u1", "P2", None, "view", ts("2024-01-16 10:00:00")),
+        ("e3", "u1", "P2", None, "view", ts("2024-01-17 10:00:00")),
+    ])
+    rows.write.partitionBy("event_date").parquet(scratch)
+    assert read_partitions(spark, scratch, "event_date", ["2024-02-01"]) is None
+    part = read_partitions(spark, scratch, "event_date", [dt.date(2024, 1, 16), dt.date(2024, 1, 19)])
+    assert [r.event_id for r in part.collect()] == ["e2"]
+    assert "event_date=2024-01-15" not in " ".join(part.inputFiles())
+    got = sorted(r.event_id for r in read_events_range(spark, scratch, "2024-01-16", "2024-01-18").collect())
+    assert got == ["e2", "e3"]
+    assert read_events_range(spark, scratch, "2024-03-01", "2024-03-02").count() == 0
+
+
 def test_upsert_latest_wins_and_replay(spark, scratch):
     schema = "k string, v long"
     keyed.upsert(spark.createDataFrame([("a", 1), ("b", 1)], schema), scratch, 0)
