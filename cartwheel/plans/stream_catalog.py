@@ -48,7 +48,10 @@ def replay_run(spark: SparkSession, sf_dir: str) -> dict:
     replay.write_slices(records, f"{root}/source", P.START, P.END, P.DAYS_PER_BATCH,
                         redeliver_first=True)
     stream = replay.read_slices(spark, f"{root}/source", records.schema)
-    started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True})
+    # one file per micro-batch: spread it over the session's shuffle partitions before decoding
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True},
+                        input_partitions=spread)
     job.await_all(started)
     run = {
         "paths": started["paths"],

@@ -112,6 +112,7 @@ def start(
     validated_windows: bool = False,
     dedup_within_watermark: bool = False,
     strict_keys: bool = False,
+    input_partitions: int | None = None,
 ):
     """Start both queries over a streaming DataFrame of records with a ``value`` column.
 
@@ -123,10 +124,15 @@ def start(
     repeated ``event_id``s from the window counts while the watermark still holds the
     first copy (off: windows count redeliveries, only the raw table is unique).
     ``strict_keys`` makes the raw table's insert-ignore probe all history rather than
-    the dates of each batch (see ``raw_batch_writer``).
+    the dates of each batch (see ``raw_batch_writer``). ``input_partitions`` spreads the
+    records of a source with few partitions (one file per micro-batch, a small topic)
+    round-robin over that many tasks before the JSON decode; for Kafka prefer the
+    source's ``minPartitions`` (``kafka.read_stream``).
     """
     checkpoint_root(spark)
     paths = JobPaths(out_root)
+    if input_partitions:
+        records = records.repartition(int(input_partitions))
     decoded = decode.decode_events(records)
     trig = trigger or {"processingTime": "10 seconds"}
     agg_trig = aggregate_trigger or trigger or {"processingTime": "30 seconds"}

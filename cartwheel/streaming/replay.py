@@ -31,15 +31,20 @@ def write_slices(
     """
     n_days = (as_timestamp(last_day).date() - as_timestamp(first_day).date()).days
     n_slices = max(1, -(-n_days // days_per_batch))
-    tagged = records.withColumn("_slice", slice_index(ts_col, first_day, days_per_batch))
-    order = list(range(n_slices)) + ([0] if redeliver_first else [])
-    for i, s in enumerate(order):
-        (
-            tagged.where(F.col("_slice") == s).drop("_slice")
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{folder}/part={i:05d}")
-        )
+    # the records are built once and kept for the sequential slice writes (a test/back-fill
+    # harness: the kept data is the replayed range)
+    tagged = records.withColumn("_slice", slice_index(ts_col, first_day, days_per_batch)).persist()
+    try:
+        order = list(range(n_slices)) + ([0] if redeliver_first else [])
+        for i, s in enumerate(order):
+            (
+                tagged.where(F.col("_slice") == s).drop("_slice")
+                .coalesce(1)
+                .write.mode("overwrite")
+                .parquet(f"{folder}/part={i:05d}")
+            )
+    finally:
+        tagged.unpersist()
     return len(order)
 
 
