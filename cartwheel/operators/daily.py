@@ -146,14 +146,25 @@ def catalogue(spark: SparkSession) -> DataFrame:
     )
 
 
-def category_map_conversion(events: DataFrame, start, end, categories: DataFrame) -> DataFrame:
+# a category map is broadcast without measuring it only when its row count is known to be
+# at most this (the fixed catalogue); otherwise AQE measures it at run time
+MAP_BROADCAST_ROWS = 1_000_000
+
+
+def category_map_conversion(
+    events: DataFrame, start, end, categories: DataFrame, map_rows: int | None = None
+) -> DataFrame:
     """Per-day product metrics joined with a category map, rate in percent.
 
-    The map is a catalogue (one row per product, a bounded and known size), so it is
-    broadcast and the metrics never shuffle for the join.
+    ``map_rows`` is a known bound on the map's rows (the catalogue's product count):
+    within ``MAP_BROADCAST_ROWS`` the map is broadcast and the metrics never shuffle
+    for the join. A map of unknown size gets no hint: AQE broadcasts it only when its
+    measured size is under the broadcast threshold and joins by shuffle otherwise.
     """
     metrics = product_day_counts(events, start, end)
-    return metrics.join(F.broadcast(categories), "product_id", "left").select(
+    if map_rows is not None and map_rows <= MAP_BROADCAST_ROWS:
+        categories = F.broadcast(categories)
+    return metrics.join(categories, "product_id", "left").select(
         "report_date",
         "product_id",
         F.coalesce(F.col("category"), F.lit(C.UNKNOWN_CATEGORY)).alias("category"),

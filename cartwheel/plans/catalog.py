@@ -136,7 +136,7 @@ def q_category_conversion(spark, sf_dir):
 
 def q_category_map_conversion(spark, sf_dir):
     return daily.category_map_conversion(TB.raw_events(spark, sf_dir), P.START, P.END,
-                                         daily.catalogue(spark))
+                                         daily.catalogue(spark), map_rows=C.PRODUCT_COUNT)
 
 
 def q_top_from_aggregates(spark, sf_dir):

@@ -50,3 +50,22 @@ def test_broadcast_only_for_the_catalogue(spark):
         plan = _plan(spark, name)
         if "BroadcastExchange" in plan:
             assert name == "category_map_conversion", name
+
+
+def test_category_map_broadcast_needs_a_known_bound(spark):
+    from cartwheel.operators import daily
+    from cartwheel.plans import params as P
+    from cartwheel.plans import tables as TB
+
+    raw = TB.raw_events(spark, SF)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no size-based broadcast
+    try:
+        hinted = daily.category_map_conversion(raw, P.START, P.END, daily.catalogue(spark), map_rows=20)
+        unknown = daily.category_map_conversion(raw, P.START, P.END, daily.catalogue(spark))
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        plan = unknown._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert sorted(hinted.collect()) == sorted(unknown.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
