@@ -101,3 +101,15 @@ def test_replace_dates_clears_empty_day(spark, scratch):
     assert cleared == [d16]
     got = sorted((str(r.segment_date), r.user_id) for r in spark.read.parquet(scratch).collect())
     assert got == [("2024-01-15", "u3")]
+
+
+def test_replace_dates_with_empty_result_clears_the_range(spark, scratch):
+    schema = "segment_date date, user_id string"
+    d15, d16 = dt.date(2024, 1, 15), dt.date(2024, 1, 16)
+    partitions.replace_dates(spark, spark.createDataFrame([(d15, "u1"), (d16, "u2")], schema),
+                             scratch, "segment_date", "2024-01-15", "2024-01-17")
+    empty = spark.createDataFrame([(d15, "u1")], schema).where("user_id = 'none'")
+    cleared = partitions.replace_dates(spark, empty, scratch, "segment_date", "2024-01-16", "2024-01-17")
+    assert cleared == [d16]
+    got = sorted((str(r.segment_date), r.user_id) for r in spark.read.parquet(scratch).collect())
+    assert got == [("2024-01-15", "u1")]
