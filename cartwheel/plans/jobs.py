@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from cartwheel.config import StreamSettings
 from cartwheel.operators import alerts, daily
 from cartwheel.schemas import KEYS
+from cartwheel.session import checkpoint_root
 from cartwheel.sinks import keyed, partitions, reports
 from cartwheel.sources.tables import as_timestamp, read_events_range
 
@@ -63,8 +64,13 @@ def user_segmentation(spark: SparkSession, events: DataFrame, table: str, start,
 
 
 def conversion_report(spark: SparkSession, events: DataFrame, out_dir: str, start, end) -> None:
-    """Per-product conversion CSV and the category summary text, one file each per day."""
-    conv = daily.conversion_by_product(events, start, end)
+    """Per-product conversion CSV and the category summary text, one file each per day.
+
+    The per-product rows (one per day, category and product) feed both outputs; they are
+    checkpointed once to the shared folder, so the events are scanned once.
+    """
+    checkpoint_root(spark)
+    conv = daily.conversion_by_product(events, start, end).checkpoint()
     reports.write_csv(reports.conversion_csv_rows(conv), f"{out_dir}/conversion_rates")
     days = reports.report_days(spark, start, end)
     reports.write_text(reports.category_summary_lines(daily.category_conversion(conv), days),

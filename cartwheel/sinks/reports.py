@@ -124,9 +124,14 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 
 def show_candidates(df: DataFrame, n: int = 20) -> bool:
-    """Console sink (K9): print rows untruncated, or a note when there are none."""
-    if df.isEmpty():
+    """Console sink (K9): print up to ``n`` rows untruncated, or a note when there are none.
+
+    The query runs once: at most ``n`` rows come back and serve both the existence
+    test (F9) and the printout.
+    """
+    head = df.limit(n).collect()
+    if not head:
         print("[INFO] No flash-sale candidates found.", flush=True)
         return False
-    df.show(n, truncate=False)
+    df.sparkSession.createDataFrame(head, df.schema).show(n, truncate=False)
     return True
