@@ -54,6 +54,6 @@ def test_flash_audit(spark, capsys):
     found = jobs.flash_sale_audit(spark, aggs)
     assert [r.product_id for r in found.collect()] == ["P1"]
     printed = capsys.readouterr().out
-    assert "| P1 " in printed and "P2" not in printed
+    assert "|P1 " in printed and "P2" not in printed
     jobs.flash_sale_audit(spark, aggs.where("view_count < 0"))
     assert "No flash-sale candidates found." in capsys.readouterr().out
