@@ -113,9 +113,11 @@ def q_aggregates_upsert(spark, sf_dir):
     full = windows.sliding_counts(events, P.WINDOW, P.SLIDE)
     second = full.join(later_keys, ["window_start", "window_end", "product_id"], "left_semi")
     stamp = F.current_timestamp().alias("computed_at")
-    keyed.upsert(first.select("*", stamp), root, 0)
-    keyed.upsert(second.select("*", stamp), root, 1)
-    keyed.upsert(second.select("*", stamp), root, 1)  # replayed batch: same slice, same result
+    by_date = (keyed.WINDOW_DATE,)
+    keyed.upsert(job.with_window_date(first.select("*", stamp)), root, 0, partition_by=by_date)
+    keyed.upsert(job.with_window_date(second.select("*", stamp)), root, 1, partition_by=by_date)
+    # replayed batch: same folders, same result
+    keyed.upsert(job.with_window_date(second.select("*", stamp)), root, 1, partition_by=by_date)
     return keyed.current(spark, root, KEYS["product_view_aggregates"]).drop("computed_at")
 
 

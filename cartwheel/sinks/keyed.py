@@ -1,9 +1,12 @@
 """Keyed tables over Parquet without a transactional table format.
 
-A table is a folder of micro-batch slices ``<table>/batch_id=<N>/`` (or, for a
-partitioned insert-ignore log, ``<table>/<partition>=<v>/batch_id=<N>/``). Each
-slice is written with overwrite, so a replayed batch replaces its own slice and
-changes nothing else (idempotent at-least-once delivery).
+A table is a folder of micro-batch slices ``<table>/batch_id=<N>/`` or, for a
+partitioned log, ``<table>/<partition>=<v>/batch_id=<N>/`` (raw events by
+``event_date``, window logs by ``window_date``, the date of the window start: a
+function of the key, so every version of a key sits in one date folder and a read
+of a time range lists only its dates). Each slice is written with overwrite, so a
+replayed batch replaces its own slice and changes nothing else (idempotent
+at-least-once delivery).
 
 * insert-ignore (raw events): a slice only holds keys not seen in earlier slices;
   the table is the union of the slices.
@@ -12,13 +15,17 @@ changes nothing else (idempotent at-least-once delivery).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from cartwheel.sources.tables import read_partitions
 
 BATCH_COL = "batch_id"
+# layout column of the upsert logs of windows: the UTC date of window_start
+WINDOW_DATE = "window_date"
 # keys of one micro-batch broadcast for the history probe; the batch size is set by the trigger
 BROADCAST_KEY_LIMIT = 2_000_000
 
@@ -52,15 +59,20 @@ def first_per_key(batch: DataFrame, key: str, order_cols) -> DataFrame:
     return picked.select(key, "_row.*")
 
 
-def write_log_rows(df: DataFrame, table_path: str, batch_id: int, partition_by=()) -> None:
+def write_log_rows(df: DataFrame, table_path: str, batch_id: int, partition_by=(), observe: bool = False):
     """Write a batch's rows; partitioned logs keep the batch id below the partition folders.
 
     Dynamic overwrite replaces exactly the folders ``<partition>=<v>/batch_id=<N>`` the
-    batch writes, so a replayed batch replaces its own rows and nothing else.
+    batch writes, so a replayed batch replaces its own rows and nothing else. With
+    ``observe`` the values of the first partition column written are gathered during
+    the write (a few dates per batch) and returned; None when they are not known.
     """
     if not partition_by:
         write_slice(df, table_path, batch_id)
-        return
+        return None
+    seen = Observation(f"written_{uuid.uuid4().hex}") if observe else None
+    if seen is not None:
+        df = df.observe(seen, F.collect_set(F.col(partition_by[0])).alias("values"))
     (
         df.withColumn(BATCH_COL, F.lit(int(batch_id)))
         .write.mode("overwrite")
@@ -68,6 +80,33 @@ def write_log_rows(df: DataFrame, table_path: str, batch_id: int, partition_by=(
         .partitionBy(*partition_by, BATCH_COL)
         .parquet(table_path)
     )
+    if seen is None:
+        return None
+    try:
+        return set(seen.get["values"])
+    except Exception:  # noqa: BLE001 - metrics can be missing for an empty input
+        return None
+
+
+def read_batch(spark: SparkSession, table_path: str, batch_id: int, partition_col: str | None = None,
+               values=None) -> DataFrame | None:
+    """The rows one batch wrote, or None when it wrote none.
+
+    For a partitioned log only ``<partition>=<v>/batch_id=<N>`` is listed: the given
+    values, or every value folder when they are not known.
+    """
+    below = f"{BATCH_COL}={int(batch_id)}"
+    if partition_col is None:
+        try:
+            return spark.read.parquet(slice_path(table_path, batch_id))
+        except AnalysisException:
+            return None
+    if values is not None:
+        return read_partitions(spark, table_path, partition_col, values, below)
+    try:
+        return spark.read.option("basePath", table_path).parquet(f"{table_path}/{partition_col}=*/{below}")
+    except AnalysisException:
+        return None
 
 
 def insert_ignore(
@@ -118,23 +157,44 @@ def insert_ignore(
         first.unpersist()
 
 
-def latest_per_key(log: DataFrame, keys) -> DataFrame:
-    """Current state of an upsert log: per key the row of the highest batch id (partial aggregate)."""
-    values = [c for c in log.columns if c not in keys and c != BATCH_COL]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("_row"))
-    return latest.select(*keys, "_row.*")
+def latest_per_key(log: DataFrame, keys, layout=(WINDOW_DATE,)) -> DataFrame:
+    """Current state of an upsert log: per key the row of the highest batch id (partial aggregate).
 
+    Layout columns present in the log are functions of the key: they group along and stay.
+    """
+    group = list(keys) + [c for c in layout if c in log.columns and c not in keys]
+    values = [c for c in log.columns if c not in group and c != BATCH_COL]
+    latest = log.groupBy(*group).agg(F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("_row"))
+    return latest.select(*group, "_row.*")
 
-def upsert(batch: DataFrame, table_path: str, batch_id: int) -> None:
-    """Record the batch's rows as the newest version of their keys (K2, K3)."""
-    write_slice(batch, table_path, batch_id)
 
+def upsert(batch: DataFrame, table_path: str, batch_id: int, partition_by=(), observe: bool = False):
+    """Record the batch's rows as the newest version of their keys (K2, K3).
 
-def current(spark: SparkSession, table_path: str, keys, schema=None) -> DataFrame:
-    log = read_log(spark, table_path, schema)
+    ``partition_by`` (e.g. ``window_date``) must be a function of the key. Returns the
+    written values of the first partition column when ``observe`` is set.
+    """
+    return write_log_rows(batch, table_path, batch_id, partition_by, observe)
+
+
+def current(spark: SparkSession, table_path: str, keys, schema=None, dates=None,
+            date_col: str = WINDOW_DATE) -> DataFrame:
+    """Latest row per key. A log laid out by ``date_col`` is read through it: ``dates``
+    limits the listing and the scan to those date folders; the column is not returned."""
+    log = None
+    if dates is not None:
+        log = read_partitions(spark, table_path, date_col, dates)
+        if log is None:
+            full = read_log(spark, table_path, schema)
+            if full is None:
+                raise FileNotFoundError(table_path)
+            log = full.where(F.lit(False))
+    else:
+        log = read_log(spark, table_path, schema)
     if log is None:
         raise FileNotFoundError(table_path)
-    return latest_per_key(log, keys)
+    out = latest_per_key(log, keys, layout=(date_col,))
+    return out.drop(date_col) if date_col in out.columns and date_col not in keys else out
 
 
 def union_of_slices(spark: SparkSession, table_path: str, schema=None) -> DataFrame:
@@ -145,14 +205,18 @@ def union_of_slices(spark: SparkSession, table_path: str, schema=None) -> DataFr
     return log.drop(BATCH_COL)
 
 
-def compact(spark: SparkSession, table_path: str, keys, out_path: str, upto_batch: int | None = None) -> None:
+def compact(spark: SparkSession, table_path: str, keys, out_path: str, upto_batch: int | None = None,
+            date_col: str = WINDOW_DATE) -> None:
     """Write the current state of an upsert log as one snapshot slice of a new table.
 
     New slices go on being appended to the new table with higher batch ids; the old
     folder can then be dropped. Keeps reads and listings bounded as the log grows.
+    A log laid out by ``date_col`` keeps that layout.
     """
     log = read_log(spark, table_path)
     if upto_batch is not None:
         log = log.where(F.col(BATCH_COL) <= F.lit(int(upto_batch)))
     snapshot_id = upto_batch if upto_batch is not None else 0
-    write_slice(latest_per_key(log, keys), out_path, snapshot_id)
+    latest = latest_per_key(log, keys, layout=(date_col,))
+    layout = (date_col,) if date_col in latest.columns and date_col not in keys else ()
+    write_log_rows(latest, out_path, snapshot_id, layout)

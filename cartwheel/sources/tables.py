@@ -48,16 +48,17 @@ def in_closed_range(df: DataFrame, start, end, column: str) -> DataFrame:
     return df.where(cond)
 
 
-def read_partitions(spark: SparkSession, table_path: str, column: str, values) -> DataFrame | None:
-    """Only the folders ``<table>/<column>=<value>`` of the given values, or None when none exists.
+def read_partitions(spark: SparkSession, table_path: str, column: str, values, below: str = "") -> DataFrame | None:
+    """Only the folders ``<table>/<column>=<value>[/<below>]`` of the given values, or None when none exists.
 
     The glob limits both the file listing and the scan to those folders, so the cost
-    follows the values asked for, not the size of the table.
+    follows the values asked for, not the size of the table. ``below`` names a
+    sub-folder (e.g. ``batch_id=7``) to read under each of them.
     """
     values = sorted({str(v) for v in values})
     if not values:
         return None
-    pattern = f"{table_path.rstrip('/')}/{column}={{{','.join(values)}}}"
+    pattern = f"{table_path.rstrip('/')}/{column}={{{','.join(values)}}}" + (f"/{below}" if below else "")
     try:
         return spark.read.option("basePath", table_path).parquet(pattern)
     except AnalysisException:

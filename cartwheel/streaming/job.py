@@ -7,6 +7,7 @@ Two queries over one decoded stream:
 * window aggregates (update, T4): watermark + sliding window counts per product;
   each micro-batch is upserted into the aggregates log (K2), then read back from
   the shared folder and filtered by the flash-sale rule into the alerts log (K3).
+  Both logs are laid out by window date, then batch id.
   One stateful query feeds both outputs, so state is kept once (T11). Alerts are
   latched: update mode emits no retraction (T10).
 
@@ -87,17 +88,27 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
     return write
 
 
+def with_window_date(df: DataFrame) -> DataFrame:
+    """Layout column of the window logs: the UTC date of the window start."""
+    return df.withColumn(keyed.WINDOW_DATE, F.to_date(F.col("window_start")))
+
+
 def aggregate_batch_writer(spark: SparkSession, paths: JobPaths, settings: StreamSettings):
     """foreachBatch function of the window query: aggregates, then alerts from the written slice."""
 
+    by_date = (keyed.WINDOW_DATE,)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("computed_at", F.current_timestamp())
-        keyed.upsert(stamped, paths.aggregates, batch_id)
-        written = spark.read.parquet(keyed.slice_path(paths.aggregates, batch_id))
+        stamped = with_window_date(batch.withColumn("computed_at", F.current_timestamp()))
+        # the window dates written are observed during the write: the read-back lists only them
+        dates = keyed.upsert(stamped, paths.aggregates, batch_id, partition_by=by_date, observe=True)
+        written = keyed.read_batch(spark, paths.aggregates, batch_id, keyed.WINDOW_DATE, dates)
+        if written is None:
+            return
         found = alert_ops.flash_sale(
             written, settings.min_views, settings.max_purchases, settings.alert_message
         )
-        keyed.upsert(found, paths.alerts, batch_id)
+        keyed.upsert(with_window_date(found), paths.alerts, batch_id, partition_by=by_date)
 
     return write
 

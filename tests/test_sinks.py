@@ -113,3 +113,30 @@ def test_replace_dates_with_empty_result_clears_the_range(spark, scratch):
     assert cleared == [d16]
     got = sorted((str(r.segment_date), r.user_id) for r in spark.read.parquet(scratch).collect())
     assert got == [("2024-01-15", "u1")]
+
+
+def test_window_log_laid_out_by_date(spark, scratch):
+    schema = "window_start timestamp, product_id string, v long"
+    by_date = (keyed.WINDOW_DATE,)
+
+    def frame(rows):
+        return spark.createDataFrame(rows, schema).withColumn(keyed.WINDOW_DATE, F.to_date("window_start"))
+
+    d15, d16 = dt.date(2024, 1, 15), dt.date(2024, 1, 16)
+    b0 = frame([(ts("2024-01-15 23:00:00"), "P1", 1), (ts("2024-01-16 01:00:00"), "P1", 1)])
+    assert keyed.upsert(b0, scratch, 0, partition_by=by_date, observe=True) == {d15, d16}
+    b1 = frame([(ts("2024-01-16 01:00:00"), "P1", 5)])
+    assert keyed.upsert(b1, scratch, 1, partition_by=by_date, observe=True) == {d16}
+    keys = ["window_start", "product_id"]
+    full = sorted(tuple(r) for r in keyed.current(spark, scratch, keys).collect())
+    assert full == [(ts("2024-01-15 23:00:00"), "P1", 1), (ts("2024-01-16 01:00:00"), "P1", 5)]
+    one_day = keyed.current(spark, scratch, keys, dates=[d16])
+    assert [r.v for r in one_day.collect()] == [5]
+    assert "window_date=2024-01-15" not in " ".join(one_day.inputFiles())
+    assert keyed.current(spark, scratch, keys, dates=[dt.date(2024, 2, 1)]).count() == 0
+    assert keyed.read_batch(spark, scratch, 1, keyed.WINDOW_DATE, {d16}).count() == 1
+    assert keyed.read_batch(spark, scratch, 0, keyed.WINDOW_DATE).count() == 2
+    assert keyed.read_batch(spark, scratch, 2, keyed.WINDOW_DATE) is None
+    keyed.compact(spark, scratch, keys, scratch + "-c", upto_batch=1)
+    assert sorted(tuple(r) for r in keyed.current(spark, scratch + "-c", keys).collect()) == full
+    assert keyed.read_batch(spark, scratch + "-c", 1, keyed.WINDOW_DATE, {d15, d16}).count() == 2
