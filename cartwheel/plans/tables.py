@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from cartwheel.operators import alerts, daily, decode, windows
 from cartwheel.plans import params as P
 from cartwheel.sources.adapter import clickstream_from_events
-from cartwheel.sources.tables import load_table
+from cartwheel.sources.tables import load_table, spread_small_input
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_table(spark, sf_dir, "events")
+    """The driver's events; a one-split file is spread over the task slots first."""
+    return spread_small_input(load_table(spark, sf_dir, "events"))
 
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
