@@ -16,10 +16,13 @@ Checkpoints live under the session's shared checkpoint folder unless given.
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel.config import StreamSettings
 from cartwheel.operators import alerts as alert_ops
@@ -28,6 +31,7 @@ from cartwheel.operators.windows import sliding_counts
 from cartwheel.schemas import KEYS
 from cartwheel.session import checkpoint_root
 from cartwheel.sinks import keyed
+from cartwheel.sources.tables import as_timestamp, dates_between, read_events_range
 
 
 @dataclass(frozen=True)
@@ -174,27 +178,59 @@ def start(
         .queryName("window_aggregates")
         .start()
     )
-    return {"raw": raw_query, "aggregates": agg_query, "paths": paths}
+    return {"raw": raw_query, "aggregates": agg_query, "paths": paths, "streams": spark.streams}
 
 
 def await_all(queries: dict, timeout: float | None = None) -> None:
-    """Wait for every query; a failure in any of them surfaces at once."""
-    spark_queries = [q for k, q in queries.items() if k != "paths"]
+    """Wait until every query has ended; a failure of any of them is raised at once and the
+    others are stopped (T9). ``timeout`` (seconds) bounds the whole wait."""
+    running = [q for q in queries.values() if isinstance(q, StreamingQuery)]
+    streams = queries.get("streams")
+    deadline = time.monotonic() + timeout if timeout else None
     try:
-        for q in spark_queries:
-            q.awaitTermination(timeout) if timeout else q.awaitTermination()
-            if q.exception():
-                raise q.exception()
+        while True:
+            for q in running:
+                if q.exception():
+                    raise q.exception()
+            if not any(q.isActive for q in running):
+                return
+            if deadline is not None and deadline <= time.monotonic():
+                return
+            if streams is None:  # queries started elsewhere: wait on them in turn
+                for q in running:
+                    q.awaitTermination(max(1, int(deadline - time.monotonic()))) if deadline \
+                        else q.awaitTermination()
+                continue
+            # returns when any query of the session ends; raises if it failed
+            if deadline is not None:
+                streams.awaitAnyTermination(max(1, int(deadline - time.monotonic())))
+            else:
+                streams.awaitAnyTermination()
+            streams.resetTerminated()
     finally:
-        for q in spark_queries:
+        for q in running:
             if q.isActive:
                 q.stop()
 
 
-def tables(spark: SparkSession, paths: JobPaths) -> dict:
-    """Current content of the job's tables."""
+def tables(spark: SparkSession, paths: JobPaths, start=None, end=None,
+           longest_window: dt.timedelta = dt.timedelta(days=1)) -> dict:
+    """Current content of the job's tables.
+
+    With a time range (``start``/``end``, as the dashboard's) only the date folders that
+    can hold its rows are listed: raw events by event date, window logs by the dates of
+    windows ending in the range (windows no longer than ``longest_window``).
+    """
+    if start is None or end is None:
+        return {
+            "clickstream_events": keyed.union_of_slices(spark, paths.raw),
+            "product_view_aggregates": keyed.current(spark, paths.aggregates, KEYS["product_view_aggregates"]),
+            "flash_sale_alerts": keyed.current(spark, paths.alerts, KEYS["flash_sale_alerts"]),
+        }
+    dates = dates_between(as_timestamp(start) - longest_window, end)
     return {
-        "clickstream_events": keyed.union_of_slices(spark, paths.raw),
-        "product_view_aggregates": keyed.current(spark, paths.aggregates, KEYS["product_view_aggregates"]),
-        "flash_sale_alerts": keyed.current(spark, paths.alerts, KEYS["flash_sale_alerts"]),
+        "clickstream_events": read_events_range(spark, paths.raw, start, end).drop(keyed.BATCH_COL),
+        "product_view_aggregates": keyed.current(spark, paths.aggregates, KEYS["product_view_aggregates"],
+                                                 dates=dates),
+        "flash_sale_alerts": keyed.current(spark, paths.alerts, KEYS["flash_sale_alerts"], dates=dates),
     }

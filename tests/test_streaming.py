@@ -100,3 +100,38 @@ def test_dedup_within_watermark_option(spark):
     aggs = keyed.current(spark, started["paths"].aggregates, ["window_start", "window_end", "product_id"])
     row = aggs.where(F.col("window_start") == F.lit("2024-01-15 00:05:00").cast("timestamp")).first()
     assert row.view_count == 2  # "dup" counted once although delivered three times
+
+
+def test_failure_of_any_query_surfaces_and_stops_the_others(spark):
+    import time
+
+    from cartwheel.session import scratch_path
+
+    root = scratch_path(spark, "stream-fail")
+    forever = (spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+               .writeStream.format("noop").trigger(processingTime="1 second")
+               .option("checkpointLocation", f"{root}/ck-forever").start())
+
+    def sink_down(df, batch_id):
+        raise ValueError("sink down")
+
+    wire(spark, [event("x")]).write.parquet(f"{root}/source/part=00000")
+    failing = (replay.read_slices(spark, f"{root}/source", WIRE_SCHEMA).writeStream
+               .foreachBatch(sink_down).option("checkpointLocation", f"{root}/ck-failing")
+               .trigger(availableNow=True).start())
+    t0 = time.monotonic()
+    with pytest.raises(Exception, match="sink down"):
+        job.await_all({"first": forever, "second": failing, "streams": spark.streams}, timeout=120)
+    assert time.monotonic() - t0 < 100
+    assert not forever.isActive and not failing.isActive
+
+
+def test_tables_of_a_time_range(spark, run):
+    paths, _ = run
+    whole = job.tables(spark, paths)
+    day = job.tables(spark, paths, "2024-01-15 00:00:00", "2024-01-15 02:00:00")
+    for name in whole:
+        assert sorted(whole[name].collect()) == sorted(day[name].collect()), name
+    later = job.tables(spark, paths, "2024-01-20 00:00:00", "2024-01-20 02:00:00")
+    assert later["product_view_aggregates"].count() == 0
+    assert "window_date=2024-01-15" not in " ".join(later["flash_sale_alerts"].inputFiles())
