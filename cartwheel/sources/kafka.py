@@ -16,11 +16,13 @@ from cartwheel.config import KafkaSettings
 
 def read_stream(spark: SparkSession, settings: KafkaSettings, max_offsets_per_trigger=None,
                 min_partitions=None) -> DataFrame:
-    """``max_offsets_per_trigger`` bounds a micro-batch; ``min_partitions`` splits the offset
+    """``max_offsets_per_trigger`` bounds a micro-batch (default: the settings' bound);
+    ``min_partitions`` splits the offset
     ranges of a topic with few partitions over more tasks (the decode then runs in parallel)."""
     reader = spark.readStream.format("kafka").options(**settings.source_options())
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    bound = max_offsets_per_trigger or settings.max_offsets_per_trigger
+    if bound:
+        reader = reader.option("maxOffsetsPerTrigger", str(bound))
     if min_partitions:
         reader = reader.option("minPartitions", str(min_partitions))
     return reader.load()
