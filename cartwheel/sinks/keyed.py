@@ -109,6 +109,53 @@ def read_batch(spark: SparkSession, table_path: str, batch_id: int, partition_co
         return None
 
 
+def history_keys(
+    spark: SparkSession,
+    table_path: str,
+    batch: DataFrame,
+    batch_id: int,
+    key: str,
+    probe_by: str | None = None,
+    probe_range: str | None = None,
+):
+    """Keys of earlier slices a batch could collide with, and the batch's key count.
+
+    ``probe_by`` names a partition column whose value is fixed for a key: only the
+    folders of the batch's values are listed and read. ``probe_range`` names a column
+    whose value is also fixed for a key (the event time, when ids come back only as
+    exact copies): per value of ``probe_by`` only history rows between the batch's least
+    and greatest value can match, and that range is pushed to Parquet, which skips row
+    groups outside it. An id that comes back with another value of either column is not
+    found. Returns ``(keys or None, n_keys)``.
+    """
+    if not probe_by:
+        log = read_log(spark, table_path)
+        n_keys = batch.count()
+        if log is None:
+            return None, n_keys
+        return log.where(F.col(BATCH_COL) < F.lit(int(batch_id))).select(key), n_keys
+    stats = [F.count(F.lit(1)).alias("_n")]
+    if probe_range:
+        stats += [F.min(probe_range).alias("_lo"), F.max(probe_range).alias("_hi")]
+    # one row per value in the batch (the dates of one micro-batch): bounded metadata
+    per_value = batch.groupBy(probe_by).agg(*stats).collect()
+    n_keys = sum(r["_n"] for r in per_value)
+    log = read_partitions(spark, table_path, probe_by, [r[probe_by] for r in per_value])
+    if log is None:
+        return None, n_keys
+    log = log.where(F.col(BATCH_COL) < F.lit(int(batch_id)))
+    if probe_range:
+        kind = log.schema[probe_range].dataType
+        cond = None
+        for r in per_value:
+            one = F.col(probe_by) == F.lit(r[probe_by])
+            if r["_lo"] is not None:
+                one = one & F.col(probe_range).between(F.lit(r["_lo"]).cast(kind), F.lit(r["_hi"]).cast(kind))
+            cond = one if cond is None else cond | one
+        log = log.where(cond)
+    return log.select(key), n_keys
+
+
 def insert_ignore(
     spark: SparkSession,
     batch: DataFrame,
@@ -118,6 +165,7 @@ def insert_ignore(
     order_cols=("event_time",),
     partition_by=("event_date",),
     probe_by: str | None = None,
+    probe_range: str | None = None,
     broadcast_limit: int = BROADCAST_KEY_LIMIT,
 ) -> None:
     """Append the batch's rows whose key is in no earlier slice; first row wins inside the batch.
@@ -127,29 +175,22 @@ def insert_ignore(
     batch has more keys than ``broadcast_limit`` a shuffle anti join is used.
 
     ``probe_by`` names a partition column whose value is fixed for a key (for events,
-    the date of the event time: a redelivered event carries its own time). The probe
-    then lists and reads only the history folders of the values in the batch, so its
-    cost follows the batch, not the table. None probes the whole history (keys that
-    may come back with another value).
+    the date of the event time: a redelivered event carries its own time); the probe
+    then lists only the batch's date folders, so its cost follows the batch, not the
+    table. ``probe_range`` (the event time) also skips row groups outside the batch's
+    time span, for keys that only ever come back as exact copies (see
+    ``history_keys``). None probes the whole history.
     """
     first = first_per_key(batch, key, order_cols).persist()
     try:
-        if probe_by:
-            # one row per value in the batch (dates of one micro-batch): bounded metadata
-            per_value = first.groupBy(probe_by).count().collect()
-            n_keys = sum(r["count"] for r in per_value)
-            history = read_partitions(spark, table_path, probe_by, [r[probe_by] for r in per_value])
-        else:
-            n_keys = first.count()
-            history = read_log(spark, table_path)
-        if history is not None:
-            history_keys = history.where(F.col(BATCH_COL) < F.lit(int(batch_id))).select(key)
+        seen_keys, n_keys = history_keys(spark, table_path, first, batch_id, key, probe_by, probe_range)
+        if seen_keys is not None:
             batch_keys = first.select(key)
             if n_keys <= broadcast_limit:
-                seen = history_keys.join(F.broadcast(batch_keys), key, "left_semi")
+                seen = seen_keys.join(F.broadcast(batch_keys), key, "left_semi")
                 fresh = first.join(F.broadcast(seen), key, "left_anti")
             else:
-                fresh = first.join(history_keys, key, "left_anti")
+                fresh = first.join(seen_keys, key, "left_anti")
         else:
             fresh = first
         write_log_rows(fresh, table_path, batch_id, partition_by)

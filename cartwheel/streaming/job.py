@@ -59,12 +59,15 @@ class JobPaths:
 
 
 def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_time",),
-                     strict_keys: bool = False):
+                     strict_keys: bool = False, probe_time_span: bool = False):
     """foreachBatch function of the raw-events query.
 
     The insert-ignore probe reads only the raw folders of the event dates in the batch
     (a redelivered event keeps its time, hence its date); ``strict_keys`` probes the
-    whole raw history instead, for ids that may come back with another time.
+    whole raw history instead, for ids that may come back on another date.
+    ``probe_time_span`` further limits the probe to row groups within the batch's
+    event-time span: exact only when an id never comes back with another time (true of
+    producer redeliveries, not of an id reused later the same day), so it is off.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -85,6 +88,7 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
                 spark, rows, paths.raw, batch_id, key="event_id",
                 order_cols=[f"_o_{c}" for c in order], partition_by=("event_date",),
                 probe_by=None if strict_keys else "event_date",
+                probe_range="event_time" if probe_time_span and not strict_keys else None,
             )
         finally:
             batch.unpersist()
@@ -128,6 +132,7 @@ def start(
     dedup_within_watermark: bool = False,
     strict_keys: bool = False,
     input_partitions: int | None = None,
+    probe_time_span: bool = False,
 ):
     """Start both queries over a streaming DataFrame of records with a ``value`` column.
 
@@ -139,7 +144,8 @@ def start(
     repeated ``event_id``s from the window counts while the watermark still holds the
     first copy (off: windows count redeliveries, only the raw table is unique).
     ``strict_keys`` makes the raw table's insert-ignore probe all history rather than
-    the dates of each batch (see ``raw_batch_writer``). ``input_partitions`` spreads the
+    the dates of each batch; ``probe_time_span`` narrows it to the batch's event-time
+    span (see ``raw_batch_writer``). ``input_partitions`` spreads the
     records of a source with few partitions (one file per micro-batch, a small topic)
     round-robin over that many tasks before the JSON decode; for Kafka prefer the
     source's ``minPartitions`` (``kafka.read_stream``).
@@ -154,7 +160,8 @@ def start(
 
     raw_query = (
         decoded.writeStream.outputMode("append")
-        .foreachBatch(raw_batch_writer(spark, paths, strict_keys=strict_keys))
+        .foreachBatch(raw_batch_writer(spark, paths, strict_keys=strict_keys,
+                                       probe_time_span=probe_time_span))
         .option("checkpointLocation", paths.checkpoint("raw_events"))
         .trigger(**trig)
         .queryName("raw_events")

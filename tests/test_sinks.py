@@ -140,3 +140,25 @@ def test_window_log_laid_out_by_date(spark, scratch):
     keyed.compact(spark, scratch, keys, scratch + "-c", upto_batch=1)
     assert sorted(tuple(r) for r in keyed.current(spark, scratch + "-c", keys).collect()) == full
     assert keyed.read_batch(spark, scratch + "-c", 1, keyed.WINDOW_DATE, {d15, d16}).count() == 2
+
+
+def test_history_probe_limited_to_batch_dates_and_time_span(spark, scratch):
+    b0 = _raw(spark, [
+        ("e1", "u1", "P1", None, "view", ts("2024-01-15 10:00:00")),
+        ("e2", "u1", "P2", None, "view", ts("2024-01-15 18:00:00")),
+        ("e3", "u1", "P3", None, "view", ts("2024-01-16 10:00:00")),
+    ])
+    keyed.insert_ignore(spark, b0, scratch, 0, probe_by="event_date", probe_range="event_time")
+    b1 = _raw(spark, [
+        ("e1", "u2", "P1", None, "view", ts("2024-01-15 10:00:00")),  # redelivery
+        ("e4", "u1", "P4", None, "view", ts("2024-01-15 10:30:00")),
+    ])
+    probe, n_keys = keyed.history_keys(spark, scratch, b1, 1, "event_id", "event_date", "event_time")
+    assert n_keys == 2 and [r.event_id for r in probe.collect()] == ["e1"]  # e2 lies outside the span
+    text = probe._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "GreaterThanOrEqual(event_time" in text and "LessThanOrEqual(event_time" in text
+    assert "event_date=2024-01-16" not in " ".join(probe.inputFiles())
+    keyed.insert_ignore(spark, b1, scratch, 1, probe_by="event_date", probe_range="event_time")
+    got = sorted((r.event_id, r.user_id) for r in keyed.union_of_slices(spark, scratch).collect())
+    assert got == [("e1", "u1"), ("e2", "u1"), ("e3", "u1"), ("e4", "u1")]
