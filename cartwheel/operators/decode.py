@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import constants as C
 from cartwheel.functions.once import once
-from cartwheel.schemas import EVENT_SCHEMA, RAW_COLUMNS
+from cartwheel.schemas import EVENT_SCHEMA, RAW_COLUMNS, WIDE_RAW_EXTRA
 
 REQUIRED = ("event_id", "user_id", "product_id", "event_type")
 LENGTH_LIMITS = (
@@ -79,7 +79,12 @@ def validate(df: DataFrame):
     return valid, bad
 
 
-def raw_projection(df: DataFrame, ingested_at=None, extra=()) -> DataFrame:
-    """The six stored event fields plus ``ingested_at``."""
+def raw_projection(df: DataFrame, ingested_at=None, extra=(), wide: bool = False) -> DataFrame:
+    """The six stored event fields plus ``ingested_at``.
+
+    ``wide`` also keeps session, device, referrer and the Kafka timestamp where the
+    input has them (D7).
+    """
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
-    return df.select(*RAW_COLUMNS, stamp.alias("ingested_at"), *extra)
+    kept = [c for c in WIDE_RAW_EXTRA if c in df.columns] if wide else []
+    return df.select(*RAW_COLUMNS, *kept, stamp.alias("ingested_at"), *extra)

@@ -15,7 +15,7 @@ from cartwheel import constants as C
 from cartwheel.operators import daily, dashboard, decode, quality, windows
 from cartwheel.plans import params as P
 from cartwheel.plans import tables as TB
-from cartwheel.schemas import KEYS, RAW_COLUMNS
+from cartwheel.schemas import KEYS, RAW_COLUMNS, WIDE_RAW_EXTRA
 from cartwheel.sinks import reports
 from cartwheel.sources import kafka
 from cartwheel.sources.adapter import wire_from_events
@@ -65,7 +65,7 @@ def q_topic_first_n(spark, sf_dir):
 
 def q_raw_wide(spark, sf_dir):
     valid, _ = decode.validate(_decoded_wire(spark, sf_dir))
-    return valid.select(*RAW_COLUMNS, "session_id", "device", "referrer", "kafka_timestamp")
+    return valid.select(*RAW_COLUMNS, *WIDE_RAW_EXTRA)
 
 
 def q_quality_duplicates(spark, sf_dir):

@@ -95,6 +95,8 @@ KEYS = {
 }
 
 RAW_COLUMNS = ("event_id", "user_id", "product_id", "category", "event_type", "event_time")
+# wider raw record of the diagram variant (D7): the decoded fields the raw table drops
+WIDE_RAW_EXTRA = ("session_id", "device", "referrer", "kafka_timestamp")
 AGGREGATE_COLUMNS = (
     "window_start", "window_end", "product_id", "view_count", "cart_count", "purchase_count",
 )

@@ -59,7 +59,7 @@ class JobPaths:
 
 
 def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_time",),
-                     strict_keys: bool = False, probe_time_span: bool = False):
+                     strict_keys: bool = False, probe_time_span: bool = False, wide_raw: bool = False):
     """foreachBatch function of the raw-events query.
 
     The insert-ignore probe reads only the raw folders of the event dates in the batch
@@ -82,7 +82,8 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
             )
             valid = tagged.where(F.col("reason").isNull()).drop("reason")
             order = [c for c in ("partition", "offset") if c in valid.columns] or list(order_cols)
-            rows = decode.raw_projection(valid, extra=[F.col(c).alias(f"_o_{c}") for c in order]) \
+            rows = decode.raw_projection(valid, extra=[F.col(c).alias(f"_o_{c}") for c in order],
+                                         wide=wide_raw) \
                 .withColumn("event_date", F.to_date("event_time"))
             keyed.insert_ignore(
                 spark, rows, paths.raw, batch_id, key="event_id",
@@ -133,6 +134,7 @@ def start(
     strict_keys: bool = False,
     input_partitions: int | None = None,
     probe_time_span: bool = False,
+    wide_raw: bool = False,
 ):
     """Start both queries over a streaming DataFrame of records with a ``value`` column.
 
@@ -145,7 +147,8 @@ def start(
     first copy (off: windows count redeliveries, only the raw table is unique).
     ``strict_keys`` makes the raw table's insert-ignore probe all history rather than
     the dates of each batch; ``probe_time_span`` narrows it to the batch's event-time
-    span (see ``raw_batch_writer``). ``input_partitions`` spreads the
+    span (see ``raw_batch_writer``). ``wide_raw`` keeps session, device, referrer and the
+    Kafka timestamp in the raw table (D7). ``input_partitions`` spreads the
     records of a source with few partitions (one file per micro-batch, a small topic)
     round-robin over that many tasks before the JSON decode; for Kafka prefer the
     source's ``minPartitions`` (``kafka.read_stream``).
@@ -161,7 +164,7 @@ def start(
     raw_query = (
         decoded.writeStream.outputMode("append")
         .foreachBatch(raw_batch_writer(spark, paths, strict_keys=strict_keys,
-                                       probe_time_span=probe_time_span))
+                                       probe_time_span=probe_time_span, wide_raw=wide_raw))
         .option("checkpointLocation", paths.checkpoint("raw_events"))
         .trigger(**trig)
         .queryName("raw_events")

@@ -52,3 +52,15 @@ def test_raw_projection_keeps_six_fields(spark):
     out = decode.raw_projection(df)
     assert out.columns == ["event_id", "user_id", "product_id", "category", "event_type",
                            "event_time", "ingested_at"]
+
+
+def test_wide_raw_projection_keeps_session_fields(spark):
+    from cartwheel.operators import decode
+
+    valid, _ = decode.validate(decode.decode_events(wire(spark, [event("w1")])))
+    narrow = decode.raw_projection(valid)
+    wide = decode.raw_projection(valid, wide=True)
+    assert "session_id" not in narrow.columns
+    row = wide.first()
+    assert (row.session_id, row.device, row.referrer) == ("s-1", "mobile", "organic")
+    assert row.kafka_timestamp is not None and row.ingested_at is not None

@@ -135,3 +135,17 @@ def test_tables_of_a_time_range(spark, run):
     later = job.tables(spark, paths, "2024-01-20 00:00:00", "2024-01-20 02:00:00")
     assert later["product_view_aggregates"].count() == 0
     assert "window_date=2024-01-15" not in " ".join(later["flash_sale_alerts"].inputFiles())
+
+
+def test_wide_raw_option(spark):
+    from cartwheel.session import scratch_path
+
+    root = scratch_path(spark, "stream-wide")
+    wire(spark, BATCHES[0]).coalesce(1).write.parquet(f"{root}/source/part=00000")
+    stream = replay.read_slices(spark, f"{root}/source", WIRE_SCHEMA)
+    started = job.start(spark, stream, f"{root}/out", StreamSettings(), trigger={"availableNow": True},
+                        wide_raw=True)
+    job.await_all(started)
+    raw = keyed.union_of_slices(spark, started["paths"].raw)
+    assert {"session_id", "device", "referrer", "kafka_timestamp"} <= set(raw.columns)
+    assert sorted(r.event_id for r in raw.collect()) == ["dup", "v3"]
