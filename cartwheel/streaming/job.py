@@ -197,6 +197,8 @@ def await_all(queries: dict, timeout: float | None = None) -> None:
     running = [q for q in queries.values() if isinstance(q, StreamingQuery)]
     streams = queries.get("streams")
     deadline = time.monotonic() + timeout if timeout else None
+    if streams is not None:
+        streams.resetTerminated()  # only terminations from now on wake the wait; ours are checked below
     try:
         while True:
             for q in running:
@@ -211,11 +213,15 @@ def await_all(queries: dict, timeout: float | None = None) -> None:
                     q.awaitTermination(max(1, int(deadline - time.monotonic()))) if deadline \
                         else q.awaitTermination()
                 continue
-            # returns when any query of the session ends; raises if it failed
-            if deadline is not None:
-                streams.awaitAnyTermination(max(1, int(deadline - time.monotonic())))
-            else:
-                streams.awaitAnyTermination()
+            # returns when any query of the session ends (raising if it failed); whether it
+            # was one of ours is decided by the checks at the top of the loop
+            try:
+                if deadline is not None:
+                    streams.awaitAnyTermination(max(1, int(deadline - time.monotonic())))
+                else:
+                    streams.awaitAnyTermination()
+            except Exception:  # noqa: BLE001 - re-raised above if the failed query is ours
+                pass
             streams.resetTerminated()
     finally:
         for q in running:
