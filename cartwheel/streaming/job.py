@@ -229,6 +229,23 @@ def await_all(queries: dict, timeout: float | None = None) -> None:
                 q.stop()
 
 
+def stop_gracefully(queries: dict, poll_seconds: float = 0.5, timeout: float | None = 60.0) -> None:
+    """Stop each query between micro-batches: wait while a trigger runs, then stop.
+
+    Best effort (a trigger may start between the check and the stop); a batch cut short
+    is run again on restart and the sinks are idempotent per batch id, so no result
+    depends on the stop landing between batches.
+    """
+    running = [q for q in queries.values() if isinstance(q, StreamingQuery)]
+    deadline = time.monotonic() + timeout if timeout else None
+    for q in running:
+        while q.isActive and q.status.get("isTriggerActive") and (
+                deadline is None or time.monotonic() < deadline):
+            time.sleep(poll_seconds)
+        if q.isActive:
+            q.stop()
+
+
 def tables(spark: SparkSession, paths: JobPaths, start=None, end=None,
            longest_window: dt.timedelta = dt.timedelta(days=1)) -> dict:
     """Current content of the job's tables.

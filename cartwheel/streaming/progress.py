@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import collections
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 PROGRESS_SCHEMA = T.StructType([
     T.StructField("query_name", T.StringType()),
@@ -35,3 +39,39 @@ def progress_rows(progress: list) -> list:
 
 def progress_frame(spark: SparkSession, progress: list) -> DataFrame:
     return spark.createDataFrame(progress_rows(progress), PROGRESS_SCHEMA)
+
+
+def progress_line(p: dict) -> str:
+    """One log line per micro-batch: query, batch, input rows and the two rates."""
+    return (f"[progress] {p.get('name')} batch={p.get('batchId')} input_rows={p.get('numInputRows', 0)} "
+            f"input_rows_per_s={float(p.get('inputRowsPerSecond') or 0.0):.1f} "
+            f"processed_rows_per_s={float(p.get('processedRowsPerSecond') or 0.0):.1f}")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Listener that sees every micro-batch of every query in the session.
+
+    ``recentProgress`` of a query keeps only the last few batches; the listener prints
+    one line per batch and keeps the last ``keep`` progress entries (bounded memory).
+    Register with ``spark.streams.addListener(log)``.
+    """
+
+    def __init__(self, keep: int = 1000, echo: bool = True):
+        self.recent = collections.deque(maxlen=keep)
+        self.echo = echo
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        entry = json.loads(p.json) if hasattr(p, "json") else dict(p)
+        self.recent.append(entry)
+        if self.echo:
+            print(progress_line(entry), flush=True)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

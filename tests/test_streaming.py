@@ -149,3 +149,27 @@ def test_wide_raw_option(spark):
     raw = keyed.union_of_slices(spark, started["paths"].raw)
     assert {"session_id", "device", "referrer", "kafka_timestamp"} <= set(raw.columns)
     assert sorted(r.event_id for r in raw.collect()) == ["dup", "v3"]
+
+
+def test_progress_listener_and_graceful_stop(spark, capsys):
+    import time
+
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming.progress import ProgressLog
+
+    root = scratch_path(spark, "stream-stop")
+    log = ProgressLog(keep=3)
+    spark.streams.addListener(log)
+    try:
+        q = (spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+             .writeStream.format("noop").trigger(processingTime="1 second").queryName("rate_probe")
+             .option("checkpointLocation", f"{root}/ck").start())
+        t0 = time.monotonic()
+        while len([p for p in log.recent if p.get("name") == "rate_probe"]) < 3 and time.monotonic() - t0 < 60:
+            time.sleep(0.5)
+        job.stop_gracefully({"q": q}, timeout=30)
+        assert not q.isActive
+    finally:
+        spark.streams.removeListener(log)
+    assert len(log.recent) == 3  # bounded
+    assert "[progress] rate_probe batch=" in capsys.readouterr().out
