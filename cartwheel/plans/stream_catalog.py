@@ -61,6 +61,11 @@ def replay_run(spark: SparkSession, sf_dir: str) -> dict:
     return run
 
 
+def forget_runs() -> None:
+    """Drop the cached replay runs: the next ``replay_run`` replays again into new folders."""
+    _RUNS.clear()
+
+
 def q_raw_insert_ignore(spark, sf_dir):
     """Raw table after the replay: every valid event once, though the first slice came twice."""
     paths = replay_run(spark, sf_dir)["paths"]
