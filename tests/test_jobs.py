@@ -57,3 +57,21 @@ def test_flash_audit(spark, capsys):
     assert "|P1 " in printed and "P2" not in printed
     jobs.flash_sale_audit(spark, aggs.where("view_count < 0"))
     assert "No flash-sale candidates found." in capsys.readouterr().out
+
+
+def test_cli_jobs_over_the_stream_layout(spark, raw, scratch):
+    from cartwheel.sinks import keyed
+
+    table = f"{scratch}/clickstream_events"
+    keyed.insert_ignore(spark, raw, table, 0, probe_by="event_date")  # event_date=D/batch_id=0
+    jobs.main(["segments", "--raw", table, "--table", f"{scratch}/segments", "--date", "2024-01-15"])
+    segs = spark.read.parquet(f"{scratch}/segments")
+    assert segs.where("segment_date = date'2024-01-15'").count() == 3
+    jobs.main(["daily-report", "--raw", table, "--table", f"{scratch}/report", "--text", f"{scratch}/txt",
+               "--date", "2024-01-15", "--end", "2024-01-17"])
+    report = spark.read.parquet(f"{scratch}/report")
+    assert [r.product_id for r in report.where("report_date = date'2024-01-15'").orderBy("rank").collect()][:2] \
+        == ["PROD-001", "PROD-006"]
+    jobs.main(["conversion", "--raw", table, "--out", f"{scratch}/conv", "--date", "2024-01-15"])
+    csv = open(glob.glob(f"{scratch}/conv/conversion_rates/report_date=2024-01-15/part-*")[0]).read()
+    assert csv.splitlines()[1] == "Laptops,PROD-001,32,1,0.0313"
