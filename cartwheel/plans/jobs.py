@@ -4,6 +4,7 @@
     python -m cartwheel.plans.jobs segments       --raw <raw table> --table <segments table> --date 2024-01-15
     python -m cartwheel.plans.jobs conversion     --raw <raw table> --out <dir> [--date 2024-01-15]
     python -m cartwheel.plans.jobs flash-audit    --aggregates <aggregates log>
+    python -m cartwheel.plans.jobs compact        --table <raw table or window log> --date 2024-01-14 [--end ...] [--log raw|aggregates|alerts]
 
 ``--date`` is the scheduled interval's start (one UTC day); ``--end`` widens the
 interval to back-fill several days in one job.
@@ -22,7 +23,7 @@ from cartwheel.operators import alerts, daily
 from cartwheel.schemas import KEYS
 from cartwheel.session import checkpoint_root
 from cartwheel.sinks import keyed, partitions, reports
-from cartwheel.sources.tables import as_timestamp, read_events_range
+from cartwheel.sources.tables import as_timestamp, dates_between, read_events_range
 
 
 def interval(date=None, end=None):
@@ -86,9 +87,20 @@ def flash_sale_audit(spark: SparkSession, aggregates: DataFrame,
     return found
 
 
+def compact_closed_dates(spark: SparkSession, table: str, log: str, start, end) -> list:
+    """Maintenance: one slice per closed date of a stream-written log (raw events by event
+    date, window logs by window date, latest row per key)."""
+    dates = dates_between(start, end - dt.timedelta(microseconds=1))
+    if log == "raw":
+        return keyed.compact_dates(spark, table, "event_date", dates)
+    keys = KEYS["product_view_aggregates" if log == "aggregates" else "flash_sale_alerts"]
+    return keyed.compact_dates(spark, table, keyed.WINDOW_DATE, dates, keys=keys)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="cartwheel-jobs")
-    ap.add_argument("job", choices=["daily-report", "segments", "conversion", "flash-audit"])
+    ap.add_argument("job", choices=["daily-report", "segments", "conversion", "flash-audit", "compact"])
+    ap.add_argument("--log", choices=["raw", "aggregates", "alerts"], default="raw")
     ap.add_argument("--raw")
     ap.add_argument("--table")
     ap.add_argument("--text")
@@ -106,6 +118,9 @@ def main(argv=None) -> None:
     if args.job == "flash-audit":
         flash_sale_audit(spark, keyed.current(spark, args.aggregates, KEYS["product_view_aggregates"]))
         return
+    if args.job == "compact":
+        compact_closed_dates(spark, args.table, args.log, start, end)
+        return
     events = read_events_range(spark, args.raw, start, end)
     if args.job == "daily-report":
         daily_product_report(spark, events, args.table, args.text, start, end).show(truncate=False)

@@ -261,3 +261,36 @@ def compact(spark: SparkSession, table_path: str, keys, out_path: str, upto_batc
     latest = latest_per_key(log, keys, layout=(date_col,))
     layout = (date_col,) if date_col in latest.columns and date_col not in keys else ()
     write_log_rows(latest, out_path, snapshot_id, layout)
+
+
+def compact_dates(spark: SparkSession, table_path: str, date_col: str, dates, keys=None) -> list:
+    """Rewrite each given date of a date-first log as a single slice (fewer, larger files).
+
+    An upsert log (``keys`` given) keeps only the latest row per key, so the versions
+    merged into one slice stay unambiguous; an insert-ignore log keeps every row.
+
+    A date's rows are read from all its batch folders, checkpointed to the shared folder
+    (which cuts the read from the path about to be replaced) and written back as
+    ``<date_col>=<d>/batch_id=<last batch of the date>``, replacing the date's folder.
+    Only for closed dates that no micro-batch writes any more (older than the late-data
+    tolerance). Returns the dates rewritten; one job pair per date, dates are few.
+    """
+    from cartwheel.session import checkpoint_root
+
+    checkpoint_root(spark)
+    done = []
+    for d in sorted({str(v) for v in dates}):
+        rows = read_partitions(spark, table_path, date_col, [d])
+        if rows is None:
+            continue
+        rows = rows.checkpoint()
+        last = rows.agg(F.max(BATCH_COL)).first()[0]
+        if keys:
+            rows = latest_per_key(rows, keys, layout=(date_col,))
+        (
+            rows.drop(date_col, BATCH_COL).withColumn(BATCH_COL, F.lit(int(last)))
+            .write.mode("overwrite").partitionBy(BATCH_COL)
+            .parquet(f"{table_path.rstrip('/')}/{date_col}={d}")
+        )
+        done.append(d)
+    return done

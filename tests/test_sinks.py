@@ -162,3 +162,42 @@ def test_history_probe_limited_to_batch_dates_and_time_span(spark, scratch):
     keyed.insert_ignore(spark, b1, scratch, 1, probe_by="event_date", probe_range="event_time")
     got = sorted((r.event_id, r.user_id) for r in keyed.union_of_slices(spark, scratch).collect())
     assert got == [("e1", "u1"), ("e2", "u1"), ("e3", "u1"), ("e4", "u1")]
+
+
+def test_compact_dates_keeps_rows_and_dedup(spark, scratch):
+    import pathlib
+
+    rows = [("e1", "u1", "P1", None, "view", ts("2024-01-15 10:00:00")),
+            ("e2", "u1", "P2", None, "view", ts("2024-01-15 11:00:00")),
+            ("e3", "u1", "P3", None, "view", ts("2024-01-16 10:00:00"))]
+    for b, row in enumerate(rows):
+        keyed.insert_ignore(spark, _raw(spark, [row]), scratch, b, probe_by="event_date")
+    before = sorted(tuple(r) for r in keyed.union_of_slices(spark, scratch).collect())
+    assert keyed.compact_dates(spark, scratch, "event_date", [dt.date(2024, 1, 15), dt.date(2024, 2, 1)]) \
+        == ["2024-01-15"]
+    folders = sorted(p.name for p in pathlib.Path(scratch, "event_date=2024-01-15").iterdir() if p.is_dir())
+    assert folders == ["batch_id=1"]
+    assert sorted(tuple(r) for r in keyed.union_of_slices(spark, scratch).collect()) == before
+    # a later batch still finds the compacted ids
+    keyed.insert_ignore(spark, _raw(spark, [rows[0]]), scratch, 3, probe_by="event_date")
+    assert keyed.union_of_slices(spark, scratch).count() == 3
+
+
+def test_compact_dates_of_an_upsert_log_keeps_latest(spark, scratch):
+    from cartwheel.plans import jobs
+
+    schema = "window_start timestamp, window_end timestamp, product_id string, v long"
+
+    def frame(rows):
+        return spark.createDataFrame(rows, schema).withColumn(keyed.WINDOW_DATE, F.to_date("window_start"))
+
+    by_date = (keyed.WINDOW_DATE,)
+    w1 = (ts("2024-01-15 23:00:00"), ts("2024-01-15 23:10:00"))
+    w2 = (ts("2024-01-16 01:00:00"), ts("2024-01-16 01:10:00"))
+    keyed.upsert(frame([(*w1, "P1", 1)]), scratch, 0, partition_by=by_date)
+    keyed.upsert(frame([(*w1, "P1", 4), (*w2, "P2", 2)]), scratch, 1, partition_by=by_date)
+    keys = ["window_start", "window_end", "product_id"]
+    before = sorted(tuple(r) for r in keyed.current(spark, scratch, keys).collect())
+    jobs.main(["compact", "--table", scratch, "--log", "aggregates", "--date", "2024-01-15", "--end", "2024-01-17"])
+    assert sorted(tuple(r) for r in keyed.current(spark, scratch, keys).collect()) == before
+    assert keyed.read_log(spark, scratch).count() == 2  # one version per key left
