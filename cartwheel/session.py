@@ -19,6 +19,8 @@ BASE_CONF = {
     # RocksDB keeps streaming window state off the JVM heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # each micro-batch commit uploads the state changes, not a snapshot of the whole state
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
