@@ -167,9 +167,13 @@ def insert_ignore(
     probe_by: str | None = None,
     probe_range: str | None = None,
     broadcast_limit: int = BROADCAST_KEY_LIMIT,
+    order_only=(),
 ) -> None:
     """Append the batch's rows whose key is in no earlier slice; first row wins inside the batch.
 
+    ``order_only`` names columns that serve the first-row choice only (e.g. the source
+    offsets); they are not stored.
+
     The history is probed with the batch's keys: a semi join against the broadcast
     keys scans history column-pruned to the key and never shuffles it. When the
     batch has more keys than ``broadcast_limit`` a shuffle anti join is used.
@@ -193,7 +197,7 @@ def insert_ignore(
                 fresh = first.join(seen_keys, key, "left_anti")
         else:
             fresh = first
-        write_log_rows(fresh, table_path, batch_id, partition_by)
+        write_log_rows(fresh.drop(*order_only), table_path, batch_id, partition_by)
     finally:
         first.unpersist()
 

@@ -87,7 +87,8 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
                 .withColumn("event_date", F.to_date("event_time"))
             keyed.insert_ignore(
                 spark, rows, paths.raw, batch_id, key="event_id",
-                order_cols=[f"_o_{c}" for c in order], partition_by=("event_date",),
+                order_cols=[f"_o_{c}" for c in order], order_only=[f"_o_{c}" for c in order],
+                partition_by=("event_date",),
                 probe_by=None if strict_keys else "event_date",
                 probe_range="event_time" if probe_time_span and not strict_keys else None,
             )

@@ -81,6 +81,7 @@ def test_late_rows(spark, run):
 def test_raw_table_keeps_first(spark, run):
     paths, _ = run
     raw = keyed.union_of_slices(spark, paths.raw)
+    assert [c for c in raw.columns if c.startswith("_")] == []  # ordering helpers are not stored
     rows = {r.event_id: r for r in raw.collect()}
     assert rows["dup"].event_type == "view"
     assert raw.count() == len(set(e["event_id"] for b in BATCHES for e in b))
