@@ -69,3 +69,16 @@ def test_category_map_broadcast_needs_a_known_bound(spark):
         assert sorted(hinted.collect()) == sorted(unknown.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_spread_only_for_inputs_with_few_splits(spark):
+    from cartwheel.sources.tables import spread_small_input
+
+    one = spark.read.parquet(f"{SF}/events.parquet")
+    assert one.rdd.getNumPartitions() == 1
+    spread = spread_small_input(one, slots=4)
+    assert spread.rdd.getNumPartitions() == 4
+    assert "RoundRobinPartitioning(4)" in spread._jdf.queryExecution().executedPlan().toString()
+    many = spark.range(0, 1000, numPartitions=6)
+    assert spread_small_input(many, slots=4) is many  # enough splits: no shuffle added
+    assert sorted(r.event_id for r in spread.collect()) == sorted(r.event_id for r in one.collect())
