@@ -62,3 +62,22 @@ def test_long_form_counts(spark):
             ("b", "u", "PROD-001", "Laptops", "purchase", ts("2024-01-15 00:05:00"))]
     out = windows.window_event_type_counts(typed(spark, rows), "10 minutes", "2 minutes")
     assert out.count() == 10  # 5 windows x 2 types
+
+
+def test_bucketed_windows_equal_spark_window(spark):
+    from pyspark.sql import functions as F
+
+    from cartwheel.operators import windows
+    from cartwheel.plans import tables as TB
+
+    events = TB.decoded(spark, "/root/testdata/sf0.001")
+    for width, slide in (("10 minutes", "1 minute"), ("6 hours", "1 hour"), ("7 minutes", "3 minutes")):
+        got = windows.sliding_counts(events, width, slide)
+        want = (events.groupBy(F.window("event_time", width, slide).alias("w"), "product_id")
+                .agg(*windows.type_counts())
+                .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                        "product_id", "view_count", "cart_count", "purchase_count"))
+        assert got.schema == want.schema, (width, slide)
+        assert sorted(got.collect()) == sorted(want.collect()), (width, slide)
+    plan = windows.sliding_counts(events, "10 minutes", "1 minute")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan  # events are counted per bucket, not once per window
