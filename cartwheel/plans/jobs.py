@@ -3,7 +3,7 @@
     python -m cartwheel.plans.jobs daily-report   --raw <raw table> --table <report table> --text <dir> --date 2024-01-15
     python -m cartwheel.plans.jobs segments       --raw <raw table> --table <segments table> --date 2024-01-15
     python -m cartwheel.plans.jobs conversion     --raw <raw table> --out <dir> [--date 2024-01-15]
-    python -m cartwheel.plans.jobs flash-audit    --aggregates <aggregates log>
+    python -m cartwheel.plans.jobs flash-audit    --aggregates <aggregates log> [--date 2024-01-15 [--end ...]]
     python -m cartwheel.plans.jobs compact        --table <raw table or window log> --date 2024-01-14 [--end ...] [--log raw|aggregates|alerts]
 
 ``--date`` is the scheduled interval's start (one UTC day); ``--end`` widens the
@@ -116,7 +116,10 @@ def main(argv=None) -> None:
     spark = build_session(app_name=f"cartwheel-{args.job}")
     start, end = interval(args.date, args.end)
     if args.job == "flash-audit":
-        flash_sale_audit(spark, keyed.current(spark, args.aggregates, KEYS["product_view_aggregates"]))
+        # whole table by default; with --date only the window-date folders of the interval
+        dates = dates_between(start, end - dt.timedelta(microseconds=1)) if args.date else None
+        flash_sale_audit(spark, keyed.current(spark, args.aggregates, KEYS["product_view_aggregates"],
+                                              dates=dates))
         return
     if args.job == "compact":
         compact_closed_dates(spark, args.table, args.log, start, end)

@@ -75,3 +75,21 @@ def test_cli_jobs_over_the_stream_layout(spark, raw, scratch):
     jobs.main(["conversion", "--raw", table, "--out", f"{scratch}/conv", "--date", "2024-01-15"])
     csv = open(glob.glob(f"{scratch}/conv/conversion_rates/report_date=2024-01-15/part-*")[0]).read()
     assert csv.splitlines()[1] == "Laptops,PROD-001,32,1,0.0313"
+
+
+def test_flash_audit_cli_for_a_date(spark, scratch, capsys):
+    from cartwheel.sinks import keyed
+    from cartwheel.streaming.job import with_window_date
+
+    schema = ("product_id string, view_count long, cart_count long, purchase_count long, "
+              "window_start timestamp, window_end timestamp")
+    aggs = spark.createDataFrame(
+        [("P1", 101, 0, 0, dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 15, 0, 10)),
+         ("P2", 150, 0, 0, dt.datetime(2024, 1, 16), dt.datetime(2024, 1, 16, 0, 10))], schema)
+    keyed.upsert(with_window_date(aggs), f"{scratch}/aggs", 0, partition_by=(keyed.WINDOW_DATE,))
+    jobs.main(["flash-audit", "--aggregates", f"{scratch}/aggs", "--date", "2024-01-16"])
+    printed = capsys.readouterr().out
+    assert "|P2 " in printed and "P1" not in printed
+    jobs.main(["flash-audit", "--aggregates", f"{scratch}/aggs"])
+    printed = capsys.readouterr().out
+    assert "|P1 " in printed and "|P2 " in printed
