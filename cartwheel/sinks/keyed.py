@@ -26,8 +26,11 @@ from cartwheel.sources.tables import read_partitions
 BATCH_COL = "batch_id"
 # layout column of the upsert logs of windows: the UTC date of window_start
 WINDOW_DATE = "window_date"
-# keys of one micro-batch broadcast for the history probe; the batch size is set by the trigger
+# keys of one micro-batch broadcast for the history probe: at most this many keys and this
+# many estimated bytes (key text + row overhead); larger batches use a shuffle anti join
 BROADCAST_KEY_LIMIT = 2_000_000
+BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+KEY_ROW_OVERHEAD = 32
 
 
 def slice_path(table_path: str, batch_id: int) -> str:
@@ -117,6 +120,7 @@ def history_keys(
     key: str,
     probe_by: str | None = None,
     probe_range: str | None = None,
+    with_bytes: bool = False,
 ):
     """Keys of earlier slices a batch could collide with, and the batch's key count.
 
@@ -126,23 +130,29 @@ def history_keys(
     exact copies): per value of ``probe_by`` only history rows between the batch's least
     and greatest value can match, and that range is pushed to Parquet, which skips row
     groups outside it. An id that comes back with another value of either column is not
-    found. Returns ``(keys or None, n_keys)``.
+    found. Returns ``(keys or None, n_keys)``, with ``with_bytes`` also the total length
+    of the batch's key text (measured in the same pass).
     """
+    stats = [F.count(F.lit(1)).alias("_n"),
+             F.coalesce(F.sum(F.length(F.col(key).cast("string"))), F.lit(0)).alias("_b")]
+
+    def result(keys, rows):
+        n_keys = sum(r["_n"] for r in rows)
+        return (keys, n_keys, sum(r["_b"] for r in rows)) if with_bytes else (keys, n_keys)
+
     if not probe_by:
         log = read_log(spark, table_path)
-        n_keys = batch.count()
+        totals = [batch.agg(*stats).first()]
         if log is None:
-            return None, n_keys
-        return log.where(F.col(BATCH_COL) < F.lit(int(batch_id))).select(key), n_keys
-    stats = [F.count(F.lit(1)).alias("_n")]
+            return result(None, totals)
+        return result(log.where(F.col(BATCH_COL) < F.lit(int(batch_id))).select(key), totals)
     if probe_range:
         stats += [F.min(probe_range).alias("_lo"), F.max(probe_range).alias("_hi")]
     # one row per value in the batch (the dates of one micro-batch): bounded metadata
     per_value = batch.groupBy(probe_by).agg(*stats).collect()
-    n_keys = sum(r["_n"] for r in per_value)
     log = read_partitions(spark, table_path, probe_by, [r[probe_by] for r in per_value])
     if log is None:
-        return None, n_keys
+        return result(None, per_value)
     log = log.where(F.col(BATCH_COL) < F.lit(int(batch_id)))
     if probe_range:
         kind = log.schema[probe_range].dataType
@@ -153,7 +163,7 @@ def history_keys(
                 one = one & F.col(probe_range).between(F.lit(r["_lo"]).cast(kind), F.lit(r["_hi"]).cast(kind))
             cond = one if cond is None else cond | one
         log = log.where(cond)
-    return log.select(key), n_keys
+    return result(log.select(key), per_value)
 
 
 def insert_ignore(
@@ -168,6 +178,7 @@ def insert_ignore(
     probe_range: str | None = None,
     broadcast_limit: int = BROADCAST_KEY_LIMIT,
     order_only=(),
+    broadcast_bytes: int = BROADCAST_KEY_BYTES,
 ) -> None:
     """Append the batch's rows whose key is in no earlier slice; first row wins inside the batch.
 
@@ -176,7 +187,9 @@ def insert_ignore(
 
     The history is probed with the batch's keys: a semi join against the broadcast
     keys scans history column-pruned to the key and never shuffles it. When the
-    batch has more keys than ``broadcast_limit`` a shuffle anti join is used.
+    batch has more keys than ``broadcast_limit``, or more estimated bytes than
+    ``broadcast_bytes`` (key text measured with the count, plus a row overhead), a
+    shuffle anti join is used.
 
     ``probe_by`` names a partition column whose value is fixed for a key (for events,
     the date of the event time: a redelivered event carries its own time); the probe
@@ -187,10 +200,12 @@ def insert_ignore(
     """
     first = first_per_key(batch, key, order_cols).persist()
     try:
-        seen_keys, n_keys = history_keys(spark, table_path, first, batch_id, key, probe_by, probe_range)
+        seen_keys, n_keys, key_bytes = history_keys(spark, table_path, first, batch_id, key, probe_by,
+                                                    probe_range, with_bytes=True)
         if seen_keys is not None:
             batch_keys = first.select(key)
-            if n_keys <= broadcast_limit:
+            size = key_bytes + KEY_ROW_OVERHEAD * n_keys
+            if n_keys <= broadcast_limit and size <= broadcast_bytes:
                 seen = seen_keys.join(F.broadcast(batch_keys), key, "left_semi")
                 fresh = first.join(F.broadcast(seen), key, "left_anti")
             else:

@@ -201,3 +201,13 @@ def test_compact_dates_of_an_upsert_log_keeps_latest(spark, scratch):
     jobs.main(["compact", "--table", scratch, "--log", "aggregates", "--date", "2024-01-15", "--end", "2024-01-17"])
     assert sorted(tuple(r) for r in keyed.current(spark, scratch, keys).collect()) == before
     assert keyed.read_log(spark, scratch).count() == 2  # one version per key left
+
+
+def test_insert_ignore_byte_bound_picks_the_shuffle_path(spark, scratch):
+    b0 = _raw(spark, [("e1", "u1", "P1", None, "view", ts("2024-01-15 10:00:00")),
+                      ("e2", "u1", "P2", None, "view", ts("2024-01-15 10:00:01"))])
+    _, n_keys, key_bytes = keyed.history_keys(spark, scratch, b0, 0, "event_id", "event_date", with_bytes=True)
+    assert (n_keys, key_bytes) == (2, 4)
+    keyed.insert_ignore(spark, b0, scratch, 0, probe_by="event_date", broadcast_bytes=1)
+    keyed.insert_ignore(spark, b0, scratch, 1, probe_by="event_date", broadcast_bytes=1)
+    assert keyed.union_of_slices(spark, scratch).count() == 2
