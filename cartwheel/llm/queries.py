@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwheel.llm import packing, token_store
+from cartwheel.llm import decontaminate, packing, simhash, storage, token_store
 from cartwheel.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    storage.ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write_store(_table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=0)
@@ -28,8 +34,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, capacity=1024)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_store, op6_packing)}
+    return {f.__name__: f for f in (op3_simhash, op5_token_store, op6_packing, op9_decontaminate)}
 
 
 def all_sql() -> dict[str, str]:

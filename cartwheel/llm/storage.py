@@ -7,6 +7,9 @@ files that no manifest names, so a retried task never mixes with them.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyarrow import fs as pafs
@@ -24,6 +27,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to Python workers that cannot import it; once for each Spark application."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    if home in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_cartwheel_shipped", False):
+        return
+    at = tempfile.mkdtemp(prefix="cartwheel-package-")
+    sc.addPyFile(shutil.make_archive(f"{at}/cartwheel_package", "zip", home, "cartwheel"))
+    sc._cartwheel_shipped = True
+
+
 def open_fs(uri: str):
     """(filesystem, path) of a folder URI; a bare path is local."""
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else f"file://{uri}")
