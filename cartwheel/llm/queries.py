@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, packing, simhash, storage, token_store
+from cartwheel.llm import decontaminate, packing, simhash, storage, token_store, warc
 from cartwheel.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,30 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path, min_revisit=1000)
+    return warc.read_archives(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH bytes AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha1(coalesce(html, '')) AS payload_digest
+    FROM pages),
+known AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes >= 1000)
+              END AS response
+    FROM bytes)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response <> page_id OR (page_id IS NULL AND response IS NOT NULL) THEN 'revisit' ELSE 'response' END
+           AS record_type,
+       CASE WHEN response <> page_id OR (page_id IS NULL AND response IS NOT NULL) THEN response END AS refers_to
+FROM known
+"""
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write_store(_table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=0)
@@ -42,8 +66,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash, op5_token_store, op6_packing, op9_decontaminate)}
+    return {f.__name__: f for f in (op3_simhash, op4_warc, op5_token_store, op6_packing, op9_decontaminate)}
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc": OP4_SQL}

@@ -60,7 +60,7 @@ class RollingFiles:
     def open(self):
         self.tmp = f"tmp/{self.attempt}-{self.seq:05d}{self.suffix}"
         self.name = f"part-{self.part:06d}-{self.seq:05d}{self.suffix}"
-        self.out, self.size = self.fs.open_output_stream(f"{self.root}/{self.tmp}"), 0
+        self.out, self.size = self.fs.open_output_stream(f"{self.root}/{self.tmp}", compression=None), 0
 
     def write(self, data: bytes) -> int:
         """Appends and returns the place of ``data`` in the file."""
