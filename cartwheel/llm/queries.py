@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, packing, simhash, storage, token_store, warc
+from cartwheel.llm import decontaminate, packing, simhash, storage, token_store, toxicity, warc
 from cartwheel.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,8 +65,19 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def fold(parts: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.fit(docs, _table(spark, sf_dir, "labels"), usable=fold(3) != 1)
+    return toxicity.score(docs, net).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash, op4_warc, op5_token_store, op6_packing, op9_decontaminate)}
+    return {f.__name__: f for f in (op3_simhash, op4_warc, op5_token_store, op6_packing, op9_decontaminate, op10_toxicity)}
 
 
 def all_sql() -> dict[str, str]:
