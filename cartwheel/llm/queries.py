@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, packing, simhash, storage, token_store, toxicity, warc
+from cartwheel.llm import decontaminate, line_dedup, packing, simhash, storage, token_store, toxicity, warc
 from cartwheel.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,52 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs, count="n_dropped")
+
+
+OP2_SQL = r"""
+WITH docs AS (SELECT doc_id, text, row_number() OVER () AS r FROM documents),
+raw AS (SELECT doc_id, r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+        FROM docs),
+split AS (
+    SELECT doc_id, r, place, list_filter(regexp_split_to_array(
+        regexp_replace(line, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'), lambda w: w <> '') AS words
+    FROM raw),
+lines AS (
+    SELECT doc_id, r, place, words, len(words) AS size, array_to_string(words[1:3], ' ') AS head,
+           array_to_string(words, ' ') AS line
+    FROM split WHERE len(words) > 0),
+leaves AS (SELECT size, head FROM lines GROUP BY ALL HAVING count(DISTINCT doc_id) > 1),
+few AS (SELECT l.* FROM lines l JOIN leaves USING (size, head)),
+distinct_lines AS (SELECT size, head, line, any_value(words) AS words FROM few GROUP BY size, head, line),
+placed AS (SELECT size, head, line, unnest(words) AS word, generate_subscripts(words, 1) AS spot FROM distinct_lines),
+shared AS (SELECT size, head, spot, word FROM placed GROUP BY ALL HAVING count(*) > 1),
+spelled AS (
+    SELECT p.*, s.word IS NOT NULL AND p.word <> '<*>' AS fixed
+    FROM placed p LEFT JOIN shared s ON p.size = s.size AND p.head = s.head AND p.spot = s.spot AND p.word = s.word),
+whole AS (
+    SELECT size, head, line, string_agg(CASE WHEN fixed THEN word ELSE '<*>' END, ' ' ORDER BY spot) AS template
+    FROM spelled GROUP BY size, head, line HAVING avg(CASE WHEN fixed THEN 1.0 ELSE 0.0 END) >= 0.7),
+named AS (
+    SELECT f.doc_id, f.r, f.place, f.size, f.head, w.template IS NOT NULL AS general, coalesce(w.template, f.line) AS template
+    FROM few f LEFT JOIN whole w USING (size, head, line)),
+often AS (
+    SELECT size, head, general, template, min(doc_id) AS first FROM named GROUP BY ALL
+    HAVING count(DISTINCT doc_id) >= CASE WHEN size >= 8 THEN 2 ELSE 10 END),
+gone AS (
+    SELECT n.r, n.place FROM named n JOIN often o USING (size, head, general, template) WHERE n.doc_id <> o.first),
+rest AS (
+    SELECT raw.r, string_agg(raw.line, chr(10) ORDER BY raw.place) FILTER (WHERE gone.r IS NULL) AS text,
+           count(gone.r) AS n_dropped
+    FROM raw LEFT JOIN gone ON raw.r = gone.r AND raw.place = gone.place GROUP BY raw.r)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(x.text, '') END AS text,
+       coalesce(x.n_dropped, 0) AS n_dropped
+FROM docs d LEFT JOIN rest x ON d.r = x.r
+"""
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -77,8 +123,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash, op4_warc, op5_token_store, op6_packing, op9_decontaminate, op10_toxicity)}
+    return {f.__name__: f for f in (op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op9_decontaminate, op10_toxicity)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL}
