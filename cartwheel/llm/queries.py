@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, line_dedup, packing, simhash, storage, token_store, toxicity, warc
+from cartwheel.llm import decontaminate, line_dedup, packing, quality_rules, simhash, storage, token_store, toxicity, warc
 from cartwheel.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(parts: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, _table(spark, sf_dir, "labels"), usable=fold(4) != 2)
+    return quality_rules.score(docs, model).select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup(docs, count="n_dropped")
@@ -111,10 +122,6 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def fold(parts: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % parts
-
-
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     net = toxicity.fit(docs, _table(spark, sf_dir, "labels"), usable=fold(3) != 1)
@@ -123,7 +130,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op9_decontaminate, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op9_decontaminate, op10_toxicity)}
 
 
 def all_sql() -> dict[str, str]:
