@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, line_dedup, packing, quality_rules, simhash, storage, token_store, toxicity, warc
+from cartwheel.llm import decontaminate, line_dedup, packing, quality_rules, simhash, storage, token_store, topk, toxicity, warc
 from cartwheel.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -115,6 +115,28 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, capacity=1024)
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+OP7_SQL = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 50 = 0),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
     return found.select(
@@ -130,8 +152,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op9_decontaminate, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op7_topk, op9_decontaminate, op10_toxicity)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op7_topk": OP7_SQL}
