@@ -158,6 +158,8 @@ def train(x: np.ndarray, y: np.ndarray, names: list[str]) -> Model:
         share = float(y.mean()) if len(y) else 0.5
         return Model(float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     rules = extract_rules(x, y, names)
+    if not rules:  # too few rows, or all alike
+        return Model(0.0)
     r = np.stack([rule.matrix(names, x) for rule in rules], 1).astype(float)
     weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
     bias, w = lasso(r, y, weight)

@@ -246,9 +246,10 @@ def windows(numbers: list[int]) -> list[list[int]]:
     return [numbers[s:s + WINDOW] for s in starts]
 
 
-def train(documents: list[list[list[str]]], labels: list[int], epochs: int = 6, batch: int = 192,
+def train(documents: list[list[list[str]]], labels: list[int], epochs: int = 6, least_steps: int = 150, batch: int = 192,
           rate: float = 0.01, seed: int = 7) -> Network | None:
-    """A network fitted to documents, each a list of windows of words, and their labels."""
+    """A network fitted to documents, each a list of windows of words, and their labels; small samples are
+    read again until ``least_steps`` batches were taken."""
     if len(set(labels)) < 2:
         return None
     rng = np.random.default_rng(seed)
@@ -265,8 +266,9 @@ def train(documents: list[list[list[str]]], labels: list[int], epochs: int = 6,
     truth = np.array(labels, np.float32)[owner]
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step, chosen = 0, np.arange(len(parts))
+    epochs = max(epochs, -(-least_steps * batch // len(parts)))
     for epoch in range(epochs):
-        if epoch >= 2:  # of a toxic document only windows that look toxic, at least the most toxic one
+        if 3 * epoch >= epochs:  # of a toxic document only windows that look toxic, at least the most toxic one
             score = score_windows(net, rows, runs, parts)
             best = np.zeros(len(documents), np.float32)
             np.maximum.at(best, owner, score)
