@@ -250,7 +250,7 @@ def digest(names: list[str]) -> str:
     return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
 
 
-_WORDS_OF_TEXT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_WORDS_OF_TEXT = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # the same words before lower-casing
 
 
 def _without(texts, spans):

@@ -104,7 +104,7 @@ def flips(mask: int, most: int) -> list[int]:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` (the least node reachable) of every node of ``edges`` (a > b).
+    """``node, root`` (the least node reachable) of every node of ``edges`` (a > b) but the roots themselves.
 
     Large-star and small-star rounds; each round's edges are a written table, and their number never grows
     beyond the first's, so no neighbourhood is gathered in one place.
