@@ -27,9 +27,9 @@ class KafkaSettings:
     topic: str = "clickstream-events"
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
-    # records per micro-batch at most: a replay from the earliest offsets or a backlog after
-    # downtime arrives as a sequence of bounded batches, not as one batch of everything
-    max_offsets_per_trigger: int | None = 10_000_000
+    # records per micro-batch at most; None: a batch takes all that has arrived. Set it for a replay
+    # from the earliest offsets or a backlog, so that they arrive as a sequence of bounded batches
+    max_offsets_per_trigger: int | None = None
     extra: dict = field(default_factory=dict)
 
     def source_options(self, starting_offsets: str | None = None) -> dict:

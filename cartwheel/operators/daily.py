@@ -1,8 +1,9 @@
 """Daily batch operators over raw events.
 
-Each takes a half-open time range ``[start, end)`` and works per UTC calendar
-day inside it, so a one-day range gives the scheduled job's result and a longer
-range back-fills every day in one job (one scan, one shuffle per aggregate).
+Each takes a half-open time range ``[start, end)``. By default it works per UTC calendar
+day inside it, so a long range back-fills every day in one job (one scan, one shuffle per
+aggregate). With ``as_date`` the whole range is one scheduled interval, dated by it,
+wherever in the day the interval starts.
 """
 
 from __future__ import annotations
@@ -28,22 +29,23 @@ def _carts():
     return F.count_if(F.col("event_type") == "add_to_cart").alias("total_carts")
 
 
-def day_events(events: DataFrame, start, end, day_col: str, time_col: str = "event_time") -> DataFrame:
-    """Events of ``[start, end)`` with their UTC day; the range predicate reaches the scan."""
-    return in_range(events, start, end, time_col).withColumn(day_col, F.to_date(F.col(time_col)))
+def day_events(events: DataFrame, start, end, day_col: str, time_col: str = "event_time", as_date=None) -> DataFrame:
+    """Events of ``[start, end)`` with their UTC day, or ``as_date``; the range predicate reaches the scan."""
+    day = F.to_date(F.col(time_col)) if as_date is None else F.lit(str(as_date)).cast("date")
+    return in_range(events, start, end, time_col).withColumn(day_col, day)
 
 
-def product_day_counts(events: DataFrame, start, end) -> DataFrame:
+def product_day_counts(events: DataFrame, start, end, as_date=None) -> DataFrame:
     """Views and purchases per (day, product); products with purchases only are kept (A2)."""
     return (
-        day_events(events, start, end, "report_date")
+        day_events(events, start, end, "report_date", as_date=as_date)
         .groupBy("report_date", "product_id")
         .agg(_views(), _purchases())
     )
 
 
 def daily_top_products(
-    events: DataFrame, start, end, top_n: int = C.TOP_N, strict: bool = True, created_at=None
+    events: DataFrame, start, end, top_n: int = C.TOP_N, strict: bool = True, created_at=None, as_date=None
 ) -> DataFrame:
     """Top products per day by views, ties by product_id, with a 4-place rate.
 
@@ -52,7 +54,7 @@ def daily_top_products(
     DECIMAL(6,4); ``strict`` makes an overflow (ratio >= 100) fail as the database
     column does, otherwise it becomes NULL.
     """
-    counts = product_day_counts(events, start, end)
+    counts = product_day_counts(events, start, end, as_date)
     order = Window.partitionBy("report_date").orderBy(F.desc("total_views"), F.asc("product_id"))
     ranked = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
     rate = conversion_rate("total_purchases", "total_views")
@@ -71,7 +73,7 @@ def daily_top_products(
 
 
 def user_segments(
-    events: DataFrame, start, end, three_way: bool = False, created_at=None
+    events: DataFrame, start, end, three_way: bool = False, created_at=None, as_date=None
 ) -> DataFrame:
     """Per (day, user): Buyer when any purchase, else Window Shopper.
 
@@ -80,7 +82,7 @@ def user_segments(
     large share of the events costs one partial row per task.
     """
     agg = (
-        day_events(events, start, end, "segment_date")
+        day_events(events, start, end, "segment_date", as_date=as_date)
         .groupBy("segment_date", "user_id")
         .agg(_views(), _purchases(), _carts())
     )
@@ -94,10 +96,10 @@ def user_segments(
     return agg.select(*cols)
 
 
-def conversion_by_product(events: DataFrame, start, end) -> DataFrame:
+def conversion_by_product(events: DataFrame, start, end, as_date=None) -> DataFrame:
     """Per (day, category or 'Unknown', product) with views > 0 and a 4-place rate."""
     return (
-        day_events(events, start, end, "report_date")
+        day_events(events, start, end, "report_date", as_date=as_date)
         .groupBy(
             "report_date",
             F.coalesce(F.col("category"), F.lit(C.UNKNOWN_CATEGORY)).alias("category"),

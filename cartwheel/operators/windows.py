@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import DataFrame
@@ -29,6 +30,14 @@ def _seconds(duration: str) -> int | None:
     return int(m.group(1)) * _UNIT_SECONDS[m.group(2)] if m else None
 
 
+def duration(text: str) -> dt.timedelta:
+    """A window duration as a time span."""
+    seconds = _seconds(text)
+    if seconds is None:
+        raise ValueError(f"not a duration of seconds, minutes, hours or days: {text!r}")
+    return dt.timedelta(seconds=seconds)
+
+
 def bucketed_window_sums(
     events: DataFrame, window: str, slide: str, time_col: str, keys, aggregates
 ) -> DataFrame | None:

@@ -6,8 +6,9 @@
     python -m cartwheel.plans.jobs flash-audit    --aggregates <aggregates log> [--date 2024-01-15 [--end ...]]
     python -m cartwheel.plans.jobs compact        --table <raw table or window log> --date 2024-01-14 [--end ...] [--log raw|aggregates|alerts]
 
-``--date`` is the scheduled interval's start (one UTC day); ``--end`` widens the
-interval to back-fill several days in one job.
+``--date`` is the scheduled interval's start, with or without a time of day; ``--end`` its end (a day
+later by default). A run makes one report for the interval, dated by its start;
+``--backfill`` makes one for every calendar day of it in one job.
 """
 
 from __future__ import annotations
@@ -33,6 +34,12 @@ def interval(date=None, end=None):
     return start, stop
 
 
+def dated(start, end, backfill: bool):
+    """The date that stands for the interval (None: every event's own), and the dates a run replaces."""
+    first = as_timestamp(start).date()
+    return (None, start, end) if backfill else (first, first, first + dt.timedelta(days=1))
+
+
 def with_defaults(df: DataFrame, counts=(), stamps=()) -> DataFrame:
     """Column defaults of the stored tables: 0 for counts, the clock for time stamps."""
     for c in counts:
@@ -44,36 +51,40 @@ def with_defaults(df: DataFrame, counts=(), stamps=()) -> DataFrame:
 
 
 def daily_product_report(spark: SparkSession, events: DataFrame, table: str, text_dir: str | None,
-                         start, end) -> DataFrame:
-    """Top products per day -> replace the days in the table -> read back -> text report."""
-    report = with_defaults(daily.daily_top_products(events, start, end), stamps=("created_at",))
-    partitions.replace_dates(spark, report, table, "report_date", start, end)
-    stored = partitions.read_dates(spark, table, "report_date", start.date(), end)
+                         start, end, backfill: bool = False) -> DataFrame:
+    """Top products of the interval (or per day) -> replace the dates in the table -> read back -> text report."""
+    as_date, first, last = dated(start, end, backfill)
+    report = with_defaults(daily.daily_top_products(events, start, end, as_date=as_date), stamps=("created_at",))
+    partitions.replace_dates(spark, report, table, "report_date", first, last)
+    stored = partitions.read_dates(spark, table, "report_date", first, last)
     if text_dir:
-        days = reports.report_days(spark, start, end)
+        days = reports.report_days(spark, first, last)
         reports.write_text(reports.top_products_lines(stored, days), text_dir)
     return stored.orderBy("report_date", "rank")
 
 
 def user_segmentation(spark: SparkSession, events: DataFrame, table: str, start, end,
-                      three_way: bool = False) -> DataFrame:
-    """Segments per day -> replace the days in the table."""
-    segs = with_defaults(daily.user_segments(events, start, end, three_way=three_way),
+                      three_way: bool = False, backfill: bool = False) -> DataFrame:
+    """Segments of the interval (or per day) -> replace the dates in the table."""
+    as_date, first, last = dated(start, end, backfill)
+    segs = with_defaults(daily.user_segments(events, start, end, three_way=three_way, as_date=as_date),
                          counts=("total_views", "total_purchases"), stamps=("created_at",))
-    partitions.replace_dates(spark, segs, table, "segment_date", start, end)
-    return partitions.read_dates(spark, table, "segment_date", start.date(), end)
+    partitions.replace_dates(spark, segs, table, "segment_date", first, last)
+    return partitions.read_dates(spark, table, "segment_date", first, last)
 
 
-def conversion_report(spark: SparkSession, events: DataFrame, out_dir: str, start, end) -> None:
-    """Per-product conversion CSV and the category summary text, one file each per day.
+def conversion_report(spark: SparkSession, events: DataFrame, out_dir: str, start, end,
+                      backfill: bool = False) -> None:
+    """Per-product conversion CSV and the category summary text, one file each per interval (or day).
 
-    The per-product rows (one per day, category and product) feed both outputs; they are
+    The per-product rows (one per date, category and product) feed both outputs; they are
     checkpointed once to the shared folder, so the events are scanned once.
     """
     checkpoint_root(spark)
-    conv = daily.conversion_by_product(events, start, end).checkpoint()
+    as_date, first, last = dated(start, end, backfill)
+    conv = daily.conversion_by_product(events, start, end, as_date).checkpoint()
     reports.write_csv(reports.conversion_csv_rows(conv), f"{out_dir}/conversion_rates")
-    days = reports.report_days(spark, start, end)
+    days = reports.report_days(spark, first, last)
     reports.write_text(reports.category_summary_lines(daily.category_conversion(conv), days),
                        f"{out_dir}/category_conversion_summary")
 
@@ -109,6 +120,7 @@ def main(argv=None) -> None:
     ap.add_argument("--date")
     ap.add_argument("--end")
     ap.add_argument("--three-way", action="store_true")
+    ap.add_argument("--backfill", action="store_true", help="one report for each calendar day of the interval")
     args = ap.parse_args(argv)
 
     from cartwheel.session import build_session
@@ -126,11 +138,11 @@ def main(argv=None) -> None:
         return
     events = read_events_range(spark, args.raw, start, end)
     if args.job == "daily-report":
-        daily_product_report(spark, events, args.table, args.text, start, end).show(truncate=False)
+        daily_product_report(spark, events, args.table, args.text, start, end, args.backfill).show(truncate=False)
     elif args.job == "segments":
-        user_segmentation(spark, events, args.table, start, end, args.three_way)
+        user_segmentation(spark, events, args.table, start, end, args.three_way, args.backfill)
     else:
-        conversion_report(spark, events, args.out, start, end)
+        conversion_report(spark, events, args.out, start, end, args.backfill)
 
 
 if __name__ == "__main__":

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from cartwheel.sources.tables import read_partitions
+from cartwheel.sources.tables import nothing_stored, read_partitions
 
 BATCH_COL = "batch_id"
 # layout column of the upsert logs of windows: the UTC date of window_start
@@ -48,7 +48,9 @@ def read_log(spark: SparkSession, table_path: str, schema=None) -> DataFrame | N
     """All slices with their ``batch_id``; None (or an empty frame of ``schema``) when there are none."""
     try:
         return spark.read.option("basePath", table_path).parquet(table_path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not nothing_stored(error):
+            raise
         if schema is None:
             return None
         return spark.createDataFrame([], schema).withColumn(BATCH_COL, F.lit(0))
@@ -102,13 +104,17 @@ def read_batch(spark: SparkSession, table_path: str, batch_id: int, partition_co
     if partition_col is None:
         try:
             return spark.read.parquet(slice_path(table_path, batch_id))
-        except AnalysisException:
+        except AnalysisException as error:
+            if not nothing_stored(error):
+                raise
             return None
     if values is not None:
         return read_partitions(spark, table_path, partition_col, values, below)
     try:
         return spark.read.option("basePath", table_path).parquet(f"{table_path}/{partition_col}=*/{below}")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not nothing_stored(error):
+            raise
         return None
 
 
@@ -134,7 +140,7 @@ def history_keys(
     of the batch's key text (measured in the same pass).
     """
     stats = [F.count(F.lit(1)).alias("_n"),
-             F.coalesce(F.sum(F.length(F.col(key).cast("string"))), F.lit(0)).alias("_b")]
+             F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias("_b")]
 
     def result(keys, rows):
         n_keys = sum(r["_n"] for r in rows)
@@ -147,7 +153,8 @@ def history_keys(
             return result(None, totals)
         return result(log.where(F.col(BATCH_COL) < F.lit(int(batch_id))).select(key), totals)
     if probe_range:
-        stats += [F.min(probe_range).alias("_lo"), F.max(probe_range).alias("_hi")]
+        # as text, which Spark reads back in the session's zone whatever the machine's zone is
+        stats += [F.min(probe_range).cast("string").alias("_lo"), F.max(probe_range).cast("string").alias("_hi")]
     # one row per value in the batch (the dates of one micro-batch): bounded metadata
     per_value = batch.groupBy(probe_by).agg(*stats).collect()
     log = read_partitions(spark, table_path, probe_by, [r[probe_by] for r in per_value])
@@ -224,8 +231,8 @@ def latest_per_key(log: DataFrame, keys, layout=(WINDOW_DATE,)) -> DataFrame:
     """
     group = list(keys) + [c for c in layout if c in log.columns and c not in keys]
     values = [c for c in log.columns if c not in group and c != BATCH_COL]
-    latest = log.groupBy(*group).agg(F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("_row"))
-    return latest.select(*group, "_row.*")
+    # one aggregate a column: with fixed-width columns Spark hashes, a struct would make it sort the whole log
+    return log.groupBy(*group).agg(*[F.max_by(c, BATCH_COL).alias(c) for c in values])
 
 
 def upsert(batch: DataFrame, table_path: str, batch_id: int, partition_by=(), observe: bool = False):

@@ -13,14 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.sources.tables import as_timestamp
-
-
-def dates_of(start, end) -> list[dt.date]:
-    first = as_timestamp(start).date()
-    last = as_timestamp(end)
-    n = (last.date() - first).days + (1 if last.time() != dt.time() else 0)
-    return [first + dt.timedelta(days=i) for i in range(n)]
+from cartwheel.sources.tables import as_timestamp, dates_of
 
 
 def replace_dates(
@@ -57,9 +50,11 @@ def replace_dates(
 
 
 def read_dates(spark: SparkSession, table_path: str, date_col: str, start=None, end=None) -> DataFrame:
+    """Rows of the dates of ``[start, end)``, a partial last day included."""
     df = spark.read.parquet(table_path)
     if start is not None:
         df = df.where(F.col(date_col) >= F.lit(as_timestamp(start).date()))
     if end is not None:
-        df = df.where(F.col(date_col) < F.lit(as_timestamp(end).date()))
+        past = as_timestamp(end) + dt.timedelta(days=1) - dt.timedelta(microseconds=1)
+        df = df.where(F.col(date_col) < F.lit(past.date()))
     return df

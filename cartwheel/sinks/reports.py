@@ -14,15 +14,13 @@ from cartwheel import constants as C
 from cartwheel.functions.rates import decimal_percent_text, fixed4_text
 from cartwheel.functions.text import pipe_line
 from cartwheel.operators.daily import conversion_order
-from cartwheel.sources.tables import as_timestamp
+from cartwheel.sources.tables import as_timestamp, dates_of
 
 
 def report_days(spark: SparkSession, start, end, name: str = "report_date") -> DataFrame:
     """Every UTC date of ``[start, end)`` (size set by the range, not by the data)."""
     first = as_timestamp(start).date()
-    last = as_timestamp(end)
-    n = (last.date() - first).days + (1 if last.time() != last.min.time() else 0)
-    return spark.range(max(n, 0)).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias(name))
+    return spark.range(len(dates_of(start, end))).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias(name))
 
 
 def _header(days: DataFrame, title: str, columns: str, rule: str) -> DataFrame:
@@ -98,25 +96,27 @@ def category_summary_lines(categories: DataFrame, days: DataFrame) -> DataFrame:
 
 
 def write_text(lines: DataFrame, path: str) -> None:
-    """One text file per date under ``report_date=<d>/``, lines in order."""
+    """One text file per date under ``report_date=<d>/``, lines in order; files of other dates stay."""
     (
         lines.repartition("report_date")
         .sortWithinPartitions("report_date", "line_no")
         .select("report_date", "line")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("report_date")
         .text(path)
     )
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
-    """One CSV file with header per date under ``report_date=<d>/``, rows in report order."""
+    """One CSV file with header per date under ``report_date=<d>/``, rows in report order; other dates stay."""
     cols = list(C.CSV_HEADER)
     (
         rows.repartition("report_date")
         .sortWithinPartitions("report_date", "line_no")
         .select("report_date", *cols)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
         .partitionBy("report_date")
         .csv(path)

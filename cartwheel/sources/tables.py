@@ -15,6 +15,11 @@ def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def nothing_stored(error: AnalysisException) -> bool:
+    """Whether a read failed because no file is there yet; any other fault is the caller's."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def spread_small_input(df: DataFrame, slots: int | None = None) -> DataFrame:
     """Spread an input of fewer splits than task slots round-robin over the slots.
 
@@ -34,16 +39,20 @@ def spread_small_input(df: DataFrame, slots: int | None = None) -> DataFrame:
 
 
 def as_timestamp(value) -> dt.datetime:
-    if isinstance(value, dt.datetime):
-        return value
-    if isinstance(value, dt.date):
+    """A naive UTC time; a time with a zone is brought to UTC first."""
+    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
         return dt.datetime(value.year, value.month, value.day)
-    return dt.datetime.fromisoformat(str(value))
+    found = value if isinstance(value, dt.datetime) else dt.datetime.fromisoformat(str(value))
+    return found if found.tzinfo is None else found.astimezone(dt.timezone.utc).replace(tzinfo=None)
 
 
 def time_literal(df: DataFrame, column: str, value):
-    """Literal of the column's own timestamp type, so the predicate stays sargable."""
-    return F.lit(as_timestamp(value)).cast(df.schema[column].dataType)
+    """Literal of the column's own timestamp type, so the predicate stays sargable.
+
+    Built from text, which Spark reads in the session's zone (UTC); a Python datetime would
+    be read in the zone of the driver's machine.
+    """
+    return F.lit(as_timestamp(value).isoformat(sep=" ")).cast(df.schema[column].dataType)
 
 
 def in_range(df: DataFrame, start, end, column: str = "event_time") -> DataFrame:
@@ -79,10 +88,19 @@ def read_partitions(spark: SparkSession, table_path: str, column: str, values, b
     pattern = f"{table_path.rstrip('/')}/{column}={{{','.join(values)}}}" + (f"/{below}" if below else "")
     try:
         return spark.read.option("basePath", table_path).parquet(pattern)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not nothing_stored(error):
+            raise
         return None
 
 
+def dates_of(start, end) -> list[dt.date]:
+    """Every date of ``[start, end)``; the last one counts if ``end`` has a time of day."""
+    first, last = as_timestamp(start).date(), as_timestamp(end)
+    n = (last.date() - first).days + (1 if last.time() != dt.time() else 0)
+    return [first + dt.timedelta(days=i) for i in range(n)]
+
+
 def dates_between(start, end) -> list[dt.date]:
     """Every date from ``start``'s to ``end``'s, both included."""
     first, last = as_timestamp(start).date(), as_timestamp(end).date()

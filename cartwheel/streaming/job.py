@@ -16,7 +16,6 @@ Checkpoints live under the session's shared checkpoint folder unless given.
 
 from __future__ import annotations
 
-import datetime as dt
 import time
 from dataclasses import dataclass
 
@@ -27,11 +26,11 @@ from pyspark.sql.streaming import StreamingQuery
 from cartwheel.config import StreamSettings
 from cartwheel.operators import alerts as alert_ops
 from cartwheel.operators import decode
-from cartwheel.operators.windows import sliding_counts
+from cartwheel.operators.windows import duration, sliding_counts
 from cartwheel.schemas import KEYS
 from cartwheel.session import checkpoint_root
 from cartwheel.sinks import keyed
-from cartwheel.sources.tables import as_timestamp, dates_between, read_events_range
+from cartwheel.sources.tables import as_timestamp, dates_between, in_closed_range, read_events_range
 
 
 @dataclass(frozen=True)
@@ -248,23 +247,30 @@ def stop_gracefully(queries: dict, poll_seconds: float = 0.5, timeout: float | N
 
 
 def tables(spark: SparkSession, paths: JobPaths, start=None, end=None,
-           longest_window: dt.timedelta = dt.timedelta(days=1)) -> dict:
+           settings: StreamSettings = StreamSettings()) -> dict:
     """Current content of the job's tables.
 
-    With a time range (``start``/``end``, as the dashboard's) only the date folders that
-    can hold its rows are listed: raw events by event date, window logs by the dates of
-    windows ending in the range (windows no longer than ``longest_window``).
+    With a time range (``start``/``end``, as the dashboard's) only the folders that can hold its
+    rows are read: raw events by event date, aggregates by the dates of windows of
+    ``settings.window`` that end in the range. Alerts are asked for by ``created_at``, which may be
+    any time after their window, so they are read by that column from all dates: versions
+    written before the range cannot be current in it, and the newest version decides.
     """
+    alert_keys = KEYS["flash_sale_alerts"]
     if start is None or end is None:
         return {
             "clickstream_events": keyed.union_of_slices(spark, paths.raw),
             "product_view_aggregates": keyed.current(spark, paths.aggregates, KEYS["product_view_aggregates"]),
-            "flash_sale_alerts": keyed.current(spark, paths.alerts, KEYS["flash_sale_alerts"]),
+            "flash_sale_alerts": keyed.current(spark, paths.alerts, alert_keys),
         }
-    dates = dates_between(as_timestamp(start) - longest_window, end)
+    dates = dates_between(as_timestamp(start) - duration(settings.window), end)
+    log = keyed.read_log(spark, paths.alerts)
+    if log is None:
+        raise FileNotFoundError(paths.alerts)
+    recent = keyed.latest_per_key(in_closed_range(log, start, None, "created_at"), alert_keys).drop(keyed.WINDOW_DATE)
     return {
         "clickstream_events": read_events_range(spark, paths.raw, start, end).drop(keyed.BATCH_COL),
         "product_view_aggregates": keyed.current(spark, paths.aggregates, KEYS["product_view_aggregates"],
                                                  dates=dates),
-        "flash_sale_alerts": keyed.current(spark, paths.alerts, KEYS["flash_sale_alerts"], dates=dates),
+        "flash_sale_alerts": in_closed_range(recent, None, end, "created_at"),
     }

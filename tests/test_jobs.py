@@ -20,7 +20,7 @@ def raw(spark):
 
 def test_daily_report_job_and_empty_day(spark, raw, scratch):
     start, end = jobs.interval("2024-01-15", "2024-01-17")
-    stored = jobs.daily_product_report(spark, raw, f"{scratch}/report", f"{scratch}/txt", start, end)
+    stored = jobs.daily_product_report(spark, raw, f"{scratch}/report", f"{scratch}/txt", start, end, backfill=True)
     got = [(str(r.report_date), r.rank, r.product_id) for r in stored.collect()]
     assert got[:2] == [("2024-01-15", 1, "PROD-001"), ("2024-01-15", 2, "PROD-006")]
     assert stored.where("created_at is null").count() == 0
@@ -68,7 +68,7 @@ def test_cli_jobs_over_the_stream_layout(spark, raw, scratch):
     segs = spark.read.parquet(f"{scratch}/segments")
     assert segs.where("segment_date = date'2024-01-15'").count() == 3
     jobs.main(["daily-report", "--raw", table, "--table", f"{scratch}/report", "--text", f"{scratch}/txt",
-               "--date", "2024-01-15", "--end", "2024-01-17"])
+               "--date", "2024-01-15", "--end", "2024-01-17", "--backfill"])
     report = spark.read.parquet(f"{scratch}/report")
     assert [r.product_id for r in report.where("report_date = date'2024-01-15'").orderBy("rank").collect()][:2] \
         == ["PROD-001", "PROD-006"]
@@ -93,3 +93,31 @@ def test_flash_audit_cli_for_a_date(spark, scratch, capsys):
     jobs.main(["flash-audit", "--aggregates", f"{scratch}/aggs"])
     printed = capsys.readouterr().out
     assert "|P1 " in printed and "|P2 " in printed
+
+
+def test_reports_of_other_dates_stay(spark, raw, scratch):
+    for date in ("2024-01-15", "2024-01-16"):
+        start, end = jobs.interval(date)
+        jobs.daily_product_report(spark, raw, f"{scratch}/report", f"{scratch}/txt", start, end)
+        jobs.conversion_report(spark, raw, f"{scratch}/conv", start, end)
+    for folder in ("txt", "conv/conversion_rates", "conv/category_conversion_summary"):
+        got = {p.rsplit("report_date=", 1)[1].split("/")[0] for p in glob.glob(f"{scratch}/{folder}/report_date=*/part-*")}
+        assert got == {"2024-01-15", "2024-01-16"}, folder
+
+
+def test_interval_that_starts_in_the_day_is_one_report(spark, raw, scratch):
+    start, end = jobs.interval("2024-01-15T06:00:00")
+    stored = jobs.daily_product_report(spark, raw, f"{scratch}/report", None, start, end).collect()
+    assert {str(r.report_date) for r in stored} == {"2024-01-15"}
+    inside = raw.where("event_time >= timestamp'2024-01-15 06:00:00' and event_time < timestamp'2024-01-16 06:00:00'")
+    assert sum(r.total_views for r in stored) <= inside.where("event_type = 'view'").count()
+    segs = jobs.user_segmentation(spark, raw, f"{scratch}/segs", start, end)
+    assert segs.count() == inside.select("user_id").distinct().count()
+    assert [str(r[0]) for r in segs.select("segment_date").distinct().collect()] == ["2024-01-15"]
+
+
+def test_partial_last_day_is_read_back(spark, raw, scratch):
+    start, end = jobs.interval("2024-01-15", "2024-01-16T12:00:00")
+    stored = jobs.daily_product_report(spark, raw, f"{scratch}/report", f"{scratch}/txt", start, end, backfill=True)
+    table = spark.read.parquet(f"{scratch}/report")
+    assert stored.count() == table.count() and {str(d) for d in table.toPandas().report_date} == {"2024-01-15", "2024-01-16"}

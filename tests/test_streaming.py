@@ -131,11 +131,30 @@ def test_tables_of_a_time_range(spark, run):
     paths, _ = run
     whole = job.tables(spark, paths)
     day = job.tables(spark, paths, "2024-01-15 00:00:00", "2024-01-15 02:00:00")
-    for name in whole:
+    for name in ("clickstream_events", "product_view_aggregates"):
         assert sorted(whole[name].collect()) == sorted(day[name].collect()), name
     later = job.tables(spark, paths, "2024-01-20 00:00:00", "2024-01-20 02:00:00")
     assert later["product_view_aggregates"].count() == 0
-    assert "window_date=2024-01-15" not in " ".join(later["flash_sale_alerts"].inputFiles())
+    # alerts are asked for by the time they were written, whatever their window
+    assert later["flash_sale_alerts"].count() == 0 < whole["flash_sale_alerts"].count()
+    written = job.tables(spark, paths, "2024-01-20 00:00:00", "2999-01-01 00:00:00")["flash_sale_alerts"]
+    assert sorted(written.collect()) == sorted(whole["flash_sale_alerts"].collect())
+
+
+def test_windows_longer_than_a_day_stay_in_a_range(spark, scratch):
+    import datetime as dt
+
+    paths = job.JobPaths(scratch)
+    row = [(dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 13), "P1", 1, 0, 0)]
+    aggs = spark.createDataFrame(row, "window_start timestamp, window_end timestamp, product_id string, "
+                                      "view_count long, cart_count long, purchase_count long")
+    keyed.upsert(job.with_window_date(aggs), paths.aggregates, 0, partition_by=(keyed.WINDOW_DATE,))
+    keyed.upsert(job.with_window_date(aggs.withColumn("created_at", F.current_timestamp())), paths.alerts, 0,
+                 partition_by=(keyed.WINDOW_DATE,))
+    aggs.withColumn("event_time", F.col("window_start")).withColumn("event_date", F.to_date("event_time")) \
+        .write.partitionBy("event_date").parquet(paths.raw)
+    found = job.tables(spark, paths, "2024-01-13", "2024-01-14", StreamSettings(window="3 days"))
+    assert found["product_view_aggregates"].count() == 1
 
 
 def test_wide_raw_option(spark):
