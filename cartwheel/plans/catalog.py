@@ -7,18 +7,24 @@ decimals as DOUBLE, SMALLINT ranks as INT; clock columns are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel import constants as C
 from cartwheel.operators import daily, dashboard, decode, quality, windows
+from cartwheel.config import StreamSettings
+from cartwheel.plans import jobs
 from cartwheel.plans import params as P
 from cartwheel.plans import tables as TB
 from cartwheel.schemas import KEYS, RAW_COLUMNS, WIDE_RAW_EXTRA
-from cartwheel.sinks import reports
+from cartwheel.session import scratch_path
+from cartwheel.sinks import keyed, reports
 from cartwheel.sources import kafka
 from cartwheel.sources.adapter import wire_from_events
+from cartwheel.streaming import job
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -51,6 +57,22 @@ def q_quarantine(spark, sf_dir):
     return bad.select("event_id", "event_type", "event_time", "reason")
 
 
+def q_quarantine_reasons(spark, sf_dir):
+    """Records damaged by a rule of their offset land in quarantine with a reason."""
+    wire = wire_from_events(TB.events_table(spark, sf_dir))
+    number = F.col("offset") % 12
+    text = F.col("value").cast("string")
+    long = F.lit("x" * 70)
+    hurt = (F.when(number == 0, F.substring(text, 1, 20))
+            .when(number == 1, F.regexp_replace(text, '"timestamp": ?"[^"]*"', '"timestamp":"yesterday"'))
+            .when(number == 2, F.regexp_replace(text, '"user_id": ?"[^"]*", ?', ""))
+            .when(number == 3, F.regexp_replace(text, '"product_id": ?"[^"]*"', F.concat(F.lit('"product_id":"'), long, F.lit('"'))))
+            .otherwise(text))
+    damaged = wire.withColumn("value", hurt.cast("binary"))
+    _, bad = decode.validate(decode.decode_events(damaged))
+    return bad.groupBy("reason").agg(F.count("*").alias("rows"))
+
+
 def q_json_roundtrip(spark, sf_dir):
     typed = TB.decoded(spark, sf_dir)
     schema = typed.schema
@@ -160,6 +182,85 @@ def q_category_summary_text(spark, sf_dir):
     return reports.category_summary_lines(cats, days)
 
 
+def _written_in_two_runs(spark, frame: DataFrame, write, name: str) -> str:
+    """Writes the dates before and from the middle in two runs, as two scheduled runs would."""
+    path = scratch_path(spark, name)
+    middle = F.lit(P.AS_OF).cast("date")
+    write(frame.where(F.col("report_date") < middle), path)
+    write(frame.where(F.col("report_date") >= middle), path)
+    return path
+
+
+def _numbered(stored: DataFrame) -> DataFrame:
+    """``line_no``: the place of a line in its date's file."""
+    order = Window.partitionBy("report_date").orderBy("_at")
+    return stored.withColumn("_at", F.monotonically_increasing_id()).withColumn(
+        "line_no", F.row_number().over(order)).drop("_at")
+
+
+def _text_file(spark, lines: DataFrame, name: str) -> DataFrame:
+    path = _written_in_two_runs(spark, lines, reports.write_text, name)
+    return _numbered(spark.read.text(path)).select("report_date", "line_no", F.col("value").alias("line"))
+
+
+def q_top_products_file(spark, sf_dir):
+    """K7: the text files of all dates after two runs."""
+    return _text_file(spark, q_top_products_text(spark, sf_dir), "top-products-text")
+
+
+def q_category_summary_file(spark, sf_dir):
+    """K8: the text files of all dates after two runs."""
+    return _text_file(spark, q_category_summary_text(spark, sf_dir), "category-summary-text")
+
+
+def q_conversion_csv_file(spark, sf_dir):
+    """K6: the CSV files of all dates after two runs."""
+    rows = q_conversion_csv(spark, sf_dir)
+    path = _written_in_two_runs(spark, rows, reports.write_csv, "conversion-csv")
+    schema = T.StructType([f for f in rows.schema.fields if f.name not in ("report_date", "line_no")])
+    return _numbered(spark.read.option("header", True).schema(schema).csv(path)).select(*rows.columns)
+
+
+def _offset_events(spark, sf_dir):
+    """The scheduled interval that starts at six in the morning of the dashboard's day."""
+    start = dt.datetime.fromisoformat(P.AS_OF) + dt.timedelta(hours=6)
+    return TB.raw_events(spark, sf_dir), start, start + dt.timedelta(days=1)
+
+
+def q_report_offset_interval(spark, sf_dir):
+    """One report for an interval across midnight, dated by its start, written and read back."""
+    events, start, end = _offset_events(spark, sf_dir)
+    stored = jobs.daily_product_report(spark, events, scratch_path(spark, "offset-report"), None, start, end)
+    return stored.select("report_date", "rank", "product_id", "total_views", "total_purchases", "conversion_rate")
+
+
+def q_segments_offset_interval(spark, sf_dir):
+    """One set of segments for an interval across midnight, dated by its start, written and read back."""
+    events, start, end = _offset_events(spark, sf_dir)
+    stored = jobs.user_segmentation(spark, events, scratch_path(spark, "offset-segments"), start, end)
+    return stored.select("segment_date", "user_id", "segment", "total_views", "total_purchases")
+
+
+def q_default_stamps(spark, sf_dir):
+    """Stored rows carry filled counts and stamps of the run, whatever the clock says."""
+    segments = TB.segments(spark, sf_dir)
+    gaps = segments.withColumn("total_purchases", F.nullif("total_purchases", F.lit(0)))
+    stored = jobs.with_defaults(gaps, counts=("total_purchases",), stamps=("created_at",))
+    recent = F.col("created_at").between(F.current_timestamp() - F.expr("interval 1 day"), F.current_timestamp())
+    return stored.groupBy("segment_date").agg(
+        F.count("*").alias("rows"), F.sum("total_purchases").alias("total_purchases"),
+        F.count_if(F.col("total_purchases").isNull()).alias("null_counts"), F.count_if(~recent).alias("odd_stamps"))
+
+
+def q_flash_sale_audit(spark, sf_dir):
+    """The audit job's rule over the final aggregates read back from their log (not latched)."""
+    path = scratch_path(spark, "audit-aggregates")
+    keyed.upsert(job.with_window_date(TB.aggregates(spark, sf_dir)), path, 0, partition_by=(keyed.WINDOW_DATE,))
+    stored = keyed.current(spark, path, KEYS["product_view_aggregates"])
+    settings = StreamSettings(min_views=P.MIN_VIEWS, max_purchases=P.MAX_PURCHASES)
+    return jobs.flash_sale_audit(spark, stored, settings, show=False).drop("created_at")
+
+
 # --- dashboard panels -------------------------------------------------------
 
 def q_panel_views_series(spark, sf_dir):
@@ -240,6 +341,14 @@ BATCH_QUERIES = {
     "top_products_text": q_top_products_text,
     "conversion_csv": q_conversion_csv,
     "category_summary_text": q_category_summary_text,
+    "top_products_file": q_top_products_file,
+    "conversion_csv_file": q_conversion_csv_file,
+    "category_summary_file": q_category_summary_file,
+    "report_offset_interval": q_report_offset_interval,
+    "segments_offset_interval": q_segments_offset_interval,
+    "default_stamps": q_default_stamps,
+    "flash_sale_audit": q_flash_sale_audit,
+    "quarantine_reasons": q_quarantine_reasons,
     "panel_views_series": q_panel_views_series,
     "panel_views_legend": q_panel_views_legend,
     "panel_funnel": q_panel_funnel,

@@ -103,7 +103,38 @@ def _pct_text_of_rate(r: str) -> str:
     return f"printf('%.2f', {r} * 100) || '%'"
 
 
+_OFFSET = """event_time >= TIMESTAMP '2024-01-15 06:00:00' AND event_time < TIMESTAMP '2024-01-16 06:00:00'"""
+_BAD_TYPE = "CASE WHEN event_type NOT IN ('view', 'add_to_cart', 'purchase') THEN 'bad_event_type' END"
+
 SQL = {
+    "quarantine_reasons": f"""
+        SELECT reason, COUNT(*) AS rows FROM (
+          SELECT CASE uid % 12
+                   WHEN 0 THEN 'missing_event_id,missing_user_id,missing_product_id,missing_event_type,bad_event_time'
+                   WHEN 1 THEN concat_ws(',', 'bad_event_time', {_BAD_TYPE})
+                   WHEN 2 THEN concat_ws(',', 'missing_user_id', {_BAD_TYPE})
+                   WHEN 3 THEN concat_ws(',', {_BAD_TYPE}, 'too_long_product_id')
+                   ELSE {_BAD_TYPE} END AS reason
+          FROM ev)
+        WHERE reason IS NOT NULL GROUP BY reason""",
+    "report_offset_interval": f"""
+        SELECT DATE '2024-01-15' AS report_date, CAST(rank AS INTEGER) AS rank, product_id, total_views, total_purchases,
+               {_rate('total_purchases', 'total_views')} AS conversion_rate
+        FROM (SELECT *, row_number() OVER (ORDER BY total_views DESC, product_id) AS rank
+              FROM (SELECT product_id, COUNT(*) FILTER (WHERE event_type = 'view') AS total_views,
+                           COUNT(*) FILTER (WHERE event_type = 'purchase') AS total_purchases
+                    FROM valid WHERE {_OFFSET} GROUP BY product_id))
+        WHERE rank <= 5""",
+    "segments_offset_interval": f"""
+        SELECT DATE '2024-01-15' AS segment_date, user_id,
+               CASE WHEN total_purchases > 0 THEN 'Buyer' ELSE 'Window Shopper' END AS segment, total_views, total_purchases
+        FROM (SELECT user_id, COUNT(*) FILTER (WHERE event_type = 'view') AS total_views,
+                     COUNT(*) FILTER (WHERE event_type = 'purchase') AS total_purchases
+              FROM valid WHERE {_OFFSET} GROUP BY user_id)""",
+    "default_stamps": """
+        SELECT segment_date, COUNT(*) AS rows, CAST(SUM(total_purchases) AS BIGINT) AS total_purchases,
+               CAST(0 AS BIGINT) AS null_counts, CAST(0 AS BIGINT) AS odd_stamps
+        FROM seg GROUP BY segment_date""",
     "decode_valid": "SELECT event_id, user_id, product_id, category, event_type, event_time FROM valid",
     "quarantine": """SELECT event_id, event_type, event_time, 'bad_event_type' AS reason
                      FROM ev WHERE event_type NOT IN ('view', 'add_to_cart', 'purchase')""",
@@ -272,9 +303,20 @@ SQL = {
 }
 
 
+# queries that read files and logs back -> the query whose SQL they must equal
+READ_BACK = {
+    "top_products_file": "top_products_text",
+    "conversion_csv_file": "conversion_csv",
+    "category_summary_file": "category_summary_text",
+    "flash_sale_audit": "flash_sale",
+}
+
+
 def all_sql() -> dict:
     from cartwheel.plans import stream_catalog
     out = {name: _q(body) for name, body in SQL.items()}
+    for name, base in READ_BACK.items():
+        out[name] = _q(SQL[base])
     for name, base in stream_catalog.STREAM_ORACLE.items():
         out[name] = _q(SQL[base]) if base in SQL else _q(base)
     return out
