@@ -1,8 +1,8 @@
 """Registered queries that run the streaming job and the table writers on the test tables.
 
 One replay run per (session, data folder) is shared by the streaming queries: the
-wire records of the whole ``events`` table are cut into slices of
-``params.DAYS_PER_BATCH`` days, fed one slice per micro-batch, and the first slice
+wire records of the whole ``events`` table are dealt to slices of
+``params.DAYS_PER_BATCH`` days, fed one slice per pass of the job, and the first slice
 is delivered a second time at the end (duplicates for the raw table, late rows for
 the windows). Output folders are new folders under the shared checkpoint root.
 """
@@ -13,6 +13,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.config import StreamSettings
 from cartwheel.operators import daily, windows
@@ -45,18 +46,17 @@ def replay_run(spark: SparkSession, sf_dir: str) -> dict:
         return _RUNS[key]
     root = scratch_path(spark, "replay")
     records = wire_from_events(TB.events_table(spark, sf_dir))
-    replay.write_slices(records, f"{root}/source", P.START, P.END, P.DAYS_PER_BATCH,
-                        redeliver_first=True)
-    stream = replay.read_slices(spark, f"{root}/source", records.schema)
-    # one file per micro-batch: spread it over the session's shuffle partitions before decoding
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True},
-                        input_partitions=spread)
-    job.await_all(started)
-    run = {
-        "paths": started["paths"],
-        "progress": _progress_list(started["raw"]) + _progress_list(started["aggregates"]),
-    }
+    slices = replay.deal_slices(records, f"{root}/staged", P.START, P.END, P.DAYS_PER_BATCH)
+    seen = []
+    for place, number in enumerate(replay.deliveries(slices, redeliver_first=True)):
+        replay.put_slice(spark, f"{root}/staged", f"{root}/source", number, place, records.schema)
+        stream = replay.read_slices(spark, f"{root}/source", records.schema, files_per_trigger=None)
+        started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True})
+        job.await_all(started)
+        # a pass is one batch of each query, and perhaps one without data: all are in recentProgress
+        for name in ("raw", "aggregates"):
+            seen += [p | {"pass": place} for p in _progress_list(started[name])]
+    run = {"paths": started["paths"], "progress": seen}
     _RUNS[key] = run
     return run
 
@@ -91,17 +91,24 @@ def q_replay_equals_batch(spark, sf_dir):
     return daily.daily_top_products(raw, P.START, P.END)
 
 
+def _passes(spark, sf_dir) -> DataFrame:
+    """Progress by query and pass (a few rows, one for each micro-batch)."""
+    found = replay_run(spark, sf_dir)["progress"]
+    rows = [(p["pass"], *row) for p, row in zip(found, progress.progress_rows(found))]
+    return spark.createDataFrame(rows, T.StructType([T.StructField("pass", T.IntegerType()),
+                                                     *progress.PROGRESS_SCHEMA.fields]))
+
+
 def q_late_rows_dropped(spark, sf_dir):
-    """Per micro-batch of the window query: input rows and rows dropped by the watermark."""
-    rows = [p for p in replay_run(spark, sf_dir)["progress"] if p.get("name") == "window_aggregates"]
-    return progress.progress_frame(spark, rows).select(
-        "batch_id", "num_input_rows", "rows_dropped_by_watermark", "state_rows_total"
-    )
+    """Per pass of the window query: input rows, and whether the watermark dropped any."""
+    mine = _passes(spark, sf_dir).where(F.col("query_name") == "window_aggregates")
+    return mine.groupBy("pass").agg(F.sum("num_input_rows").alias("num_input_rows"),
+                                    (F.max("rows_dropped_by_watermark") > 0).alias("late_rows_dropped"))
 
 
 def q_progress_metrics(spark, sf_dir):
-    """Progress of both queries per micro-batch (T12); rates depend on the machine."""
-    return progress.progress_frame(spark, replay_run(spark, sf_dir)["progress"])
+    """Input rows of both queries per pass, as their progress tells (T12); rates depend on the machine."""
+    return _passes(spark, sf_dir).groupBy("query_name", "pass").agg(F.sum("num_input_rows").alias("num_input_rows"))
 
 
 def q_aggregates_upsert(spark, sf_dir):
@@ -192,6 +199,26 @@ FROM (
 WHERE rn = 1
 """
 
+_PASSES = """
+SELECT slice AS pass, COUNT(*) AS n, MAX(event_time) AS latest, MIN(event_time) AS earliest FROM
+  (SELECT *, (CAST(event_time AS DATE) - DATE '2024-01-01') // 8 AS slice FROM ev) GROUP BY slice
+UNION ALL
+SELECT 4, COUNT(*), MAX(event_time), MIN(event_time) FROM ev WHERE event_time < TIMESTAMP '2024-01-09'
+"""
+
+# a window ends six hours after its start, and windows start every hour
+_LATE = f"""
+SELECT CAST(pass AS INTEGER) AS pass, CAST(n AS BIGINT) AS num_input_rows,
+       coalesce(date_trunc('hour', earliest) + INTERVAL 1 HOUR <= MAX(latest) OVER (
+         ORDER BY pass ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 MINUTE, FALSE) AS late_rows_dropped
+FROM ({_PASSES})
+"""
+
+_PROGRESS = f"""
+SELECT query_name, CAST(pass AS INTEGER) AS pass, CAST(n AS BIGINT) AS num_input_rows
+FROM ({_PASSES}), (SELECT unnest(['raw_events', 'window_aggregates']) AS query_name)
+"""
+
 # query name -> key of the batch SQL it must equal, or its own SQL
 STREAM_ORACLE = {
     "raw_insert_ignore": "decode_valid",
@@ -202,4 +229,6 @@ STREAM_ORACLE = {
     "user_segments_replace": "user_segments",
     "daily_report_replace": "daily_top_products",
     "report_readback": "panel_daily_top",
+    "late_rows_dropped": _LATE,
+    "progress_metrics": _PROGRESS,
 }
