@@ -164,7 +164,23 @@ def q_report_readback(spark, sf_dir):
                                               "conversion_rate")
 
 
+def q_raw_cross_date_ids(spark, sf_dir):
+    """K1: every record comes again a year later under its old id; the raw table keeps the first."""
+    root = scratch_path(spark, "cross-date")
+    records = wire_from_events(TB.events_table(spark, sf_dir))
+    stamp = "\"timestamp\":\"2024-"
+    moved = records.withColumn("value", F.regexp_replace(
+        F.col("value").cast("string"), stamp, stamp.replace("2024", "2025")).cast("binary"))
+    for place, rows in enumerate((records, moved)):
+        rows.write.parquet(f"{root}/source/part={place:05d}")
+        stream = replay.read_slices(spark, f"{root}/source", records.schema, files_per_trigger=None)
+        started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True})
+        job.await_all(started)
+    return keyed.union_of_slices(spark, started["paths"].raw).select(*RAW_COLUMNS)
+
+
 STREAM_QUERIES = {
+    "raw_cross_date_ids": q_raw_cross_date_ids,
     "raw_insert_ignore": q_raw_insert_ignore,
     "sliding_counts_stream": q_sliding_counts_stream,
     "flash_sale_latched": q_flash_sale_latched,
@@ -221,6 +237,7 @@ FROM ({_PASSES}), (SELECT unnest(['raw_events', 'window_aggregates']) AS query_n
 
 # query name -> key of the batch SQL it must equal, or its own SQL
 STREAM_ORACLE = {
+    "raw_cross_date_ids": "decode_valid",
     "raw_insert_ignore": "decode_valid",
     "sliding_counts_stream": "sliding_counts",
     "flash_sale_latched": _LATCHED,

@@ -78,8 +78,10 @@ def write_log_rows(df: DataFrame, table_path: str, batch_id: int, partition_by=(
     seen = Observation(f"written_{uuid.uuid4().hex}") if observe else None
     if seen is not None:
         df = df.observe(seen, F.collect_set(F.col(partition_by[0])).alias("values"))
+    # few files: rows are gathered by partition value, and a large value is split by its measured size
     (
-        df.withColumn(BATCH_COL, F.lit(int(batch_id)))
+        df.hint("rebalance", *partition_by)
+        .withColumn(BATCH_COL, F.lit(int(batch_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by, BATCH_COL)

@@ -1,9 +1,11 @@
 """The real-time job.
 
-Two queries over one decoded stream:
+Queries over one decoded stream:
 
-* raw events (append, T5): validate, quarantine bad rows with a reason, insert-ignore
-  valid rows on ``event_id`` into the raw table partitioned by ``event_date`` (K1);
+* raw events (append, T5): valid rows whose ``event_id`` was never seen go to the raw table
+  partitioned by ``event_date`` (K1). The ids seen are state in RocksDB, so the cost of a batch
+  follows the batch and uniqueness has no limit of date; other ways are options;
+* quarantine (append): bad rows with a reason;
 * window aggregates (update, T4): watermark + sliding window counts per product;
   each micro-batch is upserted into the aggregates log (K2), then read back from
   the shared folder and filtered by the flash-sale rule into the alerts log (K3).
@@ -97,6 +99,27 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
     return write
 
 
+def unique_batch_writer(paths: JobPaths, wide_raw: bool = False):
+    """foreachBatch function of the raw query when its state already keeps ids unique: only a write."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = decode.raw_projection(batch, wide=wide_raw).withColumn("event_date", F.to_date("event_time"))
+        keyed.write_log_rows(rows, paths.raw, batch_id, ("event_date",))
+
+    return write
+
+
+def quarantine_batch_writer(paths: JobPaths):
+    """foreachBatch function of the quarantine: bad rows with their reason; no folder for a batch without any."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bad = decode.validate(batch)[1]
+        if not bad.isEmpty():
+            keyed.write_slice(bad.withColumn("received_at", F.current_timestamp()), paths.quarantine, batch_id)
+
+    return write
+
+
 def with_window_date(df: DataFrame) -> DataFrame:
     """Layout column of the window logs: the UTC date of the window start."""
     return df.withColumn(keyed.WINDOW_DATE, F.to_date(F.col("window_start")))
@@ -135,8 +158,10 @@ def start(
     input_partitions: int | None = None,
     probe_time_span: bool = False,
     wide_raw: bool = False,
+    unique_by: str = "state",
+    unique_within: str | None = None,
 ):
-    """Start both queries over a streaming DataFrame of records with a ``value`` column.
+    """Start the queries over a streaming DataFrame of records with a ``value`` column.
 
     ``trigger`` / ``aggregate_trigger`` are ``writeStream.trigger`` keyword arguments,
     e.g. ``{"processingTime": "10 seconds"}`` and ``{"processingTime": "30 seconds"}``
@@ -145,8 +170,12 @@ def start(
     event with a time counts, as the raw stream does). ``dedup_within_watermark`` drops
     repeated ``event_id``s from the window counts while the watermark still holds the
     first copy (off: windows count redeliveries, only the raw table is unique).
-    ``strict_keys`` makes the raw table's insert-ignore probe all history rather than
-    the dates of each batch; ``probe_time_span`` narrows it to the batch's event-time
+    ``unique_by`` says how the raw table knows the ids it has: ``"state"`` (the default) keeps every
+    id in the query's RocksDB state, about its length and 30 bytes each over all state partitions, so size
+    ``spark.sql.shuffle.partitions`` for it before the first start; of copies in one batch any may
+    stay. ``unique_within`` bounds that state: an id is remembered for that event-time span only.
+    ``"probe"`` reads the stored ids of the batch's dates instead and keeps the first copy by delivery order;
+    there ``strict_keys`` probes all history and ``probe_time_span`` narrows it to the batch's event-time
     span (see ``raw_batch_writer``). ``wide_raw`` keeps session, device, referrer and the
     Kafka timestamp in the raw table (D7). ``input_partitions`` spreads the
     records of a source with few partitions (one file per micro-batch, a small topic)
@@ -161,10 +190,28 @@ def start(
     trig = trigger or {"processingTime": "10 seconds"}
     agg_trig = aggregate_trigger or trigger or {"processingTime": "30 seconds"}
 
+    if unique_by not in ("state", "probe"):
+        raise ValueError(f"unique_by must be 'state' or 'probe', not {unique_by!r}")
+    by_state = unique_by == "state" and not (strict_keys or probe_time_span)
+    raw_input, raw_writer = decoded, raw_batch_writer(spark, paths, strict_keys=strict_keys,
+                                                      probe_time_span=probe_time_span, wide_raw=wide_raw)
+    more = {}
+    if by_state:
+        valid = decode.validate(decoded)[0]
+        raw_input = (valid.withWatermark("event_time", unique_within).dropDuplicatesWithinWatermark(["event_id"])
+                     if unique_within else valid.dropDuplicates(["event_id"]))
+        raw_writer = unique_batch_writer(paths, wide_raw)
+        more["quarantine"] = (
+            decoded.writeStream.outputMode("append")
+            .foreachBatch(quarantine_batch_writer(paths))
+            .option("checkpointLocation", paths.checkpoint("quarantine"))
+            .trigger(**trig)
+            .queryName("quarantine")
+            .start()
+        )
     raw_query = (
-        decoded.writeStream.outputMode("append")
-        .foreachBatch(raw_batch_writer(spark, paths, strict_keys=strict_keys,
-                                       probe_time_span=probe_time_span, wide_raw=wide_raw))
+        raw_input.writeStream.outputMode("append")
+        .foreachBatch(raw_writer)
         .option("checkpointLocation", paths.checkpoint("raw_events"))
         .trigger(**trig)
         .queryName("raw_events")
@@ -188,7 +235,7 @@ def start(
         .queryName("window_aggregates")
         .start()
     )
-    return {"raw": raw_query, "aggregates": agg_query, "paths": paths, "streams": spark.streams}
+    return {"raw": raw_query, "aggregates": agg_query, **more, "paths": paths, "streams": spark.streams}
 
 
 def await_all(queries: dict, timeout: float | None = None) -> None:
