@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm import storage
 from cartwheel.llm.tokens import encoder
 
-BATCH = 512
+BATCH = 2048
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",

@@ -38,7 +38,7 @@ MARK = b"IDSTORE1"
 MANIFEST = "part int, seq int, tmp string, name string, bytes long, docs long, tokens long"
 #: Documents the dictionary is trained on, and the ids taken of each; a bound, whatever the input's size.
 SAMPLE_DOCS, SAMPLE_IDS = 400, 4096
-BATCH = 512  # documents in an Arrow batch, so that long texts do not pile up in a worker
+BATCH = 2048  # documents in an Arrow batch, so that long texts do not pile up in a worker
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, size: int = 65536, text_col: str = "text") -> bytes:

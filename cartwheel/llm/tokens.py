@@ -1,8 +1,11 @@
 """Fast encoding with a byte-level BPE of the ``tokenizers`` library.
 
-The pre-tokenizer never joins a space that follows a non-space character with what stands before
-it, so a text may be cut there and every chunk encoded alone. Chunks and words repeat, so their ids
-are kept in bounded per-process tables; the library sees each distinct word of a table's life once.
+The pre-tokenizer never lets a unit run past certain borders: before a space or line break that stands alone,
+after such a line break, and between an ASCII letter and ASCII punctuation. Texts are cut there and every
+chunk is encoded alone. Chunks repeat, so a batch's bytes are cut and its equal chunks are found by array operations
+(a hash of every chunk, each compared with the first of its hash byte by byte), and the ids of distinct ones are kept in bounded
+per-process tables: the library sees each distinct chunk of a table's life once. Texts with other white space,
+or white space side by side, take a plainer cut.
 """
 
 from __future__ import annotations
@@ -12,12 +15,52 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 from tokenizers import Tokenizer
 
-_UNSAFE = re.compile(r"\s ")
+#: White space that the array path does not take.
+_ODD = re.compile(r"[^\S \n]|\s\s")
 _CUT = re.compile(r"(?<=\S)(?= )")
-_LINES = re.compile(r" ?\S+(?:\n\S+)+")
-_WORD_TAIL = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+_BYTES = 4 << 20  # of text in one array step
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SPACE, _BREAK, _LETTER, _MARK = 1, 2, 3, 4
+_KIND = np.zeros(256, np.uint8)
+_KIND[ord(" ")], _KIND[ord("\n")] = _SPACE, _BREAK
+for _b in range(33, 127):  # an apostrophe may start a contraction, digits and letters have units of their own
+    _KIND[_b] = _LETTER if chr(_b).isalpha() else 0 if chr(_b) in "'0123456789" else _MARK
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> np.ndarray:
+    return np.cumprod(np.full(size, _STEP, np.uint64))
+
+
+def powers(size: int) -> np.ndarray:
+    """Powers of the hash's base; the table grows to the next power of two."""
+    return _powers(1 << max(20, size.bit_length()))
+
+
+def equal_chunks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each chunk, the same for equal bytes, and the first chunk of each number."""
+    sizes = ends - starts
+    power = powers(len(data))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * power[:len(data)])])
+        codes = (sums[ends] - sums[starts]) * power[len(data) - starts] ^ sizes.astype(np.uint64) * _STEP
+    numbers, values = pd.factorize(codes)
+    first = np.empty(len(values), np.int64)
+    first[numbers[::-1]] = np.arange(len(numbers) - 1, -1, -1)
+    model = first[numbers]
+    same = (sizes[model] == sizes).all()
+    if same:
+        back = np.arange(len(data)) - np.repeat(starts - starts[model], sizes)
+        same = (data[back] == data).all()
+    if not same:  # two chunks share a hash: compare the chunks themselves
+        raw = data.tobytes()
+        numbers, _ = pd.factorize(np.array([raw[a:b] for a, b in zip(starts, ends)] + [None], dtype=object)[:-1])
+        first = np.empty(numbers.max() + 1, np.int64)
+        first[numbers[::-1]] = np.arange(len(numbers) - 1, -1, -1)
+    return numbers, first
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -30,18 +73,17 @@ def byte_alphabet() -> dict[int, str]:
 class ChunkEncoder:
     """Ids of whole texts as little-endian bytes, equal to ``Tokenizer.encode(text).ids``.
 
-    Null counts as empty. ``table_size`` bounds the remembered chunks and words.
+    Null counts as empty. ``table_size`` bounds the remembered chunks.
     """
 
-    def __init__(self, tokenizer_path: str, table_size: int = 600_000):
+    def __init__(self, tokenizer_path: str, table_size: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.model = self.tokenizer.model
         self.table_size = table_size
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.chunks: dict[bytes, bytes] = {}
         self.alphabet = byte_alphabet()
 
     def _pack(self, ids) -> bytes:
@@ -50,55 +92,72 @@ class ChunkEncoder:
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of letters with at most one leading space, which are one unit for the library."""
-        known = self.words.get(word)
-        if known is None:
-            shown = word.encode().decode("latin1").translate(self.alphabet)
-            known = self.words[word] = self._pack([t.id for t in self.model.tokenize(shown)])
-        return known
-
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk: no space in it but a leading one."""
-        if chunk.lstrip(" ").isalpha():
-            return self._word(chunk)
-        match = _WORD_TAIL.fullmatch(chunk)
-        if match and match[1].lstrip(" ").isalpha():
-            word, tail = match.groups()
-            known = self.words.get(tail)
-            if known is None:
-                known = self.words[tail] = self._whole(tail)
-            return self._word(word) + known
-        if "\n" in chunk and _LINES.fullmatch(chunk):
-            return self._whole("\n").join([self._chunk(p) for p in chunk.split("\n")])
-        return self._whole(chunk)
+    def _chunk(self, chunk: bytes) -> bytes:
+        """Ids of a chunk; letters with at most one leading space are one unit for the library."""
+        text = chunk.decode()
+        if (text[1:] if text[0] == " " else text).isalpha():
+            return self._pack([t.id for t in self.model.tokenize(chunk.decode("latin1").translate(self.alphabet))])
+        return self._whole(text)
+
+    def _known(self, distinct: list[bytes]) -> list[bytes]:
+        table = self.chunks
+        found = list(map(table.get, distinct))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if len(missing) + len(table) > self.table_size:
+            table.clear()
+        for i in missing:
+            found[i] = table[distinct[i]] = self._chunk(distinct[i])
+        return found
+
+    def _plain(self, text: str) -> bytes:
+        first, *rest = _CUT.split(text)
+        return self._whole(first) + b"".join(self._known([p.encode() for p in rest]))
+
+    def _step(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of texts without odd white space, none of them empty."""
+        raw = b"".join(parts)
+        data = np.frombuffer(raw, np.uint8)
+        begins = np.cumsum([0] + [len(p) for p in parts])
+        kind = _KIND[data]
+        border = np.ones(len(data), bool)
+        before, here = kind[:-1], kind[1:]
+        border[1:] = ((here == _SPACE) | (here == _BREAK) | (before == _BREAK)
+                      | ((before == _LETTER) & (here == _MARK)))
+        border[begins[:-1]] = True
+        starts = np.flatnonzero(border)
+        ends = np.append(starts[1:], len(data))
+        numbers, first = equal_chunks(data, starts, ends)
+        known = self._known([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+        flat = np.frombuffer(b"".join(known), self.dtype)
+        sizes = np.array([len(k) for k in known]) // self.dtype.itemsize
+        places = np.cumsum(sizes) - sizes
+        each = sizes[numbers]
+        after = np.cumsum(each)
+        out = flat[np.repeat(places[numbers] - (after - each), each) + np.arange(after[-1])]
+        cuts = np.append((after - each)[np.searchsorted(starts, begins[:-1])], after[-1]).tolist()
+        return [out[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
     def encode_many(self, texts) -> list[bytes]:
         """The ids of each text; null counts as empty."""
-        cut = []
-        for text in texts:
+        out: list[bytes] = [b""] * len(texts)
+        rows, parts, size = [], [], 0
+        for row, text in enumerate(texts):
             if not text:
-                cut.append((b"", ()))
-            elif "  " in text or _UNSAFE.search(text):
-                first, *rest = _CUT.split(text)
-                cut.append((self._whole(first), [p[1:] for p in rest]))
-            else:
-                first, *rest = text.split(" ")
-                cut.append((self._chunk(first) if first else b"", rest))
-        known = self.chunks  # by the chunk without its leading space
-        distinct = list(set().union(*[rest for _, rest in cut]))
-        found = list(map(known.get, distinct))  # the large table is looked up once a batch for each chunk
-        if found.count(None) + len(known) > self.table_size:
-            known.clear()
-        if len(self.words) > self.table_size:
-            self.words.clear()
-        for i, ids in enumerate(found):
-            if ids is None:
-                chunk = distinct[i]
-                found[i] = known[chunk] = (
-                    self._whole(f" {chunk}") if " " in chunk else self._chunk(f" {chunk}"))
-        here = dict(zip(distinct, found)).__getitem__
-        return [first + b"".join(map(here, rest)) for first, rest in cut]
+                continue
+            if _ODD.search(text):
+                out[row] = self._plain(text)
+                continue
+            rows.append(row)
+            parts.append(text.encode())
+            size += len(parts[-1])
+            if size >= _BYTES:
+                for r, ids in zip(rows, self._step(parts)):
+                    out[r] = ids
+                rows, parts, size = [], [], 0
+        if rows:
+            for r, ids in zip(rows, self._step(parts)):
+                out[r] = ids
+        return out
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_many([text])[0]
