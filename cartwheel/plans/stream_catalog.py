@@ -179,7 +179,28 @@ def q_raw_cross_date_ids(spark, sf_dir):
     return keyed.union_of_slices(spark, started["paths"].raw).select(*RAW_COLUMNS)
 
 
+def q_replay_twice(spark, sf_dir):
+    """A second run with other borders over the tables of the first; the raw table and the aggregates
+    hold what one run gives (raw rows and window rows counted by table)."""
+    root = scratch_path(spark, "twice")
+    records = wire_from_events(TB.events_table(spark, sf_dir))
+    for run, days in (("", 16), ("again", 31)):
+        slices = replay.deal_slices(records, f"{root}/staged{run}", P.START, P.END, days)
+        for place, number in enumerate(replay.deliveries(slices)):
+            replay.put_slice(spark, f"{root}/staged{run}", f"{root}/source{run}", number, place, records.schema)
+            stream = replay.read_slices(spark, f"{root}/source{run}", records.schema, files_per_trigger=None)
+            started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True}, run=run)
+            job.await_all(started)
+    paths = started["paths"]
+    raw = keyed.union_of_slices(spark, paths.raw)
+    counts = keyed.current(spark, paths.aggregates, KEYS["product_view_aggregates"])
+    return (raw.agg(F.lit("raw").alias("name"), F.count("*").alias("rows"), F.countDistinct("event_id").alias("total"))
+            .unionAll(counts.agg(F.lit("aggregates"), F.count("*"), F.sum(
+                F.col("view_count") + F.col("cart_count") + F.col("purchase_count")))))
+
+
 STREAM_QUERIES = {
+    "replay_twice": q_replay_twice,
     "raw_cross_date_ids": q_raw_cross_date_ids,
     "raw_insert_ignore": q_raw_insert_ignore,
     "sliding_counts_stream": q_sliding_counts_stream,
@@ -237,6 +258,10 @@ FROM ({_PASSES}), (SELECT unnest(['raw_events', 'window_aggregates']) AS query_n
 
 # query name -> key of the batch SQL it must equal, or its own SQL
 STREAM_ORACLE = {
+    "replay_twice": """
+        SELECT 'raw' AS name, COUNT(*) AS rows, CAST(COUNT(DISTINCT event_id) AS BIGINT) AS total FROM valid
+        UNION ALL
+        SELECT 'aggregates', COUNT(*), CAST(SUM(view_count + cart_count + purchase_count) AS BIGINT) FROM agg""",
     "raw_cross_date_ids": "decode_valid",
     "raw_insert_ignore": "decode_valid",
     "sliding_counts_stream": "sliding_counts",

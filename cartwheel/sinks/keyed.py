@@ -291,34 +291,43 @@ def compact(spark: SparkSession, table_path: str, keys, out_path: str, upto_batc
     write_log_rows(latest, out_path, snapshot_id, layout)
 
 
-def compact_dates(spark: SparkSession, table_path: str, date_col: str, dates, keys=None) -> list:
+def compact_dates(spark: SparkSession, table_path: str, date_col: str, dates, keys=None, unique=("event_id",)) -> list:
     """Rewrite each given date of a date-first log as a single slice (fewer, larger files).
 
     An upsert log (``keys`` given) keeps only the latest row per key, so the versions
     merged into one slice stay unambiguous; an insert-ignore log keeps every row.
 
-    A date's rows are read from all its batch folders, checkpointed to the shared folder
-    (which cuts the read from the path about to be replaced) and written back as
-    ``<date_col>=<d>/batch_id=<last batch of the date>``, replacing the date's folder.
-    Only for closed dates that no micro-batch writes any more (older than the late-data
-    tolerance). Returns the dates rewritten; one job pair per date, dates are few.
+    The newest batch of the log stays as it is, since a restart may run it again. A date's older rows
+    are written as ``<date_col>=<d>/batch_id=<a new negative id>``, which stands before every batch, and only
+    then their folders are dropped: a crash between leaves rows twice for the next run to merge (raw
+    rows by ``unique``), never none. Returns the dates rewritten; one job pair per date, dates are few.
     """
-    from cartwheel.session import checkpoint_root
-
-    checkpoint_root(spark)
+    log = read_log(spark, table_path)
+    if log is None:
+        return []
+    newest = log.agg(F.max(BATCH_COL)).first()[0]
     done = []
     for d in sorted({str(v) for v in dates}):
         rows = read_partitions(spark, table_path, date_col, [d])
         if rows is None:
             continue
-        rows = rows.checkpoint()
-        last = rows.agg(F.max(BATCH_COL)).first()[0]
+        rows = rows.where(F.col(BATCH_COL) < newest)
+        old = sorted(r[0] for r in rows.select(BATCH_COL).distinct().collect())
+        if not old or old == [old[0]] and old[0] < 0:
+            continue
         if keys:
-            rows = latest_per_key(rows, keys, layout=(date_col,))
-        (
-            rows.drop(date_col, BATCH_COL).withColumn(BATCH_COL, F.lit(int(last)))
-            .write.mode("overwrite").partitionBy(BATCH_COL)
-            .parquet(f"{table_path.rstrip('/')}/{date_col}={d}")
-        )
+            merged = latest_per_key(rows, keys, layout=(date_col,))
+        else:
+            merged = rows.dropDuplicates(list(unique)) if unique and set(unique) <= set(rows.columns) else rows
+        folder = f"{table_path.rstrip('/')}/{date_col}={d}"
+        merged.drop(date_col, BATCH_COL).repartition(1 + len(old) // 64).write.mode("overwrite").parquet(
+            f"{folder}/{BATCH_COL}={min(old[0], 0) - 1}")
+        for batch in old:
+            _drop_folder(spark, f"{folder}/{BATCH_COL}={batch}")
         done.append(d)
     return done
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

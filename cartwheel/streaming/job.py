@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from cartwheel.config import StreamSettings
 from cartwheel.operators import alerts as alert_ops
@@ -32,12 +33,15 @@ from cartwheel.operators.windows import duration, sliding_counts
 from cartwheel.schemas import KEYS
 from cartwheel.session import checkpoint_root
 from cartwheel.sinks import keyed
-from cartwheel.sources.tables import as_timestamp, dates_between, in_closed_range, read_events_range
+from cartwheel.sources.tables import as_timestamp, dates_between, in_closed_range, nothing_stored, read_events_range
 
 
 @dataclass(frozen=True)
 class JobPaths:
+    """Folders of the job's tables. ``run`` names the checkpoints: another run over the same tables starts anew."""
+
     root: str
+    run: str = ""
 
     @property
     def raw(self) -> str:
@@ -56,11 +60,38 @@ class JobPaths:
         return f"{self.root}/flash_sale_alerts"
 
     def checkpoint(self, name: str) -> str:
-        return f"{self.root}/_checkpoints/{name}"
+        return f"{self.root}/_checkpoints{'-' + self.run if self.run else ''}/{name}"
+
+
+def first_batch(spark: SparkSession, checkpoint: str, *logs: str) -> int:
+    """What a run adds to its batch ids: one more than any id in the logs when its checkpoint was new.
+
+    Kept beside the checkpoint, so a restart goes on with the same number. Slices of an earlier run over the
+    same tables (a replay, other micro-batch borders) are then never overwritten, and the newer run's values win.
+    """
+    marker = f"{checkpoint}-first-batch"
+    try:
+        return spark.read.schema("first long").json(marker).first()["first"]
+    except AnalysisException as error:
+        if not nothing_stored(error):
+            raise
+    found = 0
+    for path in logs:
+        log = keyed.read_log(spark, path)
+        last = log.agg(F.max(keyed.BATCH_COL)).first()[0] if log is not None else None
+        found = max(found, 0 if last is None else int(last) + 1)
+    try:  # a checkpoint that has begun without a marker counts from zero
+        spark.read.text(f"{checkpoint}/metadata").first()
+        found = 0
+    except AnalysisException as error:
+        if not nothing_stored(error):
+            raise
+    spark.createDataFrame([(found,)], "first long").write.json(marker)
+    return found
 
 
 def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_time",),
-                     strict_keys: bool = False, probe_time_span: bool = False, wide_raw: bool = False):
+                     strict_keys: bool = False, probe_time_span: bool = False, wide_raw: bool = False, first: int = 0):
     """foreachBatch function of the raw-events query.
 
     The insert-ignore probe reads only the raw folders of the event dates in the batch
@@ -72,6 +103,7 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first
         batch = batch.persist()
         try:
             if batch.isEmpty():
@@ -99,23 +131,29 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
     return write
 
 
-def unique_batch_writer(paths: JobPaths, wide_raw: bool = False):
-    """foreachBatch function of the raw query when its state already keeps ids unique: only a write."""
+def unique_batch_writer(spark: SparkSession, paths: JobPaths, wide_raw: bool = False, first: int = 0):
+    """foreachBatch function of the raw query when its state keeps ids unique: only a write.
+
+    The state knows this run's ids; those of earlier runs over the same table (``first`` > 0) are looked up there.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = decode.raw_projection(batch, wide=wide_raw).withColumn("event_date", F.to_date("event_time"))
-        keyed.write_log_rows(rows, paths.raw, batch_id, ("event_date",))
+        if first:
+            before = keyed.read_log(spark, paths.raw).where(F.col(keyed.BATCH_COL) < first).select("event_id")
+            rows = rows.join(before, "event_id", "left_anti").select(*rows.columns)
+        keyed.write_log_rows(rows, paths.raw, batch_id + first, ("event_date",))
 
     return write
 
 
-def quarantine_batch_writer(paths: JobPaths):
+def quarantine_batch_writer(paths: JobPaths, first: int = 0):
     """foreachBatch function of the quarantine: bad rows with their reason; no folder for a batch without any."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         bad = decode.validate(batch)[1]
         if not bad.isEmpty():
-            keyed.write_slice(bad.withColumn("received_at", F.current_timestamp()), paths.quarantine, batch_id)
+            keyed.write_slice(bad.withColumn("received_at", F.current_timestamp()), paths.quarantine, batch_id + first)
 
     return write
 
@@ -125,12 +163,13 @@ def with_window_date(df: DataFrame) -> DataFrame:
     return df.withColumn(keyed.WINDOW_DATE, F.to_date(F.col("window_start")))
 
 
-def aggregate_batch_writer(spark: SparkSession, paths: JobPaths, settings: StreamSettings):
+def aggregate_batch_writer(spark: SparkSession, paths: JobPaths, settings: StreamSettings, first: int = 0):
     """foreachBatch function of the window query: aggregates, then alerts from the written slice."""
 
     by_date = (keyed.WINDOW_DATE,)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first
         stamped = with_window_date(batch.withColumn("computed_at", F.current_timestamp()))
         # the window dates written are observed during the write: the read-back lists only them
         dates = keyed.upsert(stamped, paths.aggregates, batch_id, partition_by=by_date, observe=True)
@@ -160,6 +199,7 @@ def start(
     wide_raw: bool = False,
     unique_by: str = "state",
     unique_within: str | None = None,
+    run: str = "",
 ):
     """Start the queries over a streaming DataFrame of records with a ``value`` column.
 
@@ -177,13 +217,16 @@ def start(
     ``"probe"`` reads the stored ids of the batch's dates instead and keeps the first copy by delivery order;
     there ``strict_keys`` probes all history and ``probe_time_span`` narrows it to the batch's event-time
     span (see ``raw_batch_writer``). ``wide_raw`` keeps session, device, referrer and the
-    Kafka timestamp in the raw table (D7). ``input_partitions`` spreads the
+    Kafka timestamp in the raw table (D7). ``run`` names another run over the same tables, with
+    checkpoints of its own (a replay): its slices follow those that are there. ``input_partitions`` spreads the
     records of a source with few partitions (one file per micro-batch, a small topic)
     round-robin over that many tasks before the JSON decode; for Kafka prefer the
     source's ``minPartitions`` (``kafka.read_stream``).
     """
     checkpoint_root(spark)
-    paths = JobPaths(out_root)
+    paths = JobPaths(out_root, run)
+    raw_first = first_batch(spark, paths.checkpoint("raw_events"), paths.raw, paths.quarantine)
+    agg_first = first_batch(spark, paths.checkpoint("aggregates"), paths.aggregates, paths.alerts)
     if input_partitions:
         records = records.repartition(int(input_partitions))
     decoded = decode.decode_events(records)
@@ -194,16 +237,17 @@ def start(
         raise ValueError(f"unique_by must be 'state' or 'probe', not {unique_by!r}")
     by_state = unique_by == "state" and not (strict_keys or probe_time_span)
     raw_input, raw_writer = decoded, raw_batch_writer(spark, paths, strict_keys=strict_keys,
-                                                      probe_time_span=probe_time_span, wide_raw=wide_raw)
+                                                      probe_time_span=probe_time_span, wide_raw=wide_raw,
+                                                      first=raw_first)
     more = {}
     if by_state:
         valid = decode.validate(decoded)[0]
         raw_input = (valid.withWatermark("event_time", unique_within).dropDuplicatesWithinWatermark(["event_id"])
                      if unique_within else valid.dropDuplicates(["event_id"]))
-        raw_writer = unique_batch_writer(paths, wide_raw)
+        raw_writer = unique_batch_writer(spark, paths, wide_raw, raw_first)
         more["quarantine"] = (
             decoded.writeStream.outputMode("append")
-            .foreachBatch(quarantine_batch_writer(paths))
+            .foreachBatch(quarantine_batch_writer(paths, raw_first))
             .option("checkpointLocation", paths.checkpoint("quarantine"))
             .trigger(**trig)
             .queryName("quarantine")
@@ -229,7 +273,7 @@ def start(
     windows = sliding_counts(window_input, settings.window, settings.slide, watermark=watermark)
     agg_query = (
         windows.writeStream.outputMode("update")
-        .foreachBatch(aggregate_batch_writer(spark, paths, settings))
+        .foreachBatch(aggregate_batch_writer(spark, paths, settings, agg_first))
         .option("checkpointLocation", paths.checkpoint("aggregates"))
         .trigger(**agg_trig)
         .queryName("window_aggregates")

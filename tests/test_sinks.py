@@ -176,7 +176,7 @@ def test_compact_dates_keeps_rows_and_dedup(spark, scratch):
     assert keyed.compact_dates(spark, scratch, "event_date", [dt.date(2024, 1, 15), dt.date(2024, 2, 1)]) \
         == ["2024-01-15"]
     folders = sorted(p.name for p in pathlib.Path(scratch, "event_date=2024-01-15").iterdir() if p.is_dir())
-    assert folders == ["batch_id=1"]
+    assert folders == ["batch_id=-1"]
     assert sorted(tuple(r) for r in keyed.union_of_slices(spark, scratch).collect()) == before
     # a later batch still finds the compacted ids
     keyed.insert_ignore(spark, _raw(spark, [rows[0]]), scratch, 3, probe_by="event_date")
@@ -200,7 +200,13 @@ def test_compact_dates_of_an_upsert_log_keeps_latest(spark, scratch):
     before = sorted(tuple(r) for r in keyed.current(spark, scratch, keys).collect())
     jobs.main(["compact", "--table", scratch, "--log", "aggregates", "--date", "2024-01-15", "--end", "2024-01-17"])
     assert sorted(tuple(r) for r in keyed.current(spark, scratch, keys).collect()) == before
-    assert keyed.read_log(spark, scratch).count() == 2  # one version per key left
+    # the newest batch stays for a re-run; of what is older one version per key is left
+    assert keyed.read_log(spark, scratch).count() == 3
+    keyed.upsert(frame([(*w1, "P1", 5)]), scratch, 2, partition_by=by_date)
+    jobs.main(["compact", "--table", scratch, "--log", "aggregates", "--date", "2024-01-15", "--end", "2024-01-17"])
+    assert keyed.read_log(spark, scratch).where("batch_id < 2").count() == 2
+    got = {r.product_id: r.v for r in keyed.current(spark, scratch, keys).collect()}
+    assert got == {"P1": 5, "P2": 2}
 
 
 def test_insert_ignore_byte_bound_picks_the_shuffle_path(spark, scratch):
@@ -211,3 +217,16 @@ def test_insert_ignore_byte_bound_picks_the_shuffle_path(spark, scratch):
     keyed.insert_ignore(spark, b0, scratch, 0, probe_by="event_date", broadcast_bytes=1)
     keyed.insert_ignore(spark, b0, scratch, 1, probe_by="event_date", broadcast_bytes=1)
     assert keyed.union_of_slices(spark, scratch).count() == 2
+
+
+def test_rerun_of_the_last_batch_after_compaction_loses_nothing(spark, scratch):
+    day = dt.date(2024, 1, 15)
+    rows = [(f"e{i}", "u1", "P1", None, "view", ts("2024-01-15 10:00:00")) for i in range(3)]
+    for b, row in enumerate(rows):
+        keyed.write_log_rows(_raw(spark, [row]), scratch, b, ("event_date",))
+    assert keyed.compact_dates(spark, scratch, "event_date", [day]) == ["2024-01-15"]
+    keyed.write_log_rows(_raw(spark, [rows[2]]), scratch, 2, ("event_date",))  # the crashed batch again
+    assert sorted(r.event_id for r in keyed.union_of_slices(spark, scratch).collect()) == ["e0", "e1", "e2"]
+    keyed.write_log_rows(_raw(spark, [("e9", "u1", "P1", None, "view", ts("2024-01-15 11:00:00"))]), scratch, 3, ("event_date",))
+    keyed.compact_dates(spark, scratch, "event_date", [day])
+    assert sorted(r.event_id for r in keyed.union_of_slices(spark, scratch).collect()) == ["e0", "e1", "e2", "e9"]
