@@ -92,11 +92,11 @@ def q_raw_wide(spark, sf_dir):
 
 def q_quality_duplicates(spark, sf_dir):
     tables = {
-        "clickstream_events": TB.raw_events(spark, sf_dir),
-        "product_view_aggregates": TB.aggregates(spark, sf_dir),
-        "flash_sale_alerts": TB.alert_rows(spark, sf_dir),
-        "user_segments": TB.segments(spark, sf_dir),
-        "daily_product_report": TB.daily_report(spark, sf_dir),
+        "clickstream_events": TB.stored_events(spark, sf_dir),
+        "product_view_aggregates": TB.stored_aggregates(spark, sf_dir),
+        "flash_sale_alerts": TB.stored_alerts(spark, sf_dir),
+        "user_segments": TB.stored_segments(spark, sf_dir),
+        "daily_product_report": TB.stored_report(spark, sf_dir),
     }
     return quality.key_report(tables, KEYS)
 
@@ -264,56 +264,68 @@ def q_flash_sale_audit(spark, sf_dir):
 # --- dashboard panels -------------------------------------------------------
 
 def q_panel_views_series(spark, sf_dir):
-    return dashboard.views_series(TB.aggregates(spark, sf_dir), P.START, P.END)
+    return dashboard.views_series(TB.stored_aggregates(spark, sf_dir, P.START, P.END), P.START, P.END)
 
 
 def q_panel_views_legend(spark, sf_dir):
-    return dashboard.views_legend(dashboard.views_series(TB.aggregates(spark, sf_dir), P.START, P.END))
+    return dashboard.views_legend(dashboard.views_series(TB.stored_aggregates(spark, sf_dir, P.START, P.END), P.START, P.END))
 
 
 def q_panel_funnel(spark, sf_dir):
-    return dashboard.funnel(TB.aggregates(spark, sf_dir), P.START, P.END)
+    return dashboard.funnel(TB.stored_aggregates(spark, sf_dir, P.START, P.END), P.START, P.END)
 
 
 def q_panel_alert_count(spark, sf_dir):
-    return dashboard.alert_count(TB.alert_rows(spark, sf_dir), P.START, P.END)
+    return dashboard.alert_count(TB.stored_alerts(spark, sf_dir), P.START, P.END)
 
 
 def q_panel_alert_log(spark, sf_dir):
-    return dashboard.alert_log(TB.alert_rows(spark, sf_dir), P.START, P.END)
+    return dashboard.alert_log(TB.stored_alerts(spark, sf_dir), P.START, P.END)
 
 
 def q_panel_alert_annotations(spark, sf_dir):
-    return dashboard.alert_annotations(TB.alert_rows(spark, sf_dir), P.START, P.END)
+    return dashboard.alert_annotations(TB.stored_alerts(spark, sf_dir), P.START, P.END)
 
 
 def q_panel_conversion_top10(spark, sf_dir):
-    return dashboard.conversion_top(TB.aggregates(spark, sf_dir), P.START, P.END)
+    return dashboard.conversion_top(TB.stored_aggregates(spark, sf_dir, P.START, P.END), P.START, P.END)
 
 
 def q_panel_daily_top(spark, sf_dir):
-    return dashboard.daily_top(TB.daily_report(spark, sf_dir), P.AS_OF)
+    return dashboard.daily_top(TB.stored_report(spark, sf_dir), P.AS_OF)
 
 
 def q_panel_buyers(spark, sf_dir):
-    return dashboard.segment_count(TB.segments(spark, sf_dir), C.SEGMENT_BUYER, P.AS_OF)
+    return dashboard.segment_count(TB.stored_segments(spark, sf_dir), C.SEGMENT_BUYER, P.AS_OF)
 
 
 def q_panel_window_shoppers(spark, sf_dir):
-    return dashboard.segment_count(TB.segments(spark, sf_dir), C.SEGMENT_WINDOW_SHOPPER, P.AS_OF)
+    return dashboard.segment_count(TB.stored_segments(spark, sf_dir), C.SEGMENT_WINDOW_SHOPPER, P.AS_OF)
 
 
 def q_panel_segment_detail(spark, sf_dir):
-    return dashboard.segment_detail(TB.segments(spark, sf_dir), P.AS_OF)
+    return dashboard.segment_detail(TB.stored_segments(spark, sf_dir), P.AS_OF)
+
+
+def q_panel_display_names(spark, sf_dir):
+    """The tables of the dashboard under the names that it shows (columns and rows of each)."""
+    shown = {
+        "alert_log": dashboard.alert_log(TB.stored_alerts(spark, sf_dir), P.START, P.END, display=True),
+        "daily_top": dashboard.rename_for_display(dashboard.daily_top(TB.stored_report(spark, sf_dir), P.AS_OF)),
+        "segment_detail": dashboard.rename_for_display(dashboard.segment_detail(TB.stored_segments(spark, sf_dir), P.AS_OF)),
+    }
+    parts = [df.agg(F.lit(name).alias("panel"), F.lit(", ".join(df.columns)).alias("columns"), F.count("*").alias("rows"))
+             for name, df in shown.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
 def q_table_counts(spark, sf_dir):
     return dashboard.table_counts({
-        "clickstream_events": TB.raw_events(spark, sf_dir),
-        "product_view_aggregates": TB.aggregates(spark, sf_dir),
-        "flash_sale_alerts": TB.alert_rows(spark, sf_dir),
-        "user_segments": TB.segments(spark, sf_dir),
-        "daily_product_report": TB.daily_report(spark, sf_dir),
+        "clickstream_events": TB.stored_events(spark, sf_dir),
+        "product_view_aggregates": TB.stored_aggregates(spark, sf_dir),
+        "flash_sale_alerts": TB.stored_alerts(spark, sf_dir),
+        "user_segments": TB.stored_segments(spark, sf_dir),
+        "daily_product_report": TB.stored_report(spark, sf_dir),
     })
 
 
@@ -360,6 +372,7 @@ BATCH_QUERIES = {
     "panel_buyers": q_panel_buyers,
     "panel_window_shoppers": q_panel_window_shoppers,
     "panel_segment_detail": q_panel_segment_detail,
+    "panel_display_names": q_panel_display_names,
     "table_counts": q_table_counts,
 }
 

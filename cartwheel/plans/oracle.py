@@ -294,6 +294,16 @@ SQL = {
                CASE segment WHEN 'Buyer' THEN 'green' WHEN 'Window Shopper' THEN 'blue' END AS colour
         FROM seg WHERE segment_date = DATE '2024-01-15'
         ORDER BY total_purchases DESC, total_views DESC, user_id LIMIT 50""",
+    "panel_display_names": """
+        SELECT 'alert_log' AS panel, 'Product ID, Views, Purchases, Recommendation, Triggered At' AS columns,
+               LEAST(50, COUNT(*)) AS rows
+        FROM alerts WHERE created_at BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-02-01'
+        UNION ALL
+        SELECT 'daily_top', '#, Product ID, total_views, total_purchases, Conversion Rate', LEAST(10, COUNT(*))
+        FROM report WHERE report_date = DATE '2024-01-15'
+        UNION ALL
+        SELECT 'segment_detail', 'Date, User ID, Segment, total_views, total_purchases, colour', LEAST(50, COUNT(*))
+        FROM seg WHERE segment_date = DATE '2024-01-15'""",
     "table_counts": """
         SELECT 'clickstream_events' AS table_name, COUNT(*) AS row_count FROM valid
         UNION ALL SELECT 'product_view_aggregates', COUNT(*) FROM agg

@@ -1,7 +1,8 @@
 """The stored tables, derived from the driver's ``events`` table by the library operators.
 
-These stand in for what the stream and the daily jobs write; queries read them
-as the dashboard reads its tables.
+These stand in for what the stream and the daily jobs write. ``stored`` writes them once for
+each session and folder with the job's own sinks; panels read those tables through their date
+folders, as the dashboard reads its tables.
 """
 
 from __future__ import annotations
@@ -11,8 +12,15 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators import alerts, daily, decode, windows
 from cartwheel.plans import params as P
+from cartwheel.operators.windows import duration
+from cartwheel.schemas import KEYS
+from cartwheel.session import scratch_path
+from cartwheel.sinks import keyed, partitions
 from cartwheel.sources.adapter import clickstream_from_events
-from cartwheel.sources.tables import load_table, spread_small_input
+from cartwheel.sources.tables import as_timestamp, dates_between, load_table, spread_small_input
+from cartwheel.streaming.job import with_window_date
+
+_STORED: dict = {}
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,3 +59,47 @@ def segments(spark: SparkSession, sf_dir: str, three_way: bool = False) -> DataF
 
 def conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.conversion_by_product(raw_events(spark, sf_dir), P.START, P.END)
+
+
+def stored(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the five tables as the job and the daily jobs leave them; written once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        root = scratch_path(spark, "tables")
+        by_date = (keyed.WINDOW_DATE,)
+        events = raw_events(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
+        keyed.write_log_rows(events, f"{root}/clickstream_events", 0, ("event_date",))
+        keyed.upsert(with_window_date(aggregates(spark, sf_dir)), f"{root}/product_view_aggregates", 0, by_date)
+        counts = keyed.current(spark, f"{root}/product_view_aggregates", KEYS["product_view_aggregates"])
+        found = alerts.flash_sale(counts, P.MIN_VIEWS, P.MAX_PURCHASES, created_at=F.col("window_end"))
+        keyed.upsert(with_window_date(found), f"{root}/flash_sale_alerts", 0, by_date)
+        events = keyed.union_of_slices(spark, f"{root}/clickstream_events")
+        partitions.replace_dates(spark, daily.user_segments(events, P.START, P.END), f"{root}/user_segments",
+                                 "segment_date", P.START, P.END)
+        partitions.replace_dates(spark, daily.daily_top_products(events, P.START, P.END),
+                                 f"{root}/daily_product_report", "report_date", P.START, P.END)
+        _STORED[key] = root
+    return _STORED[key]
+
+
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.union_of_slices(spark, f"{stored(spark, sf_dir)}/clickstream_events").drop("event_date")
+
+
+def stored_aggregates(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
+    """All windows, or those of the date folders that hold windows ending in the range."""
+    dates = dates_between(as_timestamp(start) - duration(P.WINDOW), end) if start is not None else None
+    return keyed.current(spark, f"{stored(spark, sf_dir)}/product_view_aggregates", KEYS["product_view_aggregates"],
+                         dates=dates)
+
+
+def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.current(spark, f"{stored(spark, sf_dir)}/flash_sale_alerts", KEYS["flash_sale_alerts"])
+
+
+def stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{stored(spark, sf_dir)}/daily_product_report")
+
+
+def stored_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{stored(spark, sf_dir)}/user_segments")
