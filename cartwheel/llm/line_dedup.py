@@ -23,32 +23,43 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import storage
 
-SPACE = r"[ \t\x0B\f\r]+"
 VARIABLE = "<*>"
+#: A key set of at most so many 64-bit rows may be broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
 _WITH_DIGIT = r"(?<![^ \t\x0B\f\r])[^ \t\x0B\f\r0-9]*+[0-9][^ \t\x0B\f\r]*+"
 
 
 def words_of(line: Column) -> Column:
-    """A line's words, those with a digit as the variable mark."""
-    return F.filter(F.split(F.regexp_replace(line, _WITH_DIGIT, VARIABLE), SPACE), lambda w: w != "")
+    """A line's words, those with a digit as the variable mark. Rare cases alone pay for a pattern."""
+    spaced = F.when(line.rlike(r"[\t\x0B\f\r]"), F.translate(line, "\t\x0b\f\r", "    ")).otherwise(line)
+    masked = F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, _WITH_DIGIT, VARIABLE)).otherwise(spaced)
+    return F.array_remove(F.split(masked, " "), "")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
-    """``id, mark, place, words, size, leaf, line`` of every line with words."""
+def _raw(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
-    cut = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"),
-                      F.posexplode(F.split(text, "\n", -1)).alias("place", "raw"))
-    found = cut.select("id", "mark", "place", words_of(F.col("raw")).alias("words")).where(F.size("words") > 0)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"),
+                       F.posexplode(F.split(text, "\n", -1)).alias("place", "raw"))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
+    """``id, mark, place, size, leaf, line, code`` of every line with words; ``code`` is the raw line's hash."""
+    found = _raw(docs, id_col, text_col).withColumn("words", words_of(F.col("raw"))).where(F.size("words") > 0)
     return found.select(
-        "id", "mark", "place", "words", F.size("words").alias("size"),
-        F.xxhash64(F.size("words"), F.array_join(F.slice("words", 1, depth), " ")).alias("leaf"),
-        F.xxhash64(F.array_join("words", " ")).alias("line"))
+        "id", "mark", "place", F.size("words").alias("size"),
+        F.xxhash64(F.size("words"), F.slice("words", 1, depth)).alias("leaf"), F.xxhash64("words").alias("line"),
+        F.xxhash64("raw").alias("code"))
+
+
+def _one_of(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """Rows whose key is in ``keys``; a written table of distinct keys, sent whole only if it is known to be small."""
+    few = keys.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(keys) if few else keys, name, "left_semi")
 
 
 def templates(lines: DataFrame, fixed_share: float) -> DataFrame:
-    """``leaf, line, template`` of the distinct lines of leaves with several lines, where it differs from the line."""
-    distinct = lines.groupBy("leaf", "line").agg(F.first("words").alias("words"))
-    placed = distinct.select("leaf", "line", F.posexplode("words").alias("at", "word"))
+    """``leaf, line, template`` of distinct lines (``leaf, line, words``) whose template is fixed enough."""
+    placed = lines.select("leaf", "line", F.posexplode("words").alias("at", "word"))
     shared = (placed.groupBy("leaf", "at", F.xxhash64("word").alias("code")).agg(F.count("*").alias("n"))
               .where("n > 1").select("leaf", "at", "code"))
     kept = placed.withColumn("code", F.xxhash64("word")).join(
@@ -59,7 +70,7 @@ def templates(lines: DataFrame, fixed_share: float) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("at", "word"))).alias("cells"),
         F.avg(F.when((F.col("word") == VARIABLE) | ~F.col("fixed"), 0.0).otherwise(1.0)).alias("share"))
     return whole.where(F.col("share") >= fixed_share).select(
-        "leaf", "line", F.xxhash64(F.array_join("cells.word", " ")).alias("template"))
+        "leaf", "line", F.xxhash64("cells.word").alias("template"))
 
 
 def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, fixed_share: float = 0.7,
@@ -69,14 +80,19 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     Templates of at least ``short`` words recur in ``min_docs`` documents, shorter ones, which also meet by
     chance, in ``short_docs``.
     """
-    full = _lines(docs, id_col, text_col, depth)
-    light = storage.written(full.drop("words"), "lines")
+    light = storage.written(_lines(docs, id_col, text_col, depth), "lines")
     document = F.struct("id", "mark")
     met = light.groupBy("leaf").agg(F.min(document) != F.max(document), F.min("line") != F.max("line"))
     met = storage.written(met.toDF("leaf", "docs", "lines").where("docs").select("leaf", "lines"), "leaves")
-    found = storage.written(templates(
-        full.join(met.where("lines").select("leaf"), "leaf", "left_semi").select("leaf", "line", "words"), fixed_share),
-        "templates")
+    # of each distinct line of a leaf with several, one raw text is fetched
+    several = light.join(met.where("lines").select("leaf"), "leaf", "left_semi").groupBy("leaf", "line").agg(
+        F.min("code").alias("code"))
+    several = storage.written(several, "lines-to-compare")
+    codes = storage.written(several.select("code").distinct(), "codes")
+    texts = _one_of(_raw(docs, id_col, text_col).select("raw").withColumn("code", F.xxhash64("raw")), codes, "code")
+    texts = texts.groupBy("code").agg(F.min("raw").alias("raw"))
+    found = storage.written(templates(several.join(texts, "code").select("leaf", "line", words_of(F.col("raw")).alias("words")),
+                                      fixed_share), "templates")
     named = (light.join(met.select("leaf"), "leaf", "left_semi").join(found, ["leaf", "line"], "left")
              .withColumn("general", F.col("template").isNotNull())
              .withColumn("template", F.coalesce("template", "line")))
