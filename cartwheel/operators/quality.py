@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from cartwheel import constants as C
 
 
-def duplicate_keys(df: DataFrame, keys) -> DataFrame:
-    """Keys that occur more than once, with their count (Q5). Partial aggregation first."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
-
-
 def key_report(tables: dict, keys: dict) -> DataFrame:
     """One row per table: rows, distinct keys and keys held more than once (Q5)."""
     parts = []

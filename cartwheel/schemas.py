@@ -1,17 +1,9 @@
-"""Schemas of the wire event and of the stored tables."""
+"""Schema of the wire event, and keys and columns of the stored tables."""
 
-from pyspark.sql.types import (
-    DateType,
-    DecimalType,
-    LongType,
-    ShortType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import StringType, StructField, StructType
 
-# JSON payload of one event (nullability documents intent; from_json does not enforce it)
+# fixed values: names, order and nullability of the JSON payload of one event, as producers send it
+# (nullability documents intent; from_json does not enforce it)
 EVENT_SCHEMA = StructType(
     [
         StructField("event_id", StringType(), False),
@@ -26,65 +18,6 @@ EVENT_SCHEMA = StructType(
     ]
 )
 
-RAW_EVENTS = StructType(
-    [
-        StructField("event_id", StringType(), False),
-        StructField("user_id", StringType(), False),
-        StructField("product_id", StringType(), False),
-        StructField("category", StringType(), True),
-        StructField("event_type", StringType(), False),
-        StructField("event_time", TimestampType(), False),
-        StructField("ingested_at", TimestampType(), False),
-    ]
-)
-
-PRODUCT_VIEW_AGGREGATES = StructType(
-    [
-        StructField("window_start", TimestampType(), False),
-        StructField("window_end", TimestampType(), False),
-        StructField("product_id", StringType(), True),
-        StructField("view_count", LongType(), False),
-        StructField("cart_count", LongType(), False),
-        StructField("purchase_count", LongType(), False),
-        StructField("computed_at", TimestampType(), True),
-    ]
-)
-
-FLASH_SALE_ALERTS = StructType(
-    [
-        StructField("product_id", StringType(), True),
-        StructField("view_count", LongType(), True),
-        StructField("purchase_count", LongType(), True),
-        StructField("window_start", TimestampType(), True),
-        StructField("window_end", TimestampType(), True),
-        StructField("alert_message", StringType(), True),
-        StructField("created_at", TimestampType(), True),
-    ]
-)
-
-USER_SEGMENTS = StructType(
-    [
-        StructField("segment_date", DateType(), False),
-        StructField("user_id", StringType(), True),
-        StructField("segment", StringType(), True),
-        StructField("total_views", LongType(), False),
-        StructField("total_purchases", LongType(), False),
-        StructField("created_at", TimestampType(), True),
-    ]
-)
-
-DAILY_PRODUCT_REPORT = StructType(
-    [
-        StructField("report_date", DateType(), False),
-        StructField("rank", ShortType(), False),
-        StructField("product_id", StringType(), True),
-        StructField("total_views", LongType(), True),
-        StructField("total_purchases", LongType(), True),
-        StructField("conversion_rate", DecimalType(6, 4), True),
-        StructField("created_at", TimestampType(), True),
-    ]
-)
-
 # primary / unique keys of the stored tables
 KEYS = {
     "clickstream_events": ("event_id",),
@@ -97,9 +30,3 @@ KEYS = {
 RAW_COLUMNS = ("event_id", "user_id", "product_id", "category", "event_type", "event_time")
 # wider raw record of the diagram variant (D7): the decoded fields the raw table drops
 WIDE_RAW_EXTRA = ("session_id", "device", "referrer", "kafka_timestamp")
-AGGREGATE_COLUMNS = (
-    "window_start", "window_end", "product_id", "view_count", "cart_count", "purchase_count",
-)
-ALERT_COLUMNS = (
-    "product_id", "view_count", "purchase_count", "window_start", "window_end", "alert_message",
-)
