@@ -27,7 +27,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_rules.fit(docs, _table(spark, sf_dir, "labels"), usable=fold(4) != 2)
     return quality_rules.score(docs, model).select(
-        "doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +154,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     net = toxicity.fit(docs, _table(spark, sf_dir, "labels"), usable=fold(3) != 1)
     return toxicity.score(docs, net).select(
-        "doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

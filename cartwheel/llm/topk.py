@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm import storage
+from cartwheel.session import scratch_path
 
 LEVELS = (2, 8, 16)
 SLACK = 1e-6  # bounds are computed in floating point; this share of the norms keeps them on the safe side
@@ -115,7 +116,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
         F.min("v").alias("v")), "queries")
     blocks = max(1, -(-asking.count() // block))
     dealt = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    found = None
+    path, schema = scratch_path(spark, "found"), "query_id bigint, vec_id bigint, score bigint"
     for i in range(blocks):
         # about `block` rows: ids are dealt by their hash
         mine = sorted((r["id"], r["v"]) for r in asking.where(dealt == i).collect())
@@ -146,8 +147,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
             for n, kept in sure.items():  # the broadcast value serves other tasks of this worker
                 sets[n].sure = kept
 
-        part = storage.written(table.mapInArrow(scan, "query_id bigint, vec_id bigint, score bigint"), "found")
-        found = part if found is None else found.unionByName(part)
+        table.mapInArrow(scan, schema).write.parquet(f"{path}/block={i}")
+    found = spark.read.schema(schema).parquet(path)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -233,7 +233,7 @@ class Network:
 
 
 def _sums(keys: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    values = values.reshape(len(keys), -1)
+    values = values.reshape(len(keys), values.shape[-1])
     return np.stack([np.bincount(keys, values[:, i], size) for i in range(values.shape[1])], 1).astype(np.float32)
 
 

@@ -410,3 +410,10 @@ def test_pipeline(spark):
     assert set(kept["decontamination"]) <= set(kept["simhash_near_dedup"])
     packed = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in packed} == set(kept["decontamination"])
+
+
+def test_training_on_batches_without_known_inputs():
+    clean = [[["plain", "words"]], [["other", "words"]], [["quiet"]]] * 9
+    toxic = [[["you", "idiot"], ["nothing", "here"]], [["an", "idiot"]]] * 9
+    net = toxicity.train(clean + toxic, [0] * 27 + [1] * 18, batch=1, least_steps=50)
+    assert toxicity.score_texts(net, ["an idiot", "plain words"])[0] > toxicity.score_texts(net, ["plain words"])[0]
