@@ -29,7 +29,7 @@ WORD = 32
 SAMPLE, SAMPLE_WINDOWS = 1500, 24
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 16, 8
 GRAMS = (3, 4, 5)
-TABLE_BITS = 20
+TABLE_BITS, COUNT_BITS = 20, 22
 #: Inputs known to the model: at most so many words and character runs, whose rates in the sampled documents
 #: of the two labels lie at least so many standard errors apart.
 TELLING, MOST_WORDS, MOST_GRAMS = 6.0, 5_000, 20_000
@@ -77,10 +77,16 @@ class Vocabulary:
         counts = np.array([in_docs[w] for w in distinct], float).reshape(-1, 2)
         keep = _telling(counts, sizes)[:MOST_WORDS]
         self.word = {distinct[i]: n + 1 for n, i in enumerate(keep)}
+        # runs are counted by a slot of their hash first, and only those of slots that may tell anything one by one
+        slots = np.zeros((2, 1 << COUNT_BITS), np.int32)
+        for doc, label in zip(documents, labels):
+            np.add.at(slots[label], _grams_of(doc) >> np.uint64(64 - COUNT_BITS), 1)
+        may_tell = np.zeros(1 << COUNT_BITS, bool)
+        may_tell[_telling(np.minimum(slots.T, sizes), sizes, TELLING / 2)] = True
         found, in_kind = [], []
         for doc, label in zip(documents, labels):
-            grams = np.unique(gram_hashes(sorted(set(doc)))) if doc else np.zeros(0, np.uint64)
-            found.append(grams[grams > 0])
+            grams = _grams_of(doc)
+            found.append(grams[may_tell[grams >> np.uint64(64 - COUNT_BITS)]])
             in_kind.append(np.full(len(found[-1]), label))
         grams, at = np.unique(np.concatenate(found), return_inverse=True)
         kinds = np.concatenate(in_kind)
@@ -120,13 +126,22 @@ _MIX = np.random.default_rng(3).integers(1, 1 << 63, WINDOW, np.uint64) | np.uin
 _PLACES = sum(WORD + 3 - n for n in GRAMS)
 
 
-def _telling(counts: np.ndarray, sizes: list[int]) -> np.ndarray:
+def _grams_of(doc: list[str]) -> np.ndarray:
+    """The distinct character runs of a document's words, a bounded number of words at a time."""
+    distinct = sorted(set(doc))
+    parts = [np.unique(gram_hashes(distinct[at:at + 4096])) for at in range(0, len(distinct), 4096)]
+    grams = np.unique(np.concatenate([np.zeros(1, np.uint64), *parts]))
+    return grams[1:]
+
+
+def _telling(counts: np.ndarray, sizes: list[int], least: float | None = None) -> np.ndarray:
     """Places of the features whose document rates differ most between the labels, most telling first."""
+    least = TELLING if least is None else least
     rate = counts.sum(1) / sum(sizes)
     spread = np.sqrt(np.maximum(rate * (1 - rate), 1e-9) * (1 / sizes[0] + 1 / sizes[1]))
     z = np.abs(counts[:, 1] / sizes[1] - counts[:, 0] / sizes[0]) / spread
-    order = np.argsort(-z, kind="stable")
-    return order[z[order] >= TELLING]
+    some = np.flatnonzero(z >= least)
+    return some[np.argsort(-z[some], kind="stable")]
 
 
 class Network:
@@ -337,7 +352,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
     spark = docs.sparkSession
     table = spark.createDataFrame(chosen, known.schema)
 
-    @F.pandas_udf("array<array<string>>")
+    @F.pandas_udf("array<string>")
     def cut(texts):
         import pandas as pd
 
@@ -346,7 +361,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
             found = windows(words(text))
             if len(found) > SAMPLE_WINDOWS:
                 found = [found[i * len(found) // SAMPLE_WINDOWS] for i in range(SAMPLE_WINDOWS)]
-            out.append([[w for w in part if w] for part in found])
+            out.append([" ".join(w for w in part if w) for part in found])
         return pd.Series(out, dtype=object)
 
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
@@ -354,7 +369,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
     picked = texts.join(F.broadcast(table), "key").dropDuplicates(["key"])
     rows = picked.select("key", "label", cut("text").alias("parts")).collect()
     rows = sorted(((r["key"], r["label"], r["parts"]) for r in rows if r["parts"]), key=lambda r: str(r[0]))
-    return train([[list(p) for p in r[2]] for r in rows], [r[1] for r in rows])
+    same: dict[str, str] = {}
+    documents = [[[same.setdefault(w, w) for w in part.split(" ")] for part in r[2]] for r in rows]
+    return train(documents, [r[1] for r in rows])
 
 
 def score(docs: DataFrame, net: Network | None, column: str = "score", text_col: str = "text") -> DataFrame:
