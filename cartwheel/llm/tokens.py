@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 #: White space that the array path does not take.
 _ODD = re.compile(r"[^\S \n]|\s\s")
 _CUT = re.compile(r"(?<=\S)(?= )")
-_BYTES = 4 << 20  # of text in one array step
+_BYTES = 1 << 20  # of text in one array step
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE, _BREAK, _LETTER, _MARK = 1, 2, 3, 4
 _KIND = np.zeros(256, np.uint8)
@@ -76,7 +76,7 @@ class ChunkEncoder:
     Null counts as empty. ``table_size`` bounds the remembered chunks.
     """
 
-    def __init__(self, tokenizer_path: str, table_size: int = 1_000_000):
+    def __init__(self, tokenizer_path: str, table_size: int = 700_000):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
@@ -84,6 +84,7 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
         self.table_size = table_size
         self.chunks: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.alphabet = byte_alphabet()
 
     def _pack(self, ids) -> bytes:
@@ -100,13 +101,15 @@ class ChunkEncoder:
         return self._whole(text)
 
     def _known(self, distinct: list[bytes]) -> list[bytes]:
-        table = self.chunks
-        found = list(map(table.get, distinct))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if len(missing) + len(table) > self.table_size:
-            table.clear()
-        for i in missing:
-            found[i] = table[distinct[i]] = self._chunk(distinct[i])
+        found = list(map(self.chunks.get, distinct))
+        if 2 * len(self.chunks) > self.table_size:  # what is met again comes back from the older half
+            self.chunks, self.older = {}, self.chunks
+        table, older = self.chunks, self.older
+        for i, ids in enumerate(found):
+            if ids is None:
+                chunk = distinct[i]
+                ids = older.get(chunk)
+                found[i] = table[chunk] = self._chunk(chunk) if ids is None else ids
         return found
 
     def _plain(self, text: str) -> bytes:
