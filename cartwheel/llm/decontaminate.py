@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.simhash import LOWER
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-BATCH = 1000
+BATCH = 400
 
 
 def words(text: str | None) -> list[bytes]:

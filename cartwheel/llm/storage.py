@@ -27,8 +27,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows in an Arrow batch: whole texts are long, and a batch stands in memory several times.
+ARROW_ROWS = 1600
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to Python workers that cannot import it; once for each Spark application."""
+    """Sends this package to Python workers that cannot import it, once for each Spark application, and
+    bounds the session's Arrow batches by ``ARROW_ROWS``."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
     if home in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_cartwheel_shipped", False):
