@@ -1,9 +1,11 @@
 """Line deduplication by log templates, in DataFrame functions only.
 
 Lines walk a tree of fixed depth: number of words, then the first ``depth`` words, words with a digit standing
-as ``<*>``. In a leaf, a word stays part of its line's template if another line of the leaf has the same word
-in the same place; other words are variable fields and become ``<*>`` too. A template whose
-fixed share of words is under ``fixed_share`` is too general: the line then is its own template. Lines
+as ``<*>``. In a leaf, a word stays part of its line's template if enough other lines of the leaf have the same word
+in the same place; other words are variable fields and become ``<*>`` too. Enough is more than a tenth of the leaf's
+distinct lines; where that leaves a share of fixed words under ``fixed_share`` (a leaf of many templates), more than a hundredth, a
+thousandth and so on, down to one other line. A field of many values thus stays variable however large its leaf grows.
+A template under ``fixed_share`` even then is too general: the line then is its own template. Lines
 whose template occurs in several documents are dropped, but for those of the first document
 (the least id), so every recurring passage stays once.
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.functions.once import once
 from cartwheel.llm import storage
 
 VARIABLE = "<*>"
@@ -60,17 +63,20 @@ def _one_of(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
 def templates(lines: DataFrame, fixed_share: float) -> DataFrame:
     """``leaf, line, template`` of distinct lines (``leaf, line, words``) whose template is fixed enough."""
     placed = lines.select("leaf", "line", F.posexplode("words").alias("at", "word"))
-    shared = (placed.groupBy("leaf", "at", F.xxhash64("word").alias("code")).agg(F.count("*").alias("n"))
-              .where("n > 1").select("leaf", "at", "code"))
-    kept = placed.withColumn("code", F.xxhash64("word")).join(
-        shared.withColumn("fixed", F.lit(True)), ["leaf", "at", "code"], "left")
-    spelled = kept.select("leaf", "line", "at", F.when(F.col("fixed") | (F.col("word") == VARIABLE), F.col("word"))
-                          .otherwise(VARIABLE).alias("word"), F.coalesce("fixed", F.lit(False)).alias("fixed"))
-    whole = spelled.groupBy("leaf", "line").agg(
-        F.array_sort(F.collect_list(F.struct("at", "word"))).alias("cells"),
-        F.avg(F.when((F.col("word") == VARIABLE) | ~F.col("fixed"), 0.0).otherwise(1.0)).alias("share"))
-    return whole.where(F.col("share") >= fixed_share).select(
-        "leaf", "line", F.xxhash64("cells.word").alias("template"))
+    shared = placed.groupBy("leaf", "at", F.xxhash64("word").alias("code")).agg(F.count("*").alias("n")).where("n > 1")
+    kept = placed.withColumn("code", F.xxhash64("word")).join(shared, ["leaf", "at", "code"], "left")
+    # all lines of a leaf have its first words, so a line's largest count is the number of the leaf's lines
+    whole = kept.groupBy("leaf", "line").agg(
+        F.sort_array(F.collect_list(F.struct("at", "code", F.when(F.col("word") != VARIABLE, F.col("n")).alias("n")))).alias("cells"),
+        F.max("n").alias("most"))
+    size = F.size("cells")
+    need = F.ceil(size * fixed_share).cast("int")
+    need = F.when((need - 1) / size >= fixed_share, need - 1).otherwise(need)  # the product may be rounded up
+    least = F.get(F.sort_array("cells.n", asc=False), F.greatest(need, F.lit(1)) - 1)
+    bound = F.col("most") / F.pow(F.lit(10.0), F.floor(F.log10(F.col("most") / least)) + 1)
+    bounded = whole.select("leaf", "line", "cells", once(bound).alias("bound")).where("bound is not null")
+    spelled = F.transform("cells", lambda cell: F.when(cell["n"] > F.col("bound"), cell["code"]).otherwise(F.lit(0)))
+    return bounded.select("leaf", "line", F.xxhash64(spelled).alias("template"))
 
 
 def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, fixed_share: float = 0.7,

@@ -249,6 +249,18 @@ def test_line_templates(spark):
     assert got[20] == docs[6][1] and got[21] == got[22] == ""
 
 
+@pytest.mark.parametrize("n", [20, 10000])
+def test_line_templates_do_not_depend_on_the_leafs_size(spark, n):
+    line = "the user account named {} was opened from the city of {} without any error"
+    docs = [(i, line.format(f"name{chr(97 + i % 100 // 10)}{chr(97 + i % 10)}", f"city{chr(97 + (i + i // 100) % 100 // 10)}{chr(97 + (i + i // 100) % 10)}"))
+            for i in range(n)]
+    # a second template of the leaf, in few lines of it
+    docs += [(20000 + i, f"the user account of some other kind stays closed until {w} comes back") for i, w in enumerate(["may", "june", "july"])]
+    assert len({t for _, t in docs}) == len(docs)
+    got = line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string")).where("text <> ''")
+    assert [r["doc_id"] for r in got.orderBy("doc_id").collect()] == [0, 20000]
+
+
 def test_topk_against_all_pairs(spark):
     rng = np.random.default_rng(8)
     x = np.round(rng.standard_normal((400, 12)).cumsum(1), 3).astype(np.float32)
