@@ -5,7 +5,8 @@ as ``<*>``. In a leaf, a word stays part of its line's template if enough other
 in the same place; other words are variable fields and become ``<*>`` too. Enough is more than a tenth of the leaf's
 distinct lines; where that leaves a share of fixed words under ``fixed_share`` (a leaf of many templates), more than a hundredth, a
 thousandth and so on, down to one other line. A field of many values thus stays variable however large its leaf grows.
-A template under ``fixed_share`` even then is too general: the line then is its own template. Lines
+A template under ``fixed_share`` even then is too general: the line then is its own template, with its digits where
+they are in too many of its words. Lines
 whose template occurs in several documents are dropped, but for those of the first document
 (the least id), so every recurring passage stays once.
 
@@ -32,9 +33,13 @@ BROADCAST_ROWS = 1 << 20
 _WITH_DIGIT = r"(?<![^ \t\x0B\f\r])[^ \t\x0B\f\r0-9]*+[0-9][^ \t\x0B\f\r]*+"
 
 
+def _spaced(line: Column) -> Column:
+    return F.when(line.rlike(r"[\t\x0B\f\r]"), F.translate(line, "\t\x0b\f\r", "    ")).otherwise(line)
+
+
 def words_of(line: Column) -> Column:
     """A line's words, those with a digit as the variable mark. Rare cases alone pay for a pattern."""
-    spaced = F.when(line.rlike(r"[\t\x0B\f\r]"), F.translate(line, "\t\x0b\f\r", "    ")).otherwise(line)
+    spaced = _spaced(line)
     masked = F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, _WITH_DIGIT, VARIABLE)).otherwise(spaced)
     return F.array_remove(F.split(masked, " "), "")
 
@@ -45,13 +50,16 @@ def _raw(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.posexplode(F.split(text, "\n", -1)).alias("place", "raw"))
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
-    """``id, mark, place, size, leaf, line, code`` of every line with words; ``code`` is the raw line's hash."""
+def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, fixed_share: float) -> DataFrame:
+    """``id, mark, place, size, leaf, line, code, own`` of every line with words; ``code`` is the raw line's hash, ``own``
+    that of its words as they are where too many have a digit for the masked line to be a template, else null."""
     found = _raw(docs, id_col, text_col).withColumn("words", words_of(F.col("raw"))).where(F.size("words") > 0)
+    bare = F.size(F.array_remove("words", VARIABLE)) / F.size("words") < fixed_share
     return found.select(
         "id", "mark", "place", F.size("words").alias("size"),
         F.xxhash64(F.size("words"), F.slice("words", 1, depth)).alias("leaf"), F.xxhash64("words").alias("line"),
-        F.xxhash64("raw").alias("code"))
+        F.xxhash64("raw").alias("code"),
+        F.when(bare, F.xxhash64(F.array_remove(F.split(_spaced(F.col("raw")), " "), ""))).alias("own"))
 
 
 def _one_of(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
@@ -86,7 +94,7 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     Templates of at least ``short`` words recur in ``min_docs`` documents, shorter ones, which also meet by
     chance, in ``short_docs``.
     """
-    light = storage.written(_lines(docs, id_col, text_col, depth), "lines")
+    light = storage.written(_lines(docs, id_col, text_col, depth, fixed_share), "lines")
     document = F.struct("id", "mark")
     met = light.groupBy("leaf").agg(F.min(document) != F.max(document), F.min("line") != F.max("line"))
     met = storage.written(met.toDF("leaf", "docs", "lines").where("docs").select("leaf", "lines"), "leaves")
@@ -101,7 +109,7 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
                                       fixed_share), "templates")
     named = (light.join(met.select("leaf"), "leaf", "left_semi").join(found, ["leaf", "line"], "left")
              .withColumn("general", F.col("template").isNotNull())
-             .withColumn("template", F.coalesce("template", "line")))
+             .withColumn("template", F.coalesce("template", "own", "line")))
     named = storage.written(named.select("id", "mark", "place", "size", "leaf", "general", "template"), "named-lines")
     key = ["leaf", "general", "template"]
     by_doc = named.groupBy(*key, "size", "id", "mark").agg(F.lit(1).alias("one"))

@@ -261,6 +261,14 @@ def test_line_templates_do_not_depend_on_the_leafs_size(spark, n):
     assert [r["doc_id"] for r in got.orderBy("doc_id").collect()] == [0, 20000]
 
 
+def test_number_rows_stay(spark):
+    rows = ["10 20 30 40 50 60 70 80", "11 21 31 41 51 61 71 81", "11 21 31  41 51 61 71 81\r", "a1 20 30 40 50 60 70 total"]
+    docs = [(i, t) for i, t in enumerate(rows)] + [(10 + i, f"page {i}") for i in range(12)] + [(30 + i, "page 40") for i in range(12)]
+    docs += [(50 + i, f"seen on day {i} by all of us here") for i in range(3)]
+    got = line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string")).where("text <> ''")
+    assert [r["doc_id"] for r in got.orderBy("doc_id").collect()] == [0, 1, 3, *range(10, 22), 30, 50]
+
+
 def test_topk_against_all_pairs(spark):
     rng = np.random.default_rng(8)
     x = np.round(rng.standard_normal((400, 12)).cumsum(1), 3).astype(np.float32)
