@@ -5,7 +5,7 @@ after such a line break, and between an ASCII letter and ASCII punctuation. Text
 chunk is encoded alone. Chunks repeat, so a batch's bytes are cut and its equal chunks are found by array operations
 (a hash of every chunk, each compared with the first of its hash byte by byte), and the ids of distinct ones are kept in bounded
 per-process tables: the library sees each distinct chunk of a table's life once. Texts with other white space,
-or white space side by side, take a plainer cut.
+or white space side by side, take a plainer cut; texts with the string of an added token are not cut.
 """
 
 from __future__ import annotations
@@ -71,14 +71,16 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class ChunkEncoder:
-    """Ids of whole texts as little-endian bytes, equal to ``Tokenizer.encode(text).ids``.
+    """Ids of whole texts as little-endian bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
     Null counts as empty. ``table_size`` bounds the remembered chunks.
     """
 
     def __init__(self, tokenizer_path: str, table_size: int = 700_000):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        # the library takes an added token's string before it cuts units, so texts that hold one are encoded whole
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.model = self.tokenizer.model
@@ -147,6 +149,9 @@ class ChunkEncoder:
         for row, text in enumerate(texts):
             if not text:
                 continue
+            if self.added and self.added.search(text):
+                out[row] = self._whole(text)
+                continue
             if _ODD.search(text):
                 out[row] = self._plain(text)
                 continue

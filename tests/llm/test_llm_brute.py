@@ -62,6 +62,14 @@ def test_chunks_equal_the_library():
     assert [list(np.frombuffer(b, enc.dtype)) for b in enc.encode_many(odd)] == [w.ids for w in whole]
 
 
+def test_texts_with_an_added_token_equal_the_untouched_library():
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b  c\n<|endoftext|>\td", "<|endoftext |> <|ENDOFTEXT|> x", "plain text"] * 2
+    whole = Tokenizer.from_file(TOKENIZER)
+    enc = ChunkEncoder(TOKENIZER)
+    got = [list(np.frombuffer(b, enc.dtype)) for b in enc.encode_many(texts)]
+    assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts] and got[0] == [87, 220, 50256, 331]
+
+
 @here
 def test_op5(spark, ids):
     at = 0
