@@ -177,10 +177,11 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
     if not chosen:
         return Model(0.0)
     table = docs.sparkSession.createDataFrame(chosen, known.schema)
-    # the sample has at most twice SAMPLE rows
+    # the sample has at most twice SAMPLE ids, one row for each whatever its number of rows
     picked = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(table), "key")
     stats = statistics(F.col("text"))
-    rows = picked.select("label", "key", *[c.alias(n) for n, c in stats.items()]).collect()
+    described = picked.select("label", "key", F.struct(*[c.alias(n) for n, c in stats.items()]).alias("stats"))
+    rows = described.groupBy("key", "label").agg(F.min("stats").alias("stats")).select("label", "key", "stats.*").collect()
     rows = sorted(rows, key=lambda r: (str(r["key"]), tuple(r)))
     x = np.array([[r[n] for n in stats] for r in rows], float).reshape(len(rows), len(stats))
     return train(x, np.array([r["label"] for r in rows], float), list(stats))

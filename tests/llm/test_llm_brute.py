@@ -269,6 +269,15 @@ def test_line_templates_do_not_depend_on_the_leafs_size(spark, n):
     assert [r["doc_id"] for r in got.orderBy("doc_id").collect()] == [0, 20000]
 
 
+def test_quality_sample_has_one_row_an_id(spark, monkeypatch):
+    docs = [(1, f"text {i} of the hot id " * (i + 1)) for i in range(50)] + [(i, f"a text of its own {i}") for i in range(2, 9)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(quality_rules, "train", lambda x, y, names: seen.extend([x.shape, sorted(y)]))
+    quality_rules.fit(spark.createDataFrame(docs, "doc_id bigint, text string"), labels)
+    assert seen[0][0] == 8 and seen[1] == [0.0] * 4 + [1.0] * 4
+
+
 def test_number_rows_stay(spark):
     rows = ["10 20 30 40 50 60 70 80", "11 21 31 41 51 61 71 81", "11 21 31  41 51 61 71 81\r", "a1 20 30 40 50 60 70 total"]
     docs = [(i, t) for i, t in enumerate(rows)] + [(10 + i, f"page {i}") for i in range(12)] + [(30 + i, "page 40") for i in range(12)]
