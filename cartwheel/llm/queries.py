@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, html_extract, line_dedup, packing, quality_rules, simhash, storage, token_store, topk, toxicity, warc
+from cartwheel.llm import (decontaminate, html_extract, line_dedup, packing, prefix_trie, quality_rules, simhash, storage, token_store, topk,
+                           toxicity, warc)
 from cartwheel.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -157,9 +158,45 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+    SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS t
+    FROM turns GROUP BY conv_id),
+headed AS (
+    SELECT conv_id, t, (xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+            lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 6)::BIGINT AS h
+    FROM own),
+rebuilt AS (
+    SELECT c.conv_id, coalesce(b.t[1:c.h], []) || c.t[c.h + 1:] AS t
+    FROM headed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+every AS (SELECT conv_id, unnest(range(0, len(t) + 1)) AS depth, t FROM rebuilt),
+nodes AS (
+    SELECT depth, t[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+           string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(t) = depth) AS ends
+    FROM every GROUP BY 1, 2),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (
+    SELECT n.*, coalesce(c.n, 0) AS n_children, (n_convs - 1) * coalesce(length(n.path[depth].t), 0) AS saved
+    FROM nodes n LEFT JOIN children c ON c.path = n.path),
+below AS (SELECT path[1:up] AS path, saved, n_children FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM counted)),
+sums AS (SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved FROM below GROUP BY 1)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(c.ends, '')) AS ends_sha256
+FROM counted c JOIN sums s ON s.path = c.path LEFT JOIN nodes p ON c.depth > 0 AND p.path = c.path[1:c.depth - 1]
+"""
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op7_topk, op8_html_extract, op9_decontaminate, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op7_topk, op8_html_extract, op9_decontaminate, op10_toxicity, op13_prefix_trie)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op7_topk": OP7_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op7_topk": OP7_SQL, "op13_prefix_trie": OP13_SQL}
