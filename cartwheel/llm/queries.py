@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import (decontaminate, html_extract, line_dedup, packing, prefix_trie, quality_rules, simhash, storage, token_store, topk,
-                           toxicity, warc)
+                           toxicity, warc, whitening)
 from cartwheel.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -158,6 +158,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=16, scale=64, shift=1_000_000).withColumnRenamed("id", "vec_id")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
 
@@ -195,7 +199,7 @@ FROM counted c JOIN sums s ON s.path = c.path LEFT JOIN nodes p ON c.depth > 0 A
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op7_topk, op8_html_extract, op9_decontaminate, op10_toxicity, op13_prefix_trie)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op7_topk, op8_html_extract, op9_decontaminate, op10_toxicity, op11_whitening, op13_prefix_trie)}
 
 
 def all_sql() -> dict[str, str]:

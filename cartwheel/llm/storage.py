@@ -19,12 +19,16 @@ from pyspark.sql import functions as F
 from cartwheel.session import scratch_path
 
 
+def written_path(df: DataFrame, name: str) -> str:
+    """A new shared folder with the rows of ``df``."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written_path(df, name))
 
 
 #: Rows in an Arrow batch: whole texts are long, and a batch stands in memory several times.
