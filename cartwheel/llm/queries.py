@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import (decontaminate, html_extract, line_dedup, packing, prefix_trie, quality_rules, simhash, storage, token_store, topk,
+from cartwheel.llm import (decontaminate, html_extract, jaccard_join, line_dedup, packing, prefix_trie, quality_rules, simhash, storage, token_store, topk,
                            toxicity, warc, whitening)
 from cartwheel.session import scratch_path
 
@@ -162,6 +162,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=16, scale=64, shift=1_000_000).withColumnRenamed("id", "vec_id")
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_sets(_table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
 
@@ -199,7 +203,7 @@ FROM counted c JOIN sums s ON s.path = c.path LEFT JOIN nodes p ON c.depth > 0 A
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op7_topk, op8_html_extract, op9_decontaminate, op10_toxicity, op11_whitening, op13_prefix_trie)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_simhash, op4_warc, op5_token_store, op6_packing, op7_topk, op8_html_extract, op9_decontaminate, op10_toxicity, op11_whitening, op12_jaccard_join, op13_prefix_trie)}
 
 
 def all_sql() -> dict[str, str]:
