@@ -26,6 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.llm import storage
 from cartwheel.llm.simhash import LOWER
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -201,9 +202,11 @@ def _spans_function(block: Broadcast):
     def spans(texts):
         import pandas as pd
 
+        storage.let_go()
         rows = []
         for at in range(0, len(texts), BATCH):
             rows += find(block.value, texts.iloc[at:at + BATCH].tolist())
+        storage.release()
         return pd.DataFrame({
             "n": [r[0] for r in rows], "spans": [[{"a": a, "b": b} for a, b in r[1]] for r in rows],
             "items": [sorted(r[2]) for r in rows]})
@@ -282,6 +285,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage:
     spans = f"{mark}_spans"
     found = found.withColumn(spans, _union(mark))
     kept = found.where(_covered(spans) <= max_coverage * F.greatest(F.col(mark)[0]["n"], F.lit(1)))
-    touched = F.when(F.size(spans) > 0, F.pandas_udf(_without, "string")(
-        F.col(text_col).cast("string"), F.col(spans))).otherwise(F.col(text_col))
-    return kept.select(*[touched.alias(c) if c == text_col else F.col(c) for c in names])
+    # written once, so that only the few texts with hits are cut, by a worker that no longer holds the automata
+    kept = storage.written(kept.drop(mark), "decontaminated")
+    hit = F.size(spans) > 0
+    cut = F.pandas_udf(_without, "string")(F.col(text_col).cast("string"), F.col(spans))
+    return kept.where(~hit).select(*names).unionAll(
+        kept.where(hit).select(*[cut.alias(c) if c == text_col else F.col(c) for c in names]))

@@ -62,6 +62,7 @@ def _sets(docs: DataFrame, n: int, every: int) -> DataFrame:
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
+        storage.let_go()
         for batch in batches:
             for at in range(0, batch.num_rows, 400):
                 part = batch.slice(at, 400)
@@ -73,6 +74,7 @@ def _sets(docs: DataFrame, n: int, every: int) -> DataFrame:
                     [part["id"], pa.array([len(f) for f in found], pa.int64()), pa.array(codes, pa.binary()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(some)))],
                     ["id", "size", "code", "tokens"])
+            storage.release()
 
     return docs.mapInArrow(run, f"id {id_type}, size bigint, code binary, tokens array<bigint>")
 

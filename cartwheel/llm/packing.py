@@ -58,6 +58,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
                      pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
                      pa.array(out, pa.list_(pa.int32()) if content == "ids" else pa.int64())],
                     ["doc_id", "piece", "start", "length", last])
+            storage.release()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(cut, f"doc_id {id_type}, piece int, start bigint, length bigint, {last} {kind}")

@@ -52,9 +52,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        storage.let_go()
         for batch in batches:
             bits = np.array([fingerprint(t.as_py(), shingle) for t in batch["text"]], np.uint64)
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(bits.view(np.int64))], ["doc_id", "bits"])
+            storage.release()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {id_type}, bits bigint")

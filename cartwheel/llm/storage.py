@@ -7,11 +7,13 @@ files that no manifest names, so a retried task never mixes with them.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +33,43 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(written_path(df, name))
 
 
-#: Rows in an Arrow batch: whole texts are long, and a batch stands in memory several times.
-ARROW_ROWS = 1600
+#: Rows and bytes in an Arrow batch: whole texts are long, and a batch stands in memory several times.
+ARROW_ROWS, ARROW_BYTES = 1600, 8 << 20
+
+
+_HELD: dict = {}
+
+
+def held(key, make):
+    """One object kept for each worker process over its tasks (a tokenizer and its tables); another one takes its place."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Drops what an earlier stage's operator keeps in this worker; functions that hold nothing start with it."""
+    if _HELD:
+        _HELD.clear()
+        release()
+
+
+def release() -> None:
+    """Gives memory that a worker has freed back to the system: workers live on beside later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to Python workers that cannot import it, once for each Spark application, and
-    bounds the session's Arrow batches by ``ARROW_ROWS``."""
+    bounds the session's Arrow batches by ``ARROW_ROWS`` and ``ARROW_BYTES``."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
         spark.conf.set(name, str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
     if home in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_cartwheel_shipped", False):

@@ -106,6 +106,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
                     index["tokens"].append(len(ids) // enc.dtype.itemsize)
                     if files.full:
                         yield finish()
+            storage.release()
         if index["id"]:
             yield finish()
 

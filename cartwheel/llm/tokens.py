@@ -18,10 +18,13 @@ import numpy as np
 import pandas as pd
 from tokenizers import Tokenizer
 
+from cartwheel.llm import storage
+
 #: White space that the array path does not take.
 _ODD = re.compile(r"[^\S \n]|\s\s")
 _CUT = re.compile(r"(?<=\S)(?= )")
 _BYTES = 1 << 20  # of text in one array step
+ENTRY = 160  # bytes of a remembered chunk besides its own: two objects and their place in the table
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE, _BREAK, _LETTER, _MARK = 1, 2, 3, 4
 _KIND = np.zeros(256, np.uint8)
@@ -30,14 +33,16 @@ for _b in range(33, 127):  # an apostrophe may start a contraction, digits and l
     _KIND[_b] = _LETTER if chr(_b).isalpha() else 0 if chr(_b) in "'0123456789" else _MARK
 
 
-@lru_cache(maxsize=1)
 def _powers(size: int) -> np.ndarray:
     return np.cumprod(np.full(size, _STEP, np.uint64))
 
 
+_kept_powers = lru_cache(maxsize=1)(_powers)
+
+
 def powers(size: int) -> np.ndarray:
-    """Powers of the hash's base; the table grows to the next power of two."""
-    return _powers(1 << max(20, size.bit_length()))
+    """Powers of the hash's base; one table is kept, longer ones are made for the text that needs them."""
+    return _kept_powers(2 * _BYTES) if size <= 2 * _BYTES else _powers(size + 1)
 
 
 def equal_chunks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,10 +78,10 @@ def byte_alphabet() -> dict[int, str]:
 class ChunkEncoder:
     """Ids of whole texts as little-endian bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
-    Null counts as empty. ``table_size`` bounds the remembered chunks.
+    Null counts as empty. ``table_bytes`` bounds the remembered chunks, by about what they take in memory.
     """
 
-    def __init__(self, tokenizer_path: str, table_size: int = 700_000):
+    def __init__(self, tokenizer_path: str, table_bytes: int = 48 << 20):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         # the library takes an added token's string before it cuts units, so texts that hold one are encoded whole
@@ -84,7 +89,7 @@ class ChunkEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.model = self.tokenizer.model
-        self.table_size = table_size
+        self.table_bytes, self.held = table_bytes, 0
         self.chunks: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.alphabet = byte_alphabet()
@@ -104,14 +109,15 @@ class ChunkEncoder:
 
     def _known(self, distinct: list[bytes]) -> list[bytes]:
         found = list(map(self.chunks.get, distinct))
-        if 2 * len(self.chunks) > self.table_size:  # what is met again comes back from the older half
-            self.chunks, self.older = {}, self.chunks
+        if 2 * self.held > self.table_bytes:  # what is met again comes back from the older half
+            self.chunks, self.older, self.held = {}, self.chunks, 0
         table, older = self.chunks, self.older
         for i, ids in enumerate(found):
             if ids is None:
                 chunk = distinct[i]
                 ids = older.get(chunk)
-                found[i] = table[chunk] = self._chunk(chunk) if ids is None else ids
+                found[i] = table[chunk] = ids = self._chunk(chunk) if ids is None else ids
+                self.held += ENTRY + len(chunk) + len(ids)
         return found
 
     def _plain(self, text: str) -> bytes:
@@ -174,7 +180,6 @@ class ChunkEncoder:
         return np.frombuffer(self.encode(text), dtype=self.dtype)
 
 
-@lru_cache(maxsize=2)
 def encoder(tokenizer_path: str) -> ChunkEncoder:
     """One encoder per worker process, so its tables outlive a task."""
-    return ChunkEncoder(tokenizer_path)
+    return storage.held(tokenizer_path, lambda: ChunkEncoder(tokenizer_path))

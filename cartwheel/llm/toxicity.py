@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.llm import storage
+
 WINDOW, STRIDE = 64, 48
 WORD = 32
 #: Labelled documents of each kind that training reads, and windows of each.
@@ -33,7 +35,7 @@ TABLE_BITS, COUNT_BITS = 20, 22
 #: Inputs known to the model: at most so many words and character runs, whose rates in the sampled documents
 #: of the two labels lie at least so many standard errors apart.
 TELLING, MOST_WORDS, MOST_GRAMS = 6.0, 5_000, 20_000
-BATCH = 800  # texts scored together
+BATCH = 400  # texts scored together
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -362,6 +364,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
             if len(found) > SAMPLE_WINDOWS:
                 found = [found[i * len(found) // SAMPLE_WINDOWS] for i in range(SAMPLE_WINDOWS)]
             out.append([" ".join(w for w in part if w) for part in found])
+        storage.release()
         return pd.Series(out, dtype=object)
 
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
@@ -382,7 +385,9 @@ def score(docs: DataFrame, net: Network | None, column: str = "score", text_col:
     def run(texts):
         import pandas as pd
 
+        storage.let_go()
         parts = [score_texts(sent.value, texts.iloc[at:at + BATCH].tolist()) for at in range(0, len(texts), BATCH)]
+        storage.release()
         return pd.Series(np.concatenate(parts) if parts else [], dtype=float)
 
     return docs.withColumn(column, run(F.col(text_col).cast("string")))

@@ -55,7 +55,7 @@ def test_sql(spark, name):
 
 
 def test_chunks_equal_the_library():
-    enc, rng = ChunkEncoder(TOKENIZER, table_size=500), random.Random(1)
+    enc, rng = ChunkEncoder(TOKENIZER, table_bytes=100_000), random.Random(1)
     odd = ["", " ", "a  b", "a \n b", "it's  don't a's.\n's", "x²ª 12ab_c", "\x1c a\x1d b", "日本語 テスト。 a", "<|endoftext|> x", "tail "]
     odd += ["".join(rng.choice("ab 'sé\n\t.1²  _llve日\x1c") for _ in range(rng.randint(1, 30))) for _ in range(5000)]
     whole = enc.tokenizer.encode_batch(odd, add_special_tokens=False)
