@@ -10,7 +10,9 @@ the windows). Output folders are new folders under the shared checkpoint root.
 from __future__ import annotations
 
 import json
+from unittest import mock
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -199,7 +201,74 @@ def q_replay_twice(spark, sf_dir):
                 F.col("view_count") + F.col("cart_count") + F.col("purchase_count")))))
 
 
+def _copies(spark, sf_dir) -> DataFrame:
+    """Every record three times with its own content: ``batch, value, partition, offset``. The second copy comes in the same
+    batch, before the first or after it; the third in the next batch, with the least offset of all."""
+    records = wire_from_events(TB.events_table(spark, sf_dir))
+    number = F.col("offset")
+    copy = F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("copy")
+    told = F.expr("replace(cast(value AS string), '\"user_id\":\"USER', concat('\"user_id\":\"COPY', cast(copy AS string)))")
+    return records.select("value", "timestamp", number.alias("n"), copy).select(
+        ((F.col("n") % 2) + F.when(F.col("copy") == 2, 1).otherwise(0)).cast("int").alias("batch"),
+        told.cast("binary").alias("value"), "timestamp", (F.col("n") % 3).cast("int").alias("partition"),
+        F.expr("CASE WHEN copy = 2 THEN -n - 1 ELSE 3 * n + CASE WHEN copy = 1 THEN n % 2 * 2 - 1 ELSE 0 END END").alias("offset"))
+
+
+def q_raw_first_writer(spark, sf_dir):
+    """K1: copies of an id with other content, inside a batch and in the next one; the first writer's row stays."""
+    root = scratch_path(spark, "first-writer")
+    copies = _copies(spark, sf_dir)
+    copies.write.partitionBy("batch").parquet(f"{root}/staged")
+    schema = copies.drop("batch").schema
+    for batch in range(3):
+        spark.read.schema(schema).parquet(f"{root}/staged/batch={batch}").write.parquet(f"{root}/source/part={batch:05d}")
+        stream = replay.read_slices(spark, f"{root}/source", schema, files_per_trigger=None)
+        started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True})
+        job.await_all(started)
+    return keyed.union_of_slices(spark, started["paths"].raw).select(*RAW_COLUMNS)
+
+
+def q_rerun_after_crash(spark, sf_dir):
+    """The raw write of the second batch fails between write and commit, and has left rows under a date that the
+    second try does not write. Readers see the first batch until the restart, and then every event once."""
+    root = scratch_path(spark, "crash")
+    records = wire_from_events(TB.events_table(spark, sf_dir))
+    slices = replay.deal_slices(records, f"{root}/staged", P.START, P.END, 16)
+    commit = keyed.commit_batch
+
+    def crash(session, table, batch_id):
+        if table.endswith("clickstream_events") and batch_id == 1:
+            rows = session.read.parquet(f"{table}/event_date=*/batch_id=1")
+            rows.limit(100).write.parquet(f"{table}/event_date=2030-01-01/batch_id=1")
+            raise RuntimeError("planted between write and commit")
+        commit(session, table, batch_id)
+
+    def run():
+        stream = replay.read_slices(spark, f"{root}/source", records.schema, files_per_trigger=None)
+        started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True})
+        job.await_all(started)
+        return started["paths"]
+
+    for place in range(slices):
+        replay.put_slice(spark, f"{root}/staged", f"{root}/source", place, place, records.schema)
+        if place == 1:
+            before = keyed.union_of_slices(spark, paths.raw).count()
+            with mock.patch.object(keyed, "commit_batch", crash):
+                try:
+                    run()
+                    raise AssertionError("the planted failure did not end the job")
+                except StreamingQueryException as error:
+                    if "planted between write and commit" not in str(error):
+                        raise
+            if keyed.union_of_slices(spark, paths.raw).count() != before:
+                raise AssertionError("rows of an uncommitted batch are seen")
+        paths = run()
+    return keyed.union_of_slices(spark, paths.raw).select(*RAW_COLUMNS)
+
+
 STREAM_QUERIES = {
+    "raw_first_writer": q_raw_first_writer,
+    "rerun_after_crash": q_rerun_after_crash,
     "replay_twice": q_replay_twice,
     "raw_cross_date_ids": q_raw_cross_date_ids,
     "raw_insert_ignore": q_raw_insert_ignore,
@@ -258,6 +327,14 @@ FROM ({_PASSES}), (SELECT unnest(['raw_events', 'window_aggregates']) AS query_n
 
 # query name -> key of the batch SQL it must equal, or its own SQL
 STREAM_ORACLE = {
+    "raw_first_writer": """
+        SELECT event_id, arg_min('COPY' || copy || substr(user_id, 5), place) AS user_id, any_value(product_id) AS product_id,
+               any_value(category) AS category, any_value(event_type) AS event_type, any_value(event_time) AS event_time
+        FROM (SELECT *, CASE copy WHEN 2 THEN uid % 2 + 1 ELSE uid % 2 END * 100000000000
+                        + CASE copy WHEN 2 THEN -uid - 1 WHEN 1 THEN 3 * uid + uid % 2 * 2 - 1 ELSE 3 * uid END AS place
+              FROM (SELECT *, unnest([0, 1, 2]) AS copy FROM valid))
+        GROUP BY event_id""",
+    "rerun_after_crash": "decode_valid",
     "replay_twice": """
         SELECT 'raw' AS name, COUNT(*) AS rows, CAST(COUNT(DISTINCT event_id) AS BIGINT) AS total FROM valid
         UNION ALL

@@ -8,6 +8,10 @@ of a time range lists only its dates). Each slice is written with overwrite, so
 replayed batch replaces its own slice and changes nothing else (idempotent
 at-least-once delivery).
 
+Beside a table, ``<table>.batches`` has an empty record ``begun-<N>`` of a batch that is being written and
+``committed-<N>`` of the last whole one. A batch that was begun before is a second try: what the first one wrote, in
+whatever folders, goes first. Readers see the batches up to the last committed one.
+
 * insert-ignore (raw events): a slice only holds keys not seen in earlier slices;
   the table is the union of the slices.
 * upsert (aggregates, alerts): the table is the latest row per key by batch id.
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from cartwheel.sources.tables import nothing_stored, read_partitions
+from cartwheel.sources.tables import batch_records, committed_rows, last_committed, nothing_stored, read_partitions
 
 BATCH_COL = "batch_id"
 # layout column of the upsert logs of windows: the UTC date of window_start
@@ -47,7 +51,7 @@ def write_slice(df: DataFrame, table_path: str, batch_id: int, partition_by=())
 def read_log(spark: SparkSession, table_path: str, schema=None) -> DataFrame | None:
     """All slices with their ``batch_id``; None (or an empty frame of ``schema``) when there are none."""
     try:
-        return spark.read.option("basePath", table_path).parquet(table_path)
+        return committed_rows(spark, table_path, spark.read.option("basePath", table_path).parquet(table_path))
     except AnalysisException as error:
         if not nothing_stored(error):
             raise
@@ -56,6 +60,39 @@ def read_log(spark: SparkSession, table_path: str, schema=None) -> DataFrame | N
         return spark.createDataFrame([], schema).withColumn(BATCH_COL, F.lit(0))
 
 
+def _record(spark: SparkSession, table_path: str, kind: str, batch_id: int) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}.batches/{kind}-{int(batch_id)}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True).close()
+
+
+def begin_batch(spark: SparkSession, table_path: str, batch_id: int, levels: int = 0) -> None:
+    """Records that a batch is being written; of an earlier try at it nothing stays.
+
+    ``levels`` is the depth of the partition folders above ``batch_id=<N>``. They are listed for a second try alone.
+    """
+    last = last_committed(spark, table_path)
+    again = batch_id in batch_records(spark, table_path, "begun") or (last is not None and batch_id <= last)
+    if again:
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/{'*=*/' * levels}{BATCH_COL}={int(batch_id)}")
+        store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in store.globStatus(pattern) or []:
+            store.delete(found.getPath(), True)
+    else:
+        _record(spark, table_path, "begun", batch_id)
+
+
+def commit_batch(spark: SparkSession, table_path: str, batch_id: int) -> None:
+    """Makes a written batch visible: one new record, then the older ones go."""
+    last = last_committed(spark, table_path)
+    if last is None or last < batch_id:
+        _record(spark, table_path, "committed", batch_id)
+    stays = batch_id if last is None else max(batch_id, last)
+    for kind, least in (("committed", stays), ("begun", batch_id + 1)):
+        for number in batch_records(spark, table_path, kind):
+            if number < least:
+                _drop_folder(spark, f"{table_path.rstrip('/')}.batches/{kind}-{number}")
+
+
 def first_per_key(batch: DataFrame, key: str, order_cols) -> DataFrame:
     """One row per key: the first by ``order_cols`` (delivery order), combined map-side."""
     values = [c for c in batch.columns if c != key]
@@ -72,8 +109,11 @@ def write_log_rows(df: DataFrame, table_path: str, batch_id: int, partition_by=(
     ``observe`` the values of the first partition column written are gathered during
     the write (a few dates per batch) and returned; None when they are not known.
     """
+    spark = df.sparkSession
+    begin_batch(spark, table_path, batch_id, len(partition_by))
     if not partition_by:
         write_slice(df, table_path, batch_id)
+        commit_batch(spark, table_path, batch_id)
         return None
     seen = Observation(f"written_{uuid.uuid4().hex}") if observe else None
     if seen is not None:
@@ -87,6 +127,7 @@ def write_log_rows(df: DataFrame, table_path: str, batch_id: int, partition_by=(
         .partitionBy(*partition_by, BATCH_COL)
         .parquet(table_path)
     )
+    commit_batch(spark, table_path, batch_id)
     if seen is None:
         return None
     try:

@@ -75,6 +75,31 @@ def in_closed_range(df: DataFrame, start, end, column: str) -> DataFrame:
     return df.where(cond)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads; none when it is missing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(place)] if store.exists(place) else []
+
+
+def batch_records(spark: SparkSession, table_path: str, kind: str) -> list[int]:
+    """Numbers of a log's batches with a record of this kind (``begun`` or ``committed``), kept in a folder beside the table."""
+    names = [n.partition("-") for n in folder_names(spark, f"{table_path.rstrip('/')}.batches")]
+    return [int(number) for name, _, number in names if name == kind]
+
+
+def last_committed(spark: SparkSession, table_path: str) -> int | None:
+    """The last batch of a log that was committed; None for a table written without such records."""
+    return max(batch_records(spark, table_path, "committed"), default=None)
+
+
+def committed_rows(spark: SparkSession, table_path: str, df: DataFrame) -> DataFrame:
+    """The rows of whole batches: what a crashed write left behind is not seen. Batches of a log are written in
+    ascending order, so one number tells them apart, and it prunes folders."""
+    last = last_committed(spark, table_path) if "batch_id" in df.columns else None
+    return df if last is None else df.where(F.col("batch_id") <= F.lit(last))
+
+
 def read_partitions(spark: SparkSession, table_path: str, column: str, values, below: str = "") -> DataFrame | None:
     """Only the folders ``<table>/<column>=<value>[/<below>]`` of the given values, or None when none exists.
 
@@ -87,7 +112,7 @@ def read_partitions(spark: SparkSession, table_path: str, column: str, values, b
         return None
     pattern = f"{table_path.rstrip('/')}/{column}={{{','.join(values)}}}" + (f"/{below}" if below else "")
     try:
-        return spark.read.option("basePath", table_path).parquet(pattern)
+        return committed_rows(spark, table_path, spark.read.option("basePath", table_path).parquet(pattern))
     except AnalysisException as error:
         if not nothing_stored(error):
             raise
@@ -117,7 +142,7 @@ def read_events_range(spark: SparkSession, path: str, start, end) -> DataFrame:
     if start is not None and end is not None:
         df = read_partitions(spark, path, "event_date", dates_between(start, end))
     if df is None:
-        df = spark.read.parquet(path)
+        df = committed_rows(spark, path, spark.read.parquet(path))
     if "event_date" in df.columns:
         if start is not None:
             df = df.where(F.col("event_date") >= F.lit(as_timestamp(start).date()))

@@ -2,8 +2,8 @@
 
 Queries over one decoded stream:
 
-* raw events (append, T5): valid rows whose ``event_id`` was never seen go to the raw table
-  partitioned by ``event_date`` (K1). The ids seen are state in RocksDB, so the cost of a batch
+* raw events (T5): of the valid rows of an ``event_id`` the first one by delivery goes to the raw table
+  partitioned by ``event_date`` (K1). The first row of each id is state in RocksDB, so the cost of a batch
   follows the batch and uniqueness has no limit of date; other ways are options;
 * quarantine (append): bad rows with a reason;
 * window aggregates (update, T4): watermark + sliding window counts per product;
@@ -33,7 +33,8 @@ from cartwheel.operators.windows import duration, sliding_counts
 from cartwheel.schemas import KEYS
 from cartwheel.session import checkpoint_root
 from cartwheel.sinks import keyed
-from cartwheel.sources.tables import as_timestamp, dates_between, in_closed_range, nothing_stored, read_events_range
+from cartwheel.sources.tables import (as_timestamp, dates_between, folder_names, in_closed_range, nothing_stored,
+                                      read_events_range)
 
 
 @dataclass(frozen=True)
@@ -131,16 +132,58 @@ def raw_batch_writer(spark: SparkSession, paths: JobPaths, order_cols=("event_ti
     return write
 
 
-def unique_batch_writer(spark: SparkSession, paths: JobPaths, wide_raw: bool = False, first: int = 0):
+def first_writer(valid: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Streaming rows whose id was never met before, of each id the first by (batch, partition, offset) (K1).
+
+    A streaming aggregate keeps the first row of each id. Its order begins with the micro-batch's own time, which the
+    checkpoint keeps, so a row of an earlier batch stays first whatever the offsets of later copies are, and a batch that
+    is run again makes the same choice. Update mode gives every id that a batch touches; those whose first row is
+    of this very batch are new. Without offsets copies are ordered by event time and content.
+    ``known`` (``event_id``) are ids that stand before all others and are never given.
+    """
+    names = valid.columns
+    placed = [c for c in ("partition", "offset") if c in names] or ["event_time"]
+    order = F.struct(F.current_timestamp().alias("batch_time"), *placed, F.xxhash64(*names).alias("content"))
+    rows = valid.select("event_id", order.alias("_order"), F.struct(*names).alias("_row"))
+    if known is not None:
+        before = F.lit(0).cast("timestamp")
+        rows = rows.unionByName(known.select(
+            "event_id", F.struct(before.alias("batch_time"), *[F.lit(None).cast(valid.schema[c].dataType).alias(c) for c in placed],
+                                 F.lit(0).cast("bigint").alias("content")).alias("_order"),
+            F.lit(None).cast(rows.schema["_row"].dataType).alias("_row")))
+    first = rows.groupBy("event_id").agg(F.min_by(F.struct("_order.batch_time", "_row"), "_order").alias("_first"))
+    new = F.col("_first.batch_time") == F.current_timestamp()
+    return first.where(new).select("_first._row.*")
+
+
+def known_ids(spark: SparkSession, paths: JobPaths, first: int) -> DataFrame | None:
+    """The ids that earlier runs wrote to the raw table, as a stream that brings them once; None for a first run.
+
+    They are copied beside the checkpoint when the run starts, and go into its state with its first batch, so no
+    later batch reads any history.
+    """
+    if not first:
+        return None
+    place = f"{paths.checkpoint('raw_events')}-known-ids"
+    if "_SUCCESS" not in folder_names(spark, place):
+        log = keyed.read_log(spark, paths.raw)
+        ids = (log.where(F.col(keyed.BATCH_COL) < first).select("event_id") if log is not None
+               else spark.createDataFrame([], "event_id string"))
+        ids.write.mode("overwrite").parquet(place)
+    return spark.readStream.schema("event_id string").parquet(place)
+
+
+def unique_batch_writer(spark: SparkSession, paths: JobPaths, wide_raw: bool = False, first: int = 0, probe: bool = False):
     """foreachBatch function of the raw query when its state keeps ids unique: only a write.
 
-    The state knows this run's ids; those of earlier runs over the same table (``first`` > 0) are looked up there.
+    With ``probe`` the state forgets, and ids of earlier runs over the same table (``first`` > 0) are looked up there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = decode.raw_projection(batch, wide=wide_raw).withColumn("event_date", F.to_date("event_time"))
-        if first:
-            before = keyed.read_log(spark, paths.raw).where(F.col(keyed.BATCH_COL) < first).select("event_id")
+        before = keyed.read_log(spark, paths.raw) if first and probe else None
+        if before is not None:
+            before = before.where(F.col(keyed.BATCH_COL) < first).select("event_id")
             rows = rows.join(before, "event_id", "left_anti").select(*rows.columns)
         keyed.write_log_rows(rows, paths.raw, batch_id + first, ("event_date",))
 
@@ -210,10 +253,10 @@ def start(
     event with a time counts, as the raw stream does). ``dedup_within_watermark`` drops
     repeated ``event_id``s from the window counts while the watermark still holds the
     first copy (off: windows count redeliveries, only the raw table is unique).
-    ``unique_by`` says how the raw table knows the ids it has: ``"state"`` (the default) keeps every
-    id in the query's RocksDB state, about its length and 30 bytes each over all state partitions, so size
-    ``spark.sql.shuffle.partitions`` for it before the first start; of copies in one batch any may
-    stay. ``unique_within`` bounds that state: an id is remembered for that event-time span only.
+    ``unique_by`` says how the raw table knows the ids it has: ``"state"`` (the default) keeps the first row
+    of every id in the query's RocksDB state (see ``first_writer``), about the size of the stored rows over all
+    state partitions, so size ``spark.sql.shuffle.partitions`` for it before the first start. ``unique_within`` bounds
+    that state: an id alone is remembered, for that event-time span only, and of copies in one batch any may stay.
     ``"probe"`` reads the stored ids of the batch's dates instead and keeps the first copy by delivery order;
     there ``strict_keys`` probes all history and ``probe_time_span`` narrows it to the batch's event-time
     span (see ``raw_batch_writer``). ``wide_raw`` keeps session, device, referrer and the
@@ -243,8 +286,8 @@ def start(
     if by_state:
         valid = decode.validate(decoded)[0]
         raw_input = (valid.withWatermark("event_time", unique_within).dropDuplicatesWithinWatermark(["event_id"])
-                     if unique_within else valid.dropDuplicates(["event_id"]))
-        raw_writer = unique_batch_writer(spark, paths, wide_raw, raw_first)
+                     if unique_within else first_writer(valid, known_ids(spark, paths, raw_first)))
+        raw_writer = unique_batch_writer(spark, paths, wide_raw, raw_first, probe=bool(unique_within))
         more["quarantine"] = (
             decoded.writeStream.outputMode("append")
             .foreachBatch(quarantine_batch_writer(paths, raw_first))
@@ -254,7 +297,7 @@ def start(
             .start()
         )
     raw_query = (
-        raw_input.writeStream.outputMode("append")
+        raw_input.writeStream.outputMode("update" if by_state and not unique_within else "append")
         .foreachBatch(raw_writer)
         .option("checkpointLocation", paths.checkpoint("raw_events"))
         .trigger(**trig)
