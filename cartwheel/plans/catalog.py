@@ -276,15 +276,15 @@ def q_panel_funnel(spark, sf_dir):
 
 
 def q_panel_alert_count(spark, sf_dir):
-    return dashboard.alert_count(TB.stored_alerts(spark, sf_dir), P.START, P.END)
+    return dashboard.alert_count(TB.stored_alerts(spark, sf_dir, P.START, P.END), P.START, P.END)
 
 
 def q_panel_alert_log(spark, sf_dir):
-    return dashboard.alert_log(TB.stored_alerts(spark, sf_dir), P.START, P.END)
+    return dashboard.alert_log(TB.stored_alerts(spark, sf_dir, P.START, P.END), P.START, P.END)
 
 
 def q_panel_alert_annotations(spark, sf_dir):
-    return dashboard.alert_annotations(TB.stored_alerts(spark, sf_dir), P.START, P.END)
+    return dashboard.alert_annotations(TB.stored_alerts(spark, sf_dir, P.START, P.END), P.START, P.END)
 
 
 def q_panel_conversion_top10(spark, sf_dir):
@@ -310,7 +310,7 @@ def q_panel_segment_detail(spark, sf_dir):
 def q_panel_display_names(spark, sf_dir):
     """The tables of the dashboard under the names that it shows (columns and rows of each)."""
     shown = {
-        "alert_log": dashboard.alert_log(TB.stored_alerts(spark, sf_dir), P.START, P.END, display=True),
+        "alert_log": dashboard.alert_log(TB.stored_alerts(spark, sf_dir, P.START, P.END), P.START, P.END, display=True),
         "daily_top": dashboard.rename_for_display(dashboard.daily_top(TB.stored_report(spark, sf_dir), P.AS_OF)),
         "segment_detail": dashboard.rename_for_display(dashboard.segment_detail(TB.stored_segments(spark, sf_dir), P.AS_OF)),
     }

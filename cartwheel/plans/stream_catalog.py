@@ -9,13 +9,11 @@ the windows). Output folders are new folders under the shared checkpoint root.
 
 from __future__ import annotations
 
-import json
 from unittest import mock
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartwheel.config import StreamSettings
 from cartwheel.operators import daily, windows
@@ -26,7 +24,7 @@ from cartwheel.session import scratch_path
 from cartwheel.sinks import keyed, partitions
 from cartwheel.sources.adapter import wire_from_events
 from cartwheel.sources.tables import read_events_range, report_rows
-from cartwheel.streaming import job, progress, replay
+from cartwheel.streaming import job, progress, replay, state
 
 SETTINGS = StreamSettings(window=P.WINDOW, slide=P.SLIDE, watermark="2 minutes",
                           min_views=P.MIN_VIEWS, max_purchases=P.MAX_PURCHASES)
@@ -34,11 +32,17 @@ SETTINGS = StreamSettings(window=P.WINDOW, slide=P.SLIDE, watermark="2 minutes",
 _RUNS: dict = {}
 
 
-def _progress_list(query) -> list:
-    out = []
-    for p in query.recentProgress:
-        out.append(json.loads(p.json) if hasattr(p, "json") else dict(p))
-    return out
+def _metered(spark, folder: str, run) -> dict:
+    """What ``run`` starts, awaited; the progress of its micro-batches goes to ``folder``."""
+    listener = progress.MetricsTable(spark, folder)
+    spark.streams.addListener(listener)
+    try:
+        started = run()
+        job.await_all(started)
+        progress.settle(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    return started
 
 
 def replay_run(spark: SparkSession, sf_dir: str) -> dict:
@@ -49,16 +53,13 @@ def replay_run(spark: SparkSession, sf_dir: str) -> dict:
     root = scratch_path(spark, "replay")
     records = wire_from_events(TB.events_table(spark, sf_dir))
     slices = replay.deal_slices(records, f"{root}/staged", P.START, P.END, P.DAYS_PER_BATCH)
-    seen = []
     for place, number in enumerate(replay.deliveries(slices, redeliver_first=True)):
         replay.put_slice(spark, f"{root}/staged", f"{root}/source", number, place, records.schema)
         stream = replay.read_slices(spark, f"{root}/source", records.schema, files_per_trigger=None)
-        started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True})
-        job.await_all(started)
-        # a pass is one batch of each query, and perhaps one without data: all are in recentProgress
-        for name in ("raw", "aggregates"):
-            seen += [p | {"pass": place} for p in _progress_list(started[name])]
-    run = {"paths": started["paths"], "progress": seen}
+        # a pass is one batch of each query, and perhaps one without data
+        started = _metered(spark, f"{root}/metrics/pass={place}", lambda: job.start(
+            spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True}))
+    run = {"paths": started["paths"], "metrics": f"{root}/metrics"}
     _RUNS[key] = run
     return run
 
@@ -94,11 +95,9 @@ def q_replay_equals_batch(spark, sf_dir):
 
 
 def _passes(spark, sf_dir) -> DataFrame:
-    """Progress by query and pass (a few rows, one for each micro-batch)."""
-    found = replay_run(spark, sf_dir)["progress"]
-    rows = [(p["pass"], *row) for p, row in zip(found, progress.progress_rows(found))]
-    return spark.createDataFrame(rows, T.StructType([T.StructField("pass", T.IntegerType()),
-                                                     *progress.PROGRESS_SCHEMA.fields]))
+    """Stored progress of the two main queries by pass, one row for each micro-batch."""
+    found = progress.read_metrics(spark, replay_run(spark, sf_dir)["metrics"])
+    return found.where(F.col("query_name").isin("raw_events", "window_aggregates"))
 
 
 def q_late_rows_dropped(spark, sf_dir):
@@ -201,6 +200,61 @@ def q_replay_twice(spark, sf_dir):
                 F.col("view_count") + F.col("cart_count") + F.col("purchase_count")))))
 
 
+def q_window_state_rows(spark, sf_dir):
+    """The window query's state after the replay, read from its checkpoint: the windows still open."""
+    paths = replay_run(spark, sf_dir)["paths"]
+    return state.open_windows(spark, paths.checkpoint("aggregates"))
+
+
+def q_observed_metrics(spark, sf_dir):
+    """What the stream observed by pass. A tenth of the records has no time, and the second pass brings bad
+    records alone, so its batch of valid rows is empty."""
+    root = scratch_path(spark, "observed")
+    records = wire_from_events(TB.events_table(spark, sf_dir)).withColumn("value", F.expr(
+        "CASE WHEN offset % 10 = 0 THEN cast(replace(cast(value AS string), '\"timestamp\":', '\"stamp\":') AS binary) ELSE value END"))
+    bad = F.col("value").cast("string").contains('"event_type":"error"') | (F.col("offset") % 10 == 0)
+    part = F.when(bad & (F.col("offset") % 3 == 0), 1).otherwise(F.when(F.col("offset") % 2 == 0, 0).otherwise(2))
+    records.withColumn("part", part).write.partitionBy("part").parquet(f"{root}/staged")
+    schema = records.schema
+    for place in range(3):
+        spark.read.schema(schema).parquet(f"{root}/staged/part={place}").write.parquet(f"{root}/source/part={place:05d}")
+        stream = replay.read_slices(spark, f"{root}/source", schema, files_per_trigger=None)
+        _metered(spark, f"{root}/metrics/pass={place}", lambda: job.start(
+            spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True}))
+    seen = progress.read_metrics(spark, f"{root}/metrics").where(F.col("query_name") == "raw_events")
+    names = ("rows", "valid", "without_time", "view", "add_to_cart", "purchase")
+    return seen.groupBy("pass").agg(*[F.sum(F.col("observed")["decoded"][n]).alias(n) for n in names])
+
+
+def q_failing_query_stops_all(spark, sf_dir):
+    """A planted failure of the second query's sink; which query failed, which were stopped, the error class."""
+    root = scratch_path(spark, "supervised")
+    records = wire_from_events(TB.events_table(spark, sf_dir))
+    records.write.parquet(f"{root}/source/part=00000")
+    stream = replay.read_slices(spark, f"{root}/source", records.schema, files_per_trigger=None)
+
+    def failing(*_, **__):
+        def write(batch, batch_id):
+            raise OSError("planted: the sink is down")
+        return write
+
+    seen = progress.Supervision()
+    spark.streams.addListener(seen)
+    try:
+        with mock.patch.object(job, "aggregate_batch_writer", failing):
+            started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"processingTime": "1 second"})
+            try:
+                job.await_all(started)
+                raise AssertionError("the planted failure did not end the job")
+            except StreamingQueryException as error:
+                if "planted: the sink is down" not in str(error):
+                    raise
+        progress.settle(spark)
+    finally:
+        spark.streams.removeListener(seen)
+    return spark.createDataFrame(seen.ended, "query_name string, outcome string, error_class string")
+
+
 def _copies(spark, sf_dir) -> DataFrame:
     """Every record three times with its own content: ``batch, value, partition, offset``. The second copy comes in the same
     batch, before the first or after it; the third in the next batch, with the least offset of all."""
@@ -267,6 +321,9 @@ def q_rerun_after_crash(spark, sf_dir):
 
 
 STREAM_QUERIES = {
+    "window_state_rows": q_window_state_rows,
+    "observed_metrics": q_observed_metrics,
+    "failing_query_stops_all": q_failing_query_stops_all,
     "raw_first_writer": q_raw_first_writer,
     "rerun_after_crash": q_rerun_after_crash,
     "replay_twice": q_replay_twice,
@@ -327,6 +384,20 @@ FROM ({_PASSES}), (SELECT unnest(['raw_events', 'window_aggregates']) AS query_n
 
 # query name -> key of the batch SQL it must equal, or its own SQL
 STREAM_ORACLE = {
+    "window_state_rows": """
+        SELECT window_start, window_end, product_id, view_count, cart_count, purchase_count FROM agg
+        WHERE window_end > (SELECT MAX(event_time) - INTERVAL 2 MINUTE FROM ev)""",
+    "observed_metrics": """
+        SELECT CASE WHEN bad AND uid % 3 = 0 THEN 1 WHEN uid % 2 = 0 THEN 0 ELSE 2 END AS pass, COUNT(*) AS rows,
+               COUNT(*) FILTER (WHERE NOT bad) AS valid, COUNT(*) FILTER (WHERE uid % 10 = 0) AS without_time,
+               COUNT(*) FILTER (WHERE NOT bad AND event_type = 'view') AS "view",
+               COUNT(*) FILTER (WHERE NOT bad AND event_type = 'add_to_cart') AS add_to_cart,
+               COUNT(*) FILTER (WHERE NOT bad AND event_type = 'purchase') AS purchase
+        FROM (SELECT *, uid % 10 = 0 OR event_type = 'error' AS bad FROM ev) GROUP BY 1""",
+    "failing_query_stops_all": """
+        SELECT * FROM (VALUES ('raw_events', 'stopped', NULL), ('quarantine', 'stopped', NULL),
+                              ('window_aggregates', 'failed', 'FOREACH_BATCH_USER_FUNCTION_ERROR'))
+                 AS t(query_name, outcome, error_class)""",
     "raw_first_writer": """
         SELECT event_id, arg_min('COPY' || copy || substr(user_id, 5), place) AS user_id, any_value(product_id) AS product_id,
                any_value(category) AS category, any_value(event_type) AS event_type, any_value(event_time) AS event_time

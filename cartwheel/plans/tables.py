@@ -15,7 +15,7 @@ from cartwheel.plans import params as P
 from cartwheel.operators.windows import duration
 from cartwheel.schemas import KEYS
 from cartwheel.session import scratch_path
-from cartwheel.sinks import keyed, partitions
+from cartwheel.sinks import keyed, partitions, zones
 from cartwheel.sources.adapter import clickstream_from_events
 from cartwheel.sources.tables import as_timestamp, dates_between, load_table, spread_small_input
 from cartwheel.streaming.job import with_window_date
@@ -73,6 +73,7 @@ def stored(spark: SparkSession, sf_dir: str) -> str:
         counts = keyed.current(spark, f"{root}/product_view_aggregates", KEYS["product_view_aggregates"])
         found = alerts.flash_sale(counts, P.MIN_VIEWS, P.MAX_PURCHASES, created_at=F.col("window_end"))
         keyed.upsert(with_window_date(found), f"{root}/flash_sale_alerts", 0, by_date)
+        zones.record(spark, f"{root}/flash_sale_alerts", 0, keyed.WINDOW_DATE, "created_at")
         events = keyed.union_of_slices(spark, f"{root}/clickstream_events")
         partitions.replace_dates(spark, daily.user_segments(events, P.START, P.END), f"{root}/user_segments",
                                  "segment_date", P.START, P.END)
@@ -93,8 +94,12 @@ def stored_aggregates(spark: SparkSession, sf_dir: str, start=None, end=None) ->
                          dates=dates)
 
 
-def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed.current(spark, f"{stored(spark, sf_dir)}/flash_sale_alerts", KEYS["flash_sale_alerts"])
+def stored_alerts(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
+    """All alerts, or those of the slices that the zone map names for the range of ``created_at``."""
+    path, keys = f"{stored(spark, sf_dir)}/flash_sale_alerts", KEYS["flash_sale_alerts"]
+    if start is None and end is None:
+        return keyed.current(spark, path, keys)
+    return zones.current_in_range(spark, path, keys, "created_at", start, end)
 
 
 def stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:

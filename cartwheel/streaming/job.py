@@ -32,9 +32,10 @@ from cartwheel.operators import decode
 from cartwheel.operators.windows import duration, sliding_counts
 from cartwheel.schemas import KEYS
 from cartwheel.session import checkpoint_root
-from cartwheel.sinks import keyed
+from cartwheel.sinks import keyed, zones
 from cartwheel.sources.tables import (as_timestamp, dates_between, folder_names, in_closed_range, nothing_stored,
                                       read_events_range)
+from cartwheel.streaming import progress
 
 
 @dataclass(frozen=True)
@@ -222,7 +223,9 @@ def aggregate_batch_writer(spark: SparkSession, paths: JobPaths, settings: Strea
         found = alert_ops.flash_sale(
             written, settings.min_views, settings.max_purchases, settings.alert_message
         )
-        keyed.upsert(with_window_date(found), paths.alerts, batch_id, partition_by=by_date)
+        zones.forget(spark, paths.alerts, batch_id)
+        dates = keyed.upsert(with_window_date(found), paths.alerts, batch_id, partition_by=by_date, observe=True)
+        zones.record(spark, paths.alerts, batch_id, keyed.WINDOW_DATE, "created_at", dates)
 
     return write
 
@@ -279,12 +282,14 @@ def start(
     if unique_by not in ("state", "probe"):
         raise ValueError(f"unique_by must be 'state' or 'probe', not {unique_by!r}")
     by_state = unique_by == "state" and not (strict_keys or probe_time_span)
-    raw_input, raw_writer = decoded, raw_batch_writer(spark, paths, strict_keys=strict_keys,
+    # the raw query computes a batch once, so what passes it is counted there
+    seen = progress.watched(decoded)
+    raw_input, raw_writer = seen, raw_batch_writer(spark, paths, strict_keys=strict_keys,
                                                       probe_time_span=probe_time_span, wide_raw=wide_raw,
                                                       first=raw_first)
     more = {}
     if by_state:
-        valid = decode.validate(decoded)[0]
+        valid = decode.validate(seen)[0]
         raw_input = (valid.withWatermark("event_time", unique_within).dropDuplicatesWithinWatermark(["event_id"])
                      if unique_within else first_writer(valid, known_ids(spark, paths, raw_first)))
         raw_writer = unique_batch_writer(spark, paths, wide_raw, raw_first, probe=bool(unique_within))
@@ -387,8 +392,7 @@ def tables(spark: SparkSession, paths: JobPaths, start=None, end=None,
     With a time range (``start``/``end``, as the dashboard's) only the folders that can hold its
     rows are read: raw events by event date, aggregates by the dates of windows of
     ``settings.window`` that end in the range. Alerts are asked for by ``created_at``, which may be
-    any time after their window, so they are read by that column from all dates: versions
-    written before the range cannot be current in it, and the newest version decides.
+    any time after their window, so their zone map tells which slices decide the range (``sinks.zones``).
     """
     alert_keys = KEYS["flash_sale_alerts"]
     if start is None or end is None:
@@ -398,10 +402,8 @@ def tables(spark: SparkSession, paths: JobPaths, start=None, end=None,
             "flash_sale_alerts": keyed.current(spark, paths.alerts, alert_keys),
         }
     dates = dates_between(as_timestamp(start) - duration(settings.window), end)
-    log = keyed.read_log(spark, paths.alerts)
-    if log is None:
-        raise FileNotFoundError(paths.alerts)
-    recent = keyed.latest_per_key(in_closed_range(log, start, None, "created_at"), alert_keys).drop(keyed.WINDOW_DATE)
+    recent = in_closed_range(zones.current_in_range(spark, paths.alerts, alert_keys, "created_at", start, end),
+                             start, None, "created_at")
     return {
         "clickstream_events": read_events_range(spark, paths.raw, start, end).drop(keyed.BATCH_COL),
         "product_view_aggregates": keyed.current(spark, paths.aggregates, KEYS["product_view_aggregates"],
