@@ -18,6 +18,7 @@ Checkpoints live under the session's shared checkpoint folder unless given.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from dataclasses import dataclass
 
@@ -220,12 +221,14 @@ def aggregate_batch_writer(spark: SparkSession, paths: JobPaths, settings: Strea
         written = keyed.read_batch(spark, paths.aggregates, batch_id, keyed.WINDOW_DATE, dates)
         if written is None:
             return
+        now = dt.datetime.now(dt.timezone.utc).isoformat(sep=" ")  # one reading of the clock for the batch
         found = alert_ops.flash_sale(
-            written, settings.min_views, settings.max_purchases, settings.alert_message
+            written, settings.min_views, settings.max_purchases, settings.alert_message,
+            created_at=F.lit(now).cast("timestamp"),
         )
         zones.forget(spark, paths.alerts, batch_id)
         dates = keyed.upsert(with_window_date(found), paths.alerts, batch_id, partition_by=by_date, observe=True)
-        zones.record(spark, paths.alerts, batch_id, keyed.WINDOW_DATE, "created_at", dates)
+        zones.put(spark, paths.alerts, batch_id, [(d, now, now) for d in sorted(dates or ())])
 
     return write
 
