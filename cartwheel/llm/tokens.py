@@ -81,7 +81,7 @@ class ChunkEncoder:
     Null counts as empty. ``table_bytes`` bounds the remembered chunks, by about what they take in memory.
     """
 
-    def __init__(self, tokenizer_path: str, table_bytes: int = 48 << 20):
+    def __init__(self, tokenizer_path: str, table_bytes: int = 64 << 20):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         # the library takes an added token's string before it cuts units, so texts that hold one are encoded whole

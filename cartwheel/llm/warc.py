@@ -2,7 +2,8 @@
 
 Records are range-sorted by id and written by one task a range; a file is rolled once its compressed size
 passes a bound. Each record is a gzip member of its own with regenerated headers, a SHA-1 digest of
-its payload and ids derived from the row, so the same rows give the same bytes. Files are written under
+its payload and ids derived from the row, so the same range of rows gives the same bytes; the ranges' borders are drawn
+from a sample, though, and may differ between runs over tables too large to be sampled whole. Files are written under
 temporary names; the manifest decides which attempts count, and only those are renamed.
 
 Of records with equal payloads of at least ``min_revisit`` bytes, that with the largest id is the
