@@ -8,6 +8,8 @@ files that no manifest names, so a retried task never mixes with them.
 from __future__ import annotations
 
 import ctypes
+import json
+import math
 import os
 import shutil
 import tempfile
@@ -15,7 +17,7 @@ import uuid
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.session import scratch_path
@@ -145,5 +147,49 @@ def commit_files(manifest: DataFrame, uri: str) -> None:
     moved.agg(F.count("*")).collect()
 
 
+#: Bytes that a range of a sorted table is meant to hold, the fewest ranges made of a table with as many rows, and the
+#: rows that borders are drawn from: at least so many, and so many for each range.
+RANGE_BYTES, FEWEST_RANGES, BORDER_ROWS, ROWS_A_RANGE = 2 << 30, 32, 1 << 15, 8
+_HASHES = 1 << 40
+
+
+def _rank(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(_HASHES))
+
+
+def drawn(light: DataFrame, keys: list[str], rows: int, total: int) -> DataFrame:
+    """About ``rows`` of the ``total`` rows, chosen by the hash of their keys alone: the same ones in every run."""
+    return light.where(_rank(keys) < math.ceil(_HASHES * min(1.0, rows / max(total, 1))))
+
+
+def ranges(light: DataFrame, keys: list[str], size: str) -> tuple[int, Column]:
+    """How many ranges ``light`` is cut into when sorted by ``keys``, and the column with a row's range.
+
+    Both depend on the rows alone, not on splits, settings or attempts: their number on the sum of ``size``,
+    the borders on the sizes of rows drawn by hash. Rows with equal keys share a range.
+    """
+    rows, held = light.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    count = max(1, min(rows, max(FEWEST_RANGES, math.ceil(held / RANGE_BYTES))))
+    some = drawn(light, keys, max(BORDER_ROWS, ROWS_A_RANGE * count), rows).groupBy(*keys).agg(F.sum(size).alias(size))
+    some = some.orderBy(*keys).select(F.to_json(F.struct(*keys)).alias("key"), F.col(size).alias("size")).collect()
+    step, below, borders = sum(r["size"] for r in some) / count, 0, []
+    for r in some:
+        if below >= step * (len(borders) + 1):
+            borders.append(r["key"])
+            while below >= step * (len(borders) + 1):  # one key fills several ranges: they stay empty
+                borders.append(r["key"])
+        below += r["size"]
+    if not borders:
+        return 1, F.lit(0)
+    types = light.schema
+    kind = "array<struct<" + ",".join(f"{k}:{types[k].dataType.simpleString()}" for k in keys) + ">>"
+    table = F.from_json(F.lit("[" + ",".join(borders) + "]"), kind)
+    steps = F.array(*[F.lit(1 << b) for b in range(len(borders).bit_length() - 1, -1, -1)])
+    key = F.struct(*keys)
+    place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(  # halving: how many borders are not above the key
+        F.get(table, at + step - 1) <= key, at + step).otherwise(at))
+    return len(borders) + 1, place
+
+
 def shards(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

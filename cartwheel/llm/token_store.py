@@ -11,7 +11,8 @@ tokens of each document), then a footer: JSON with the dictionary's hash, its le
 A short document is read by one ranged read and one small decompression.
 
 Defined results: null text is the empty text (it still gets the end id); null ids come first;
-rows with equal ids follow in the order of their texts' hashes, repeated rows all stay; an empty
+rows with equal ids follow in the order of their texts' hashes, repeated rows all stay; the same rows give the
+same files whatever the input's splits and the session's settings; an empty
 table gives a store without files; other columns are ignored whatever their names.
 """
 
@@ -27,7 +28,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,33 +36,56 @@ from cartwheel.llm.tokens import encoder
 
 MARK = b"IDSTORE1"
 MANIFEST = "part int, seq int, tmp string, name string, bytes long, docs long, tokens long"
-#: Documents the dictionary is trained on, and the ids taken of each; a bound, whatever the input's size.
+#: Documents the dictionary is trained on, and the ids taken of each; a bound, whatever the input's size. Both the
+#: documents and the place of the ids in a long one are drawn by hash over all rows, the same ones in every run.
 SAMPLE_DOCS, SAMPLE_IDS = 400, 4096
 BATCH = 2048  # documents in an Arrow batch, so that long texts do not pile up in a worker
 
 
-def train_dictionary(docs: DataFrame, tokenizer_path: str, size: int = 65536, text_col: str = "text") -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer_path: str, size: int = 65536, id_col: str = "doc_id",
+                     text_col: str = "text", light: DataFrame | None = None) -> bytes:
     """A dictionary fitted on the id arrays of at most ``SAMPLE_DOCS`` documents; empty if they are too few."""
 
     def sample(batches):
         for batch in batches:
-            arrays = [ids[: SAMPLE_IDS * 2] for ids in encoder(tokenizer_path).encode_many(batch[0].to_pylist())]
-            yield pa.RecordBatch.from_pydict({"ids": pa.array(arrays, pa.binary())})
-
-    some = docs.select(F.col(text_col).cast("string").alias("text")).limit(SAMPLE_DOCS)
-    arrays = [bytes(r[0]) for r in some.mapInArrow(sample, "ids binary").collect()]
+            arrays = []
+            for ids, rank in zip(encoder(tokenizer_path).encode_many(batch["text"].to_pylist()), batch["rank"].to_pylist()):
+                width = encoder(tokenizer_path).dtype.itemsize
+                at = rank % max(1, len(ids) // width - SAMPLE_IDS + 1) * width
+                arrays.append(ids[at:at + SAMPLE_IDS * width])
+            yield pa.RecordBatch.from_pydict({"rank": batch["rank"], "ids": pa.array(arrays, pa.binary())})
+
+    light = _keys(_rows(docs, id_col, text_col)) if light is None else light
+    some = storage.drawn(light, ["id", "tie"], 2 * SAMPLE_DOCS, light.count()).select("id", "tie").distinct()
+    rank = F.xxhash64("tie", "id")
+    some = some.withColumn("rank", rank).orderBy("rank").limit(SAMPLE_DOCS)
+    rows, some = _rows(docs, id_col, text_col), some.toDF("key", "mark", "rank")
+    texts = rows.join(F.broadcast(some), rows["id"].eqNullSafe(some["key"]) & (rows["tie"] == some["mark"]))
+    texts = texts.select("rank", "text").dropDuplicates(["rank"])  # rows of a rank are equal
+    arrays = [bytes(r["ids"]) for r in sorted(texts.mapInArrow(sample, "rank bigint, ids binary").collect())]
     try:
         return zstd.train_dictionary(size, [a for a in arrays if a]).as_bytes()
     except (zstd.ZstdError, ValueError):  # the trainer refuses few or tiny samples
         return b""
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.withColumn("tie", F.xxhash64("text"))
+
+
+def _keys(rows: DataFrame) -> DataFrame:
+    return rows.select("id", "tie", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"))
+
+
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id",
                 text_col: str = "text", max_file_bytes: int = 64 << 20, level: int = 3) -> None:
     """Encodes whole texts, appends ``end_id`` to each, and writes the store in ascending id order."""
     spark = docs.sparkSession
     uri = storage.folder_uri(path)
-    dictionary = train_dictionary(docs, tokenizer_path, text_col=text_col)
+    rows = _rows(docs, id_col, text_col)
+    light = storage.written(_keys(rows), "document-keys")
+    dictionary = train_dictionary(docs, tokenizer_path, id_col=id_col, text_col=text_col, light=light)
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary))], "sha256 string, dictionary binary").write.parquet(
         f"{path}/dictionary")
@@ -72,7 +95,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
         end = np.array([end_id], enc.dtype).tobytes()
         packer = zstd.ZstdCompressor(level=level, dict_data=zstd.ZstdCompressionDict(dictionary)) if dictionary else (
             zstd.ZstdCompressor(level=level))
-        files = storage.RollingFiles(uri, TaskContext.get().partitionId(), ".ids", max_file_bytes)
+        files = None
         index: dict[str, list] = {"id": [], "place": [], "size": [], "tokens": []}
         id_type = None
 
@@ -96,8 +119,13 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
         for batch in batches:
             id_type = batch.schema.field("id").type
             for at in range(0, batch.num_rows, BATCH):
-                part = batch.slice(at, BATCH)
-                for key, ids in zip(part["id"].to_pylist(), enc.encode_many(part["text"].to_pylist())):
+                some = batch.slice(at, BATCH)
+                for part, key, ids in zip(some["part"].to_pylist(), some["id"].to_pylist(),
+                                          enc.encode_many(some["text"].to_pylist())):
+                    if files is None or files.part != part:
+                        if index["id"]:
+                            yield finish()
+                        files = storage.RollingFiles(uri, part, ".ids", max_file_bytes)
                     ids += end
                     frame = packer.compress(ids)
                     index["place"].append(files.write(frame))
@@ -110,10 +138,9 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
         if index["id"]:
             yield finish()
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    ordered = (rows.withColumn("tie", F.xxhash64("text"))
-               .repartitionByRange(storage.shards(spark), "id", "tie").sortWithinPartitions("id", "tie")
-               .select("id", "text"))
+    count, part = storage.ranges(light, ["id", "tie"], "size")
+    ordered = (rows.withColumn("part", part).repartitionById(count, F.col("part"))
+               .sortWithinPartitions("part", "id", "tie").select("part", "id", "text"))
     staged = storage.written(ordered.mapInArrow(write, MANIFEST), "ids-staged")
     storage.commit_files(staged, uri)
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file

@@ -2,13 +2,14 @@
 
 Records are range-sorted by id and written by one task a range; a file is rolled once its compressed size
 passes a bound. Each record is a gzip member of its own with regenerated headers, a SHA-1 digest of
-its payload and ids derived from the row, so the same range of rows gives the same bytes; the ranges' borders are drawn
-from a sample, though, and may differ between runs over tables too large to be sampled whole. Files are written under
-temporary names; the manifest decides which attempts count, and only those are renamed.
+its payload and ids derived from the row. Number and borders of the ranges depend on the rows alone
+(:func:`storage.ranges`), so the same rows give the same files whatever the input's splits and the session's
+settings. Files are written under temporary names; the manifest decides which attempts count, and only those are renamed.
 
 Of records with equal payloads of at least ``min_revisit`` bytes, that with the largest id is the
-response and the others revisit it. Copies are found by digest counts that are combined before the
-shuffle; the table of repeated digests holds one row for each.
+response and the others revisit it. Copies are found over ids, digests and sizes only. A small row that says
+what to revisit goes into the range sort beside the pages, just before its page, so payloads cross
+one shuffle and never meet by digest.
 
 Defined results: null html is the empty payload; null urls are left out; records with a null id are written first,
 and revisit a copy that has an id, if any; rows that share a payload's largest id are all responses;
@@ -25,7 +26,6 @@ import uuid
 import zlib
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,15 +75,17 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     uri = storage.folder_uri(path)
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload"))
-    copied = (rows.where(F.octet_length("payload") >= min_revisit).groupBy("digest")
-              .agg(F.count("*").alias("copies"), F.max("id").alias("response")).where("copies > 1")
-              .select("digest", "response"))
-    copied = storage.written(copied, "copied-payloads")
+    rows = rows.withColumn("digest", F.sha1("payload")).withColumn("tie", F.xxhash64("digest", "url"))
+    light = storage.written(rows.select("id", "tie", "digest", F.octet_length("payload").cast("bigint").alias("size")), "payloads")
+    copied = (light.where(F.col("size") >= min_revisit).groupBy("digest")
+              .agg(F.count("*").alias("copies"), F.max("id").alias("response")).where("copies > 1 and response is not null"))
+    revisits = (light.join(copied.select("digest", "response"), "digest").where(~F.col("id").eqNullSafe(F.col("response")))
+                .select("id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"),
+                        "digest", "tie", "response"))
 
     def write(batches):
-        files = storage.RollingFiles(uri, TaskContext.get().partitionId(), ".warc.gz", max_file_bytes)
-        hashed, count = hashlib.sha256(), 0
+        files = None
+        hashed, count, decided = hashlib.sha256(), 0, None
         schema = pa.schema([(n, {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}[c.split()[1]])
                             for n, c in zip(NAMES, MANIFEST.split(", "))])
 
@@ -96,22 +98,32 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
             hashed.update(data)
 
         for batch in batches:
-            columns = [batch[n] for n in ("id", "url", "payload", "digest", "response")]
+            columns = [batch[n] for n in ("part", "id", "url", "payload", "digest", "response")]
             for i in range(batch.num_rows):
-                key, url, body, digest, response = (c[i].as_py() for c in columns)
+                part, key, url, body, digest, response = (c[i].as_py() for c in columns)
+                if body is None:
+                    decided = (key, digest, response)
+                    continue
+                target = decided[2] if decided is not None and decided[:2] == (key, digest) else None
+                if files is None or files.part != part:
+                    if files is not None and files.out is not None:
+                        yield finish()
+                    files = storage.RollingFiles(uri, part, ".warc.gz", max_file_bytes)
                 if files.out is None:
                     hashed, count = hashlib.sha256(), 0
                     put(gzipped(_file_info(files, date), level))
-                put(gzipped(record(key, url, body, digest, None if response == key else response, date), level))
+                put(gzipped(record(key, url, body, digest, target, date), level))
                 count += 1
                 if files.full:
                     yield finish()
-        if files.out is not None:
+        if files is not None and files.out is not None:
             yield finish()
 
-    sized = rows.join(copied, "digest", "left").withColumn("tie", F.xxhash64("digest", "url"))
-    ordered = (sized.repartitionByRange(storage.shards(spark), "id", "tie").sortWithinPartitions("id", "tie")
-               .select("id", "url", "payload", "digest", "response"))
+    count, part = storage.ranges(light, ["id", "tie"], "size")
+    both = rows.withColumn("response", F.lit(None).cast(light.schema["id"].dataType)).unionByName(revisits)
+    ordered = (both.withColumn("part", part).repartitionById(count, F.col("part"))
+               .sortWithinPartitions("part", "id", "tie", "digest", F.col("payload").isNotNull())
+               .select("part", "id", "url", "payload", "digest", "response"))
     staged = storage.written(ordered.mapInArrow(write, MANIFEST), "archives-staged")
     storage.commit_files(staged, uri)
     staged.drop("tmp").write.parquet(f"{path}/manifest")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cartwheel.llm import (decontaminate, html_extract, line_dedup, packing, quality_rules, queries, simhash, token_store,
+from cartwheel.llm import (decontaminate, html_extract, line_dedup, packing, quality_rules, queries, simhash, storage, token_store,
                            topk, toxicity, warc)
 from cartwheel.llm.tokens import ChunkEncoder
 from cartwheel.session import scratch_path
@@ -307,15 +307,31 @@ def test_segment_bounds_never_cut_a_match():
         assert (topk.segment_stats(x.astype(float), n) @ topk.segment_stats(y.astype(float), n).T >= x @ y.T - 1e-3).all()
 
 
+def runs(spark, rows, monkeypatch):
+    """The rows in two orders, splits and settings; borders are drawn from few of them."""
+    monkeypatch.setattr(storage, "BORDER_ROWS", 20)
+    monkeypatch.setattr(storage, "ROWS_A_RANGE", 2)
+    monkeypatch.setattr(storage, "FEWEST_RANGES", 12)
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        for count, splits in ((8, 1), (3, 7)):
+            spark.conf.set(name, str(count))
+            yield rows.repartition(splits, F.rand(splits))
+    finally:
+        spark.conf.set(name, before)
+
+
 @here
-def test_warc_is_deterministic_and_readable(spark):
+def test_warc_is_deterministic_and_readable(spark, monkeypatch):
     pages = table(spark, "pages")
     digests = []
-    for _ in range(2):
+    for some in runs(spark, pages, monkeypatch):
         path = scratch_path(spark, "test-warc")
-        warc.write_archives(pages, path, max_file_bytes=30000)
+        warc.write_archives(some, path, max_file_bytes=30000)
         rows = spark.read.parquet(f"{path}/manifest").orderBy("name").collect()
         digests.append([(r["name"], r["sha256"]) for r in rows])
+        assert len({r["part"] for r in rows}) > 6
         for r in rows:
             data = open(f"{path.replace('file:', '')}/{r['name']}", "rb").read()
             assert hashlib.sha256(data).hexdigest() == r["sha256"] and zlib.decompress(data, 31).startswith(b"WARC/1.1\r\n")
@@ -324,6 +340,28 @@ def test_warc_is_deterministic_and_readable(spark):
     assert back == {r["page_id"]: r["html"] for r in pages.collect()}
 
 
+@here
+def test_store_files_are_deterministic(spark, monkeypatch):
+    found = []
+    for some in runs(spark, table(spark, "documents"), monkeypatch):
+        path = scratch_path(spark, "test-store")
+        token_store.write_store(some, path, TOKENIZER, max_file_bytes=20000)
+        names = [r["name"] for r in spark.read.parquet(f"{path}/manifest").orderBy("start").collect()]
+        found.append([(n, hashlib.sha256(open(f"{path.replace('file:', '')}/{n}", "rb").read()).hexdigest()) for n in names])
+    assert len(found[0]) > 6 and found[0] == found[1]
+
+
+def test_ranges_of_hot_keys_and_nulls(spark):
+    rows = [(None, 5, 10)] * 3 + [("hot", 1, 100)] * 40 + [(f"k\"{i}\u00e9", i, 10) for i in range(60)]
+    light = spark.createDataFrame(rows, "id string, tie bigint, size bigint")
+    count, part = storage.ranges(light, ["id", "tie"], "size")
+    got = sorted(((r["id"] is not None, r["id"] or "", r["tie"]), r["part"]) for r in light.withColumn("part", part).collect())
+    assert [p for _, p in got] == sorted(p for _, p in got) and 0 <= got[0][1] and got[-1][1] < count == 32
+    assert len({p for k, p in got if k[1] == "hot"}) == 1 and len({p for _, p in got}) > 4
+    empty = storage.ranges(light.limit(0), ["id", "tie"], "size")
+    assert empty[0] == 1
+
+
 def test_network_gradients():
     old = toxicity.TELLING
     toxicity.TELLING = 0.0
