@@ -9,7 +9,8 @@ form one forest, so messages of a level of depth are array operations.
 
 Defined results: null and empty pages, and pages without content, give the empty string; character references are
 decoded; white space inside a block becomes one space; ``br`` is white space; unclosed and stray
-tags are taken as browsers take them where that decides a block's extent; repeated rows give equal texts; other
+tags are taken as browsers take them where that decides a block's extent (``html``, ``head`` and ``body`` may be left out, a slash closes
+an ``svg`` or ``math`` element, their unclosed forms end at the next element of a page); repeated rows give equal texts; other
 columns are kept and their names may be any.
 """
 
@@ -29,7 +30,17 @@ BATCH = 256  # pages of a forest
 #: Elements inside a block, without text of their own, and without an end.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var img br wbr".split())
-SILENT = frozenset("head script style noscript template iframe object svg math canvas audio video title select textarea".split())
+SILENT = frozenset("script style noscript template iframe object svg math canvas audio video title select textarea".split())
+FOREIGN = frozenset(("svg", "math"))  # in these a slash does close an element
+#: Elements in foreign ones whose content is that of a page again, and (fixed values: the HTML standard) the opening tags that
+#: end foreign elements outside of those.
+INTEGRATION = frozenset("foreignobject desc annotation-xml".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+                     "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Elements that a part of a page seldom holds, but a page does.
+LANDMARKS = frozenset("article main header footer nav aside h1".split())
+#: Shares of a page's text from which on an element, with landmarks in it or without, holds the page rather than a part of it.
+WIDE, WHOLE = 0.5, 0.95
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that an opening tag ends if they are still open, up to the named borders.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -43,6 +54,7 @@ _KEYS = re.compile(
     r"(?P<form>form|search|login|subscribe|newsletter|signup|register)|(?P<share>share|social|follow|tags?\b|meta\b|byline|author)|"
     r"(?P<head>header|masthead|topbar|logo|branding|site)|(?P<main>article|content|main|post|entry|story|body|text|page)")
 _BORDER = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_LAYOUT = re.compile(r"\b(?:has|with|without|no)[_\- ]+\w+")  # says what stands elsewhere in the page
 
 
 class Page(HTMLParser):
@@ -55,7 +67,8 @@ class Page(HTMLParser):
         self.linked = [0]
         self.open = [(0, "#root")]  # (node, tag); inline elements carry their block's node
         self.run: list[str] = []
-        self.links = self.silent = self.run_linked = 0
+        self.links = self.run_linked = 0
+        self.silent: list[str] = []  # open elements without text of the page, from the outermost
         self.feed(html)
         self.close()
         self.flush()
@@ -82,13 +95,22 @@ class Page(HTMLParser):
         del self.open[at:]
 
     def handle_starttag(self, tag, attrs):
+        if self.silent and self.silent[-1] in FOREIGN and tag in BREAKOUT:
+            while self.silent and self.silent[-1] in FOREIGN:
+                self.silent.pop()
         if self.silent:
-            if tag in SILENT and tag not in VOID:
-                self.silent += 1
+            if tag in SILENT or (tag in INTEGRATION and self.foreign):
+                self.silent.append(tag)
             return
         if tag in SILENT:
             self.flush()
-            self.silent = 1
+            self.silent.append(tag)
+            return
+        if tag in ("html", "head", "body"):  # they may be left out, so they are no nodes; their names stand at the root
+            self.flush()
+            if tag != "head":
+                self.keys[0] = tuple(sorted({*self.keys[0], *self._named(attrs)}))
+                self.gold[0] = self._marked(attrs, self.gold[0])
             return
         if tag in INLINE:
             if tag in ("br", "wbr"):
@@ -107,18 +129,32 @@ class Page(HTMLParser):
                 break
             if self.open[at][1] in borders or (closing == {"p"} and self.open[at][1] not in INLINE):
                 break
-        named = " ".join(_BORDER.sub(" ", v) for k, v in attrs if k in ("class", "id", "role", "itemprop") and v)
-        keys = tuple(sorted({m.lastgroup for m in _KEYS.finditer(re.sub(r"[_\-\d]+", " ", named).lower())})) if named else ()
-        gold = next((v == "1" for k, v in attrs if k == "data-gold"), None)
-        self._add(self.open[-1][0], tag, keys, None, 0, gold)
+        self._add(self.open[-1][0], tag, self._named(attrs), None, 0, self._marked(attrs, None))
         self.open.append((len(self.tag) - 1, tag))
 
+    @staticmethod
+    def _named(attrs) -> tuple:
+        named = " ".join(_BORDER.sub(" ", v) for k, v in attrs if k in ("class", "id", "role", "itemprop") and v)
+        return tuple(sorted({m.lastgroup for m in _KEYS.finditer(re.sub(r"[_\-\d]+", " ", _LAYOUT.sub(" ", named.lower())))})) if named else ()
+
+    @staticmethod
+    def _marked(attrs, otherwise):
+        return next((v == "1" for k, v in attrs if k == "data-gold"), otherwise)
+
+    @property
+    def foreign(self) -> bool:
+        return any(tag in FOREIGN for tag in self.silent)
+
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # a slash does not close an element in a page
+        if tag in FOREIGN and not self.silent:
+            self.flush()
+        elif not (tag in FOREIGN or self.foreign) or (self.silent[-1:] and self.silent[-1] in FOREIGN and tag in BREAKOUT):
+            self.handle_starttag(tag, attrs)  # a slash does not close an element in a page
 
     def handle_endtag(self, tag):
         if self.silent:
-            self.silent -= tag in SILENT
+            if tag in self.silent:
+                del self.silent[len(self.silent) - 1 - self.silent[::-1].index(tag):]
             return
         if tag in SILENT or tag in VOID:
             return
@@ -149,6 +185,7 @@ def features(page: Page):
     """The nodes that hold text: their places, parents among them, kinds of link, and names of features."""
     size = len(page.tag)
     chars, linked, stops = [0] * size, [0] * size, [0] * size
+    landmarks = [False] * size  # in the element, not the element itself
     for i in range(size - 1, 0, -1):
         if page.text[i] is not None:
             chars[i], linked[i] = len(page.text[i]), min(page.linked[i], len(page.text[i]))
@@ -157,7 +194,14 @@ def features(page: Page):
         chars[up] += chars[i]
         linked[up] += linked[i]
         stops[up] += stops[i]
+        landmarks[up] |= landmarks[i] or page.tag[i] in LANDMARKS
     total = max(1, chars[0])
+
+    def extent(i):
+        if i == 0 or (landmarks[i] and chars[i] >= WIDE * total):
+            return " wide"
+        return " whole" if page.text[i] is None and chars[i] >= WHOLE * total else ""
+
     number, above = {}, {0: frozenset()}
     places, parents, kinds, names = [], [], [], []
     for i in range(size):
@@ -170,15 +214,17 @@ def features(page: Page):
         parents.append(number[up] if up >= 0 else -1)
         kinds.append(0 if tag == "#text" else 1 if tag in ("p", "h1", "h2", "h3", "h4", "li", "blockquote", "pre", "td") else 2)
         if up >= 0:
-            above[i] = above[up] | {f"in {page.tag[up]}"} | {f"under {k}" for k in page.keys[up]}
+            wide = extent(up)
+            above[i] = above[up] | {f"in {page.tag[up]}{wide}"} | {f"under {k}{wide}" for k in page.keys[up]}
+        wide = extent(i)
         density = linked[i] / chars[i]
         leaf = "leaf " if tag == "#text" else "node "
-        own = [f"{leaf}tag {page.tag[up] if tag == '#text' and up >= 0 else tag}",
+        own = [f"{leaf}tag {page.tag[up] if tag == '#text' and up >= 0 else tag}{wide}",
                f"{leaf}chars {_level(chars[i], (15, 40, 80, 160, 400, 1200))}",
                f"{leaf}links {_level(density, (0.01, 0.2, 0.5, 0.9))}",
                f"{leaf}stops {_level(stops[i] / chars[i], (0.001, 0.008, 0.015, 0.03))}",
                f"{leaf}share {_level(chars[i] / total, (0.02, 0.1, 0.3, 0.6, 0.9))}", leaf]
-        own += [f"key {k}" for k in keys] or ["no key"]
+        own += [f"key {k}{wide}" for k in keys] or ["no key"]
         own += above[i]
         names.append(own)
     return places, parents, kinds, names
@@ -338,7 +384,9 @@ def labelled_pages(count: int = 400, seed: int = 11) -> list[str]:
         return f'<div class="{pick(["ad", "ads", "advert", "sponsored", "promo-box", "banner"])}">{prose(1, 4)}</div>'
 
     def notice():
-        return f'<{pick(["div", "section"])} class="{pick(["cookie-notice", "consent", "notice", "popup", "alert-box"])}"><p>{prose(1, 3)}</p><button>{word()}</button></{"div"}>'
+        tag = pick(["div", "section"])
+        end = tag if rng.random() < 0.9 else "div"  # some sections stay open
+        return f'<{tag} class="{pick(["cookie-notice", "consent", "notice", "popup", "alert-box"])}"><p>{prose(1, 3)}</p><button>{word()}</button></{end}>'
 
     def form():
         return (f'<form{named("newsletter", "search-form", "login", "subscribe")}>' + pick([f"<p>{prose(1, 2)}</p>", f"<label>{phrase(1, 3)}</label>"])
@@ -394,9 +442,22 @@ def labelled_pages(count: int = 400, seed: int = 11) -> list[str]:
         middle = f"<!-- {word()} -->" + article()
         if rng.random() < 0.3:
             middle = f'<div class="{pick(["wrapper", "container", "page", "row"])}">{middle}{pick(["", side(), comments()])}</div>'
-        body = "".join(before) + middle + "".join(after) + (footer() if rng.random() < 0.8 else "")
+        alone = rng.random() < 0.1  # a page of nothing but its article
+        body = middle if alone else "".join(before) + middle + "".join(after) + (footer() if rng.random() < 0.8 else "")
+        layout = lambda: " ".join([pick(["single", "home", "layout", "theme-x"]), pick([
+            "has-sidebar", "page-with-sidebar", "with-comments", "nav-open", "cookie-shown", "has-footer", "search-enabled",
+            "ads-on", "header-fixed", "share-bar-left", "login-off", "no-related"])])
+        if rng.random() < 0.04:
+            body, bare = prose(1, 9), True
+        else:
+            bare = False
+            if rng.random() < (0.6 if alone else 0.25):
+                body = f'<div class="{layout()}">{body}</div>'
+            if rng.random() < (0.4 if alone else 0.15):
+                body = f'<form id="{pick(["aspnetForm", "form1", "pageForm"])}" action="/{word()}">{re.sub("<(/?)form", "<\\1div", body)}</form>'
+        names = f' class="{layout()}"' if rng.random() < 0.3 else ""
         pages.append(f"<!DOCTYPE html><html><head><title>{phrase(2, 6)}</title><style>p{{margin:0}}</style></head>"
-                     f'<body data-gold="0">{body}</body></html>')
+                     f'<body{names} data-gold="{int(bare)}">{body}</body></html>')
     return pages
 
 

@@ -449,6 +449,38 @@ def test_extraction_on_unseen_layouts():
     assert right > 50 * (wrong + missed) / 2
 
 
+FIRST = ("The long first paragraph of the article tells how the river rose in spring, and why the town moved its market to the "
+         "hill. It was a slow change, but nobody wanted to go back.")
+SECOND = ("In the second paragraph the writer explains, with many numbers, what the move cost. Some families lost a house; "
+          "others won a better place, closer to the new road.")
+PARAGRAPHS = f"<p>{FIRST}</p><p>{SECOND}</p>"
+NAV = '<nav><ul><li><a href="/">Home</a></li><li><a href="/b">About us</a></li></ul></nav>'
+FOOT = "<footer>&copy; example</footer>"
+WHOLE_PAGES = {
+    "head left open": f"<html><head><title>x y</title><body>{NAV}<article>{PARAGRAPHS}</article>{FOOT}</body></html>",
+    "no head end, no body": f"<html><head><title>x y</title><meta charset=utf-8>{NAV}<article>{PARAGRAPHS}</article>{FOOT}",
+    "no html": f"<head><title>x</title><div class=content>{PARAGRAPHS}</div>",
+    "svg with a slash": f'<body>{NAV}<article><svg class="icon" viewBox="0 0 1 1"/>{PARAGRAPHS}</article>{FOOT}</body>',
+    "svg with slashes inside": f'<body><svg/>{NAV}<article>{PARAGRAPHS}<svg><path d="x"/><title/></svg></article>{FOOT}</body>',
+    "svg left open": f'<body>{NAV}<article><svg><path d="x">{PARAGRAPHS}</article>{FOOT}</body>',
+    "body names a sidebar": f'<body class="single has-sidebar">{NAV}<article>{PARAGRAPHS}</article>{FOOT}</body>',
+    "wrapper names a sidebar": (f'<body><div class="page-with-sidebar">{NAV}<article>{PARAGRAPHS}</article>'
+                                f'<div class="sidebar"><p>Popular posts</p></div></div>{FOOT}</body>'),
+    "wrapper alone": f'<body class="single has-sidebar"><div class="page-with-sidebar">{PARAGRAPHS}</div></body>',
+    "page in a form": f'<body><form id="aspnetForm" method="post">{NAV}<article>{PARAGRAPHS}</article>{FOOT}</form></body>',
+    "article in a form": f'<body><form id="form1"><div class="content">{PARAGRAPHS}</div></form></body>',
+}
+
+
+@pytest.mark.parametrize("name", WHOLE_PAGES)
+def test_extraction_keeps_whole_articles(name):
+    assert html_extract.default_model().content([WHOLE_PAGES[name]]) == [[FIRST, SECOND]]
+
+
+def test_extraction_of_bare_text():
+    assert html_extract.default_model().content([FIRST, f"<html><body>{FIRST}</body></html>"]) == [[FIRST], [FIRST]]
+
+
 @here
 def test_op8(spark):
     import html
