@@ -42,25 +42,36 @@ raw AS (SELECT doc_id, r, unnest(string_split(text, chr(10))) AS line, generate_
         FROM docs),
 split AS (
     SELECT doc_id, r, place, list_filter(regexp_split_to_array(
-        regexp_replace(line, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'), lambda w: w <> '') AS words
+        regexp_replace(line, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'), lambda w: w <> '') AS words,
+        array_to_string(list_filter(regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda w: w <> ''), ' ') AS digits
     FROM raw),
 lines AS (
     SELECT doc_id, r, place, words, len(words) AS size, array_to_string(words[1:3], ' ') AS head,
-           array_to_string(words, ' ') AS line
+           array_to_string(words, ' ') AS line,
+           CASE WHEN len(list_filter(words, lambda w: w <> '<*>')) / len(words) < 0.7::DOUBLE THEN digits END AS own
     FROM split WHERE len(words) > 0),
 leaves AS (SELECT size, head FROM lines GROUP BY ALL HAVING count(DISTINCT doc_id) > 1),
 few AS (SELECT l.* FROM lines l JOIN leaves USING (size, head)),
 distinct_lines AS (SELECT size, head, line, any_value(words) AS words FROM few GROUP BY size, head, line),
 placed AS (SELECT size, head, line, unnest(words) AS word, generate_subscripts(words, 1) AS spot FROM distinct_lines),
-shared AS (SELECT size, head, spot, word FROM placed GROUP BY ALL HAVING count(*) > 1),
+shared AS (SELECT size, head, spot, word, count(*) AS n FROM placed GROUP BY ALL HAVING count(*) > 1),
 spelled AS (
-    SELECT p.*, s.word IS NOT NULL AND p.word <> '<*>' AS fixed
+    SELECT p.*, s.n, CASE WHEN p.word <> '<*>' THEN s.n END AS alike
     FROM placed p LEFT JOIN shared s ON p.size = s.size AND p.head = s.head AND p.spot = s.spot AND p.word = s.word),
+counted AS (
+    SELECT size, head, line, max(n) AS most, list_sort(list(alike) FILTER (alike IS NOT NULL), 'DESC') AS counts,
+           ceil(size * 0.7::DOUBLE) AS up, CASE WHEN (up - 1) / size >= 0.7::DOUBLE THEN up - 1 ELSE up END AS need
+    FROM spelled GROUP BY size, head, line),
+least AS (SELECT *, counts[greatest(need, 1)::BIGINT] AS count FROM counted),
+bounded AS (
+    SELECT size, head, line, most / pow(10::DOUBLE, floor(log10(most / count)) + 1) AS bound FROM least WHERE count IS NOT NULL),
 whole AS (
-    SELECT size, head, line, string_agg(CASE WHEN fixed THEN word ELSE '<*>' END, ' ' ORDER BY spot) AS template
-    FROM spelled GROUP BY size, head, line HAVING avg(CASE WHEN fixed THEN 1.0 ELSE 0.0 END) >= 0.7),
+    SELECT s.size, s.head, s.line, string_agg(CASE WHEN alike > bound THEN word ELSE '<*>' END, ' ' ORDER BY spot) AS template
+    FROM spelled s JOIN bounded b ON s.size = b.size AND s.head = b.head AND s.line = b.line
+    GROUP BY s.size, s.head, s.line),
 named AS (
-    SELECT f.doc_id, f.r, f.place, f.size, f.head, w.template IS NOT NULL AS general, coalesce(w.template, f.line) AS template
+    SELECT f.doc_id, f.r, f.place, f.size, f.head, w.template IS NOT NULL AS general,
+           coalesce(w.template, f.own, f.line) AS template
     FROM few f LEFT JOIN whole w USING (size, head, line)),
 often AS (
     SELECT size, head, general, template, min(doc_id) AS first FROM named GROUP BY ALL

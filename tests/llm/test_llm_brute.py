@@ -257,6 +257,14 @@ def test_line_templates(spark):
     assert got[20] == docs[6][1] and got[21] == got[22] == ""
 
 
+def by_sql(docs):
+    import duckdb
+    import pandas as pd
+
+    documents = pd.DataFrame(docs, columns=["doc_id", "text"])  # noqa: F841 - the SQL reads it
+    return duckdb.sql(f"SELECT * FROM ({queries.OP2_SQL}) ORDER BY doc_id").fetchall()
+
+
 @pytest.mark.parametrize("n", [20, 10000])
 def test_line_templates_do_not_depend_on_the_leafs_size(spark, n):
     line = "the user account named {} was opened from the city of {} without any error"
@@ -267,6 +275,7 @@ def test_line_templates_do_not_depend_on_the_leafs_size(spark, n):
     assert len({t for _, t in docs}) == len(docs)
     got = line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string")).where("text <> ''")
     assert [r["doc_id"] for r in got.orderBy("doc_id").collect()] == [0, 20000]
+    assert [i for i, text, _ in by_sql(docs) if text] == [0, 20000]
 
 
 def test_quality_sample_has_one_row_an_id(spark, monkeypatch):
@@ -284,6 +293,22 @@ def test_number_rows_stay(spark):
     docs += [(50 + i, f"seen on day {i} by all of us here") for i in range(3)]
     got = line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string")).where("text <> ''")
     assert [r["doc_id"] for r in got.orderBy("doc_id").collect()] == [0, 1, 3, *range(10, 22), 30, 50]
+    assert [i for i, text, _ in by_sql(docs) if text] == [0, 1, 3, *range(10, 22), 30, 50]
+
+
+def test_line_sql_on_crowded_leaves(spark):
+    """Leaves of several templates, fields of many and few values, rows of numbers: operator and SQL say the same."""
+    rng = random.Random(3)
+    kinds = ["the job {} of user {} ended after {} seconds on node {} without errors", "the job {} of node {} was sent back by {} for the reason {} again",
+             "total {} {} {} {} {} for part {} of {}", "the job of {} {}", "{} {} {} {} {} {} {} {} {}"]
+    fields = [lambda: str(rng.randint(1, 30)), lambda: rng.choice("abcdefgh") * rng.randint(1, 12), lambda: rng.choice(["red", "blue"])]
+    docs = []
+    for i in range(400):
+        lines = [re.sub("{}", lambda m: rng.choice(fields)(), rng.choice(kinds)) for _ in range(rng.randint(0, 6))]
+        docs.append((i, "\n".join(lines) if i % 50 else None))
+    got = line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string"), count="n_dropped").orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == by_sql(docs)
+    assert sum(n for _, _, n in by_sql(docs)) > 100
 
 
 def test_topk_against_all_pairs(spark):
