@@ -200,6 +200,39 @@ def q_replay_twice(spark, sf_dir):
                 F.col("view_count") + F.col("cart_count") + F.col("purchase_count")))))
 
 
+def pane_run(spark: SparkSession, sf_dir: str):
+    """The replay of ``replay_run`` with shared panes, run once; its paths."""
+    key = (spark.sparkContext.applicationId, sf_dir, "panes")
+    if key not in _RUNS:
+        root = scratch_path(spark, "panes")
+        records = wire_from_events(TB.events_table(spark, sf_dir))
+        slices = replay.deal_slices(records, f"{root}/staged", P.START, P.END, P.DAYS_PER_BATCH)
+        for place, number in enumerate(replay.deliveries(slices, redeliver_first=True)):
+            replay.put_slice(spark, f"{root}/staged", f"{root}/source", number, place, records.schema)
+            stream = replay.read_slices(spark, f"{root}/source", records.schema, files_per_trigger=None)
+            started = job.start(spark, stream, f"{root}/out", SETTINGS, trigger={"availableNow": True}, shared_panes=True)
+            job.await_all(started)
+        _RUNS[key] = started["paths"]
+    return _RUNS[key]
+
+
+def q_sliding_counts_panes(spark, sf_dir):
+    """The aggregates of the replay with shared panes; the same windows as with a state row for each window."""
+    paths = pane_run(spark, sf_dir)
+    return keyed.current(spark, paths.aggregates, KEYS["product_view_aggregates"]).drop("computed_at")
+
+
+def q_flash_sale_panes(spark, sf_dir):
+    """The latched alerts of the replay with shared panes."""
+    paths = pane_run(spark, sf_dir)
+    return keyed.current(spark, paths.alerts, KEYS["flash_sale_alerts"]).drop("created_at")
+
+
+def q_pane_state_rows(spark, sf_dir):
+    """The state of the replay with shared panes, one row per product and slide of the open windows."""
+    return state.open_panes(spark, pane_run(spark, sf_dir).checkpoint("aggregates"))
+
+
 def q_window_state_rows(spark, sf_dir):
     """The window query's state after the replay, read from its checkpoint: the windows still open."""
     paths = replay_run(spark, sf_dir)["paths"]
@@ -321,6 +354,9 @@ def q_rerun_after_crash(spark, sf_dir):
 
 
 STREAM_QUERIES = {
+    "sliding_counts_panes": q_sliding_counts_panes,
+    "flash_sale_panes": q_flash_sale_panes,
+    "pane_state_rows": q_pane_state_rows,
     "window_state_rows": q_window_state_rows,
     "observed_metrics": q_observed_metrics,
     "failing_query_stops_all": q_failing_query_stops_all,
@@ -384,6 +420,15 @@ FROM ({_PASSES}), (SELECT unnest(['raw_events', 'window_aggregates']) AS query_n
 
 # query name -> key of the batch SQL it must equal, or its own SQL
 STREAM_ORACLE = {
+    "sliding_counts_panes": "sliding_counts",
+    "flash_sale_panes": _LATCHED,
+    "pane_state_rows": """
+        SELECT date_trunc('hour', event_time) AS pane_start, product_id,
+               COUNT(*) FILTER (WHERE event_type = 'view') AS view_count,
+               COUNT(*) FILTER (WHERE event_type = 'add_to_cart') AS cart_count,
+               COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchase_count, MAX(event_time) AS latest
+        FROM ev GROUP BY 1, 2
+        HAVING date_trunc('hour', ANY_VALUE(event_time)) + INTERVAL 6 HOUR > (SELECT MAX(event_time) - INTERVAL 2 MINUTE FROM ev)""",
     "window_state_rows": """
         SELECT window_start, window_end, product_id, view_count, cart_count, purchase_count FROM agg
         WHERE window_end > (SELECT MAX(event_time) - INTERVAL 2 MINUTE FROM ev)""",

@@ -48,6 +48,10 @@ def write_slice(df: DataFrame, table_path: str, batch_id: int, partition_by=())
     writer.parquet(slice_path(table_path, batch_id))
 
 
+def drop_slice(spark: SparkSession, table_path: str, batch_id: int) -> None:
+    _drop_folder(spark, slice_path(table_path, batch_id))
+
+
 def read_log(spark: SparkSession, table_path: str, schema=None) -> DataFrame | None:
     """All slices with their ``batch_id``; None (or an empty frame of ``schema``) when there are none."""
     try:

@@ -36,7 +36,7 @@ from cartwheel.session import checkpoint_root
 from cartwheel.sinks import keyed, zones
 from cartwheel.sources.tables import (as_timestamp, dates_between, folder_names, in_closed_range, nothing_stored,
                                       read_events_range)
-from cartwheel.streaming import progress
+from cartwheel.streaming import panes, progress
 
 
 @dataclass(frozen=True)
@@ -62,6 +62,10 @@ class JobPaths:
     def alerts(self) -> str:
         return f"{self.root}/flash_sale_alerts"
 
+    @property
+    def panes(self) -> str:
+        return f"{self.checkpoint('aggregates')}-open-panes"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints{'-' + self.run if self.run else ''}/{name}"
 
@@ -249,6 +253,7 @@ def start(
     unique_by: str = "state",
     unique_within: str | None = None,
     run: str = "",
+    shared_panes: bool = False,
 ):
     """Start the queries over a streaming DataFrame of records with a ``value`` column.
 
@@ -270,7 +275,9 @@ def start(
     checkpoints of its own (a replay): its slices follow those that are there. ``input_partitions`` spreads the
     records of a source with few partitions (one file per micro-batch, a small topic)
     round-robin over that many tasks before the JSON decode; for Kafka prefer the
-    source's ``minPartitions`` (``kafka.read_stream``).
+    source's ``minPartitions`` (``kafka.read_stream``). ``shared_panes`` keeps one state row per product and slide
+    in place of ``window/slide`` and makes the windows when they are written (see ``panes``): the same windows; choose it
+    before the first start, since the two states differ.
     """
     checkpoint_root(spark)
     paths = JobPaths(out_root, run)
@@ -284,6 +291,8 @@ def start(
 
     if unique_by not in ("state", "probe"):
         raise ValueError(f"unique_by must be 'state' or 'probe', not {unique_by!r}")
+    if shared_panes and dedup_within_watermark:
+        raise ValueError("shared_panes keep a longer watermark than dedup_within_watermark promises")
     by_state = unique_by == "state" and not (strict_keys or probe_time_span)
     # the raw query computes a batch once, so what passes it is counted there
     seen = progress.watched(decoded)
@@ -321,10 +330,16 @@ def start(
             .dropDuplicatesWithinWatermark(["event_id"])
         )
         watermark = None  # already set upstream
-    windows = sliding_counts(window_input, settings.window, settings.slide, watermark=watermark)
+    window_writer = aggregate_batch_writer(spark, paths, settings, agg_first)
+    if shared_panes:
+        windows = panes.pane_counts(window_input, settings.window, settings.slide, settings.watermark)
+        window_writer = panes.batch_writer(spark, paths.panes, settings.window, settings.slide, settings.watermark,
+                                           window_writer)
+    else:
+        windows = sliding_counts(window_input, settings.window, settings.slide, watermark=watermark)
     agg_query = (
         windows.writeStream.outputMode("update")
-        .foreachBatch(aggregate_batch_writer(spark, paths, settings, agg_first))
+        .foreachBatch(window_writer)
         .option("checkpointLocation", paths.checkpoint("aggregates"))
         .trigger(**agg_trig)
         .queryName("window_aggregates")

@@ -27,3 +27,11 @@ def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
         F.col("key.window.start").alias("window_start"), F.col("key.window.end").alias("window_end"),
         F.col("key.product_id").alias("product_id"), counts.alias("counts")).select(
             "window_start", "window_end", "product_id", "counts.*")
+
+
+def open_panes(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The panes in the state of a job with shared panes: those of which the watermark has not passed every window."""
+    counts = F.col("value").cast("struct<view_count:bigint,cart_count:bigint,purchase_count:bigint,latest:timestamp>")
+    return state_rows(spark, checkpoint).select(
+        F.col("key.window.start").alias("pane_start"), F.col("key.product_id").alias("product_id"),
+        counts.alias("counts")).select("pane_start", "product_id", "counts.*")
