@@ -22,28 +22,40 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length(F.col("text").cast("string")).cast(kind))
 
 
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+#: Rows in a column batch of the Parquet reader and bytes in a row group of the writer: whole texts are long,
+#: and what reader and writer hold stays in the executors' heaps beside the Python workers of every stage.
+READER_ROWS, ROW_GROUP = 512, 16 << 20
+
+
+def _bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
+    spark.conf.set("parquet.block.size", str(ROW_GROUP))
     storage.ship_package(spark)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     net = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), usable=fold(3) != 1)
     return toxicity.keep_clean(docs, net, threshold=0.7)
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     return _counted(line_dedup.dedup(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    storage.ship_package(spark)
+    _bounded(spark)
     return simhash.keep_one(docs, shingle=3, max_bits=2)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    storage.ship_package(spark)
+    _bounded(spark)
     return _counted(decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    storage.ship_package(spark)
+    _bounded(spark)
     parts = packing.pieces(docs, TOKENIZER, capacity=1024, end_id=2, content="crc32")
     return packing.pack(parts, capacity=1024)
 
