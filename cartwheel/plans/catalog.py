@@ -22,7 +22,7 @@ from cartwheel.plans import tables as TB
 from cartwheel.schemas import KEYS, RAW_COLUMNS, WIDE_RAW_EXTRA
 from cartwheel.session import scratch_path
 from cartwheel.sinks import keyed, reports
-from cartwheel.sources import kafka
+from cartwheel.sources import kafka, topic_log
 from cartwheel.sources.adapter import wire_from_events
 from cartwheel.streaming import job
 
@@ -85,6 +85,30 @@ def q_topic_first_n(spark, sf_dir):
     return decode.decode_events(first).select("offset", "event_id", "product_id", "event_type")
 
 
+def _topic_log(spark, sf_dir):
+    """The whole topic in three partitions, delivered in two slices; its path and schema."""
+    path = scratch_path(spark, "topic")
+    records = wire_from_events(TB.events_table(spark, sf_dir)).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    middle = F.col("timestamp") < F.lit(P.AS_OF).cast("timestamp")
+    for batch, part in enumerate((middle, ~middle)):
+        topic_log.write(records.where(part), path, batch, rows_per_file=5000, parts=6)
+    return path, records.schema
+
+
+def q_topic_log_first_n(spark, sf_dir):
+    """The first messages of a stored topic; only the leading file is opened."""
+    path, schema = _topic_log(spark, sf_dir)
+    first = topic_log.first_messages(spark, path, schema, 5)
+    return decode.decode_events(first).select("partition", "offset", "event_id", "product_id", "event_type")
+
+
+def q_topic_log_replay(spark, sf_dir):
+    """A bounded replay by partition offsets; files without such offsets are not opened."""
+    path, schema = _topic_log(spark, sf_dir)
+    rows = topic_log.read_replay(spark, path, schema, starting={0: 300, 1: 500}, ending={1: 900, 2: 600})
+    return decode.decode_events(rows).select("partition", "offset", "event_id", "product_id", "event_type")
+
+
 def q_raw_wide(spark, sf_dir):
     valid, _ = decode.validate(_decoded_wire(spark, sf_dir))
     return valid.select(*RAW_COLUMNS, *WIDE_RAW_EXTRA)
@@ -221,6 +245,26 @@ def q_conversion_csv_file(spark, sf_dir):
     return _numbered(spark.read.option("header", True).schema(schema).csv(path)).select(*rows.columns)
 
 
+def q_conversion_csv_parts(spark, sf_dir):
+    """K6, L2: the CSV rows of all dates from several files a date after two runs, numbered in file order."""
+    conversion = TB.conversion(spark, sf_dir)
+    path = _written_in_two_runs(spark, conversion, lambda rows, at: reports.write_csv_parts(rows, at, rows_per_file=8),
+                                "conversion-csv-parts")
+    schema = "category string, product_id string, total_views long, total_purchases long, conversion_rate string"
+    return reports.read_csv_parts(spark, path, schema).select("report_date", "line_no", *C.CSV_HEADER)
+
+
+def q_conversion_job(spark, sf_dir):
+    """The conversion job back-fills every day; the lines of both its files read back."""
+    out = scratch_path(spark, "conversion-job")
+    jobs.conversion_report(spark, TB.raw_events(spark, sf_dir), out, P.START, P.END, backfill=True)
+    rows = _numbered(spark.read.option("header", True).schema(", ".join(f"{c} string" for c in C.CSV_HEADER)).csv(
+        f"{out}/conversion_rates"))
+    text = _numbered(spark.read.text(f"{out}/category_conversion_summary"))
+    return (rows.select(F.lit("csv").alias("file"), "report_date", "line_no", F.concat_ws(",", *C.CSV_HEADER).alias("line"))
+            .unionAll(text.select(F.lit("summary"), "report_date", "line_no", "value")))
+
+
 def _offset_events(spark, sf_dir):
     """The scheduled interval that starts at six in the morning of the dashboard's day."""
     start = dt.datetime.fromisoformat(P.AS_OF) + dt.timedelta(hours=6)
@@ -334,6 +378,8 @@ BATCH_QUERIES = {
     "quarantine": q_quarantine,
     "json_roundtrip": q_json_roundtrip,
     "topic_first_n": q_topic_first_n,
+    "topic_log_first_n": q_topic_log_first_n,
+    "topic_log_replay": q_topic_log_replay,
     "raw_wide": q_raw_wide,
     "quality_duplicates": q_quality_duplicates,
     "rate_overflow": q_rate_overflow,
@@ -356,6 +402,8 @@ BATCH_QUERIES = {
     "top_products_file": q_top_products_file,
     "conversion_csv_file": q_conversion_csv_file,
     "category_summary_file": q_category_summary_file,
+    "conversion_csv_parts": q_conversion_csv_parts,
+    "conversion_job": q_conversion_job,
     "report_offset_interval": q_report_offset_interval,
     "segments_offset_interval": q_segments_offset_interval,
     "default_stamps": q_default_stamps,

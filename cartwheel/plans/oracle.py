@@ -313,10 +313,24 @@ SQL = {
 }
 
 
+SQL["topic_log_first_n"] = """
+    SELECT CAST(uid % 3 AS INTEGER) AS "partition", uid AS "offset", event_id, product_id, event_type
+    FROM ev ORDER BY 1, 2 LIMIT 5"""
+SQL["topic_log_replay"] = """
+    SELECT CAST(uid % 3 AS INTEGER) AS "partition", uid AS "offset", event_id, product_id, event_type FROM ev
+    WHERE CASE uid % 3 WHEN 0 THEN uid >= 300 WHEN 1 THEN uid >= 500 AND uid < 900 ELSE uid < 600 END"""
+
+SQL["conversion_job"] = f"""
+    SELECT 'csv' AS file, report_date, line_no, category || ',' || product_id || ',' || CAST(total_views AS VARCHAR)
+           || ',' || CAST(total_purchases AS VARCHAR) || ',' || conversion_rate AS line
+    FROM ({SQL['conversion_csv']})
+    UNION ALL SELECT 'summary', report_date, line_no, line FROM ({SQL['category_summary_text']})"""
+
 # queries that read files and logs back -> the query whose SQL they must equal
 READ_BACK = {
     "top_products_file": "top_products_text",
     "conversion_csv_file": "conversion_csv",
+    "conversion_csv_parts": "conversion_csv",
     "category_summary_file": "category_summary_text",
     "flash_sale_audit": "flash_sale",
 }

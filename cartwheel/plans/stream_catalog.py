@@ -22,6 +22,7 @@ from cartwheel.plans import tables as TB
 from cartwheel.schemas import KEYS, RAW_COLUMNS
 from cartwheel.session import scratch_path
 from cartwheel.sinks import keyed, partitions
+from cartwheel.sources import kafka
 from cartwheel.sources.adapter import wire_from_events
 from cartwheel.sources.tables import read_events_range, report_rows
 from cartwheel.streaming import job, progress, replay, state
@@ -288,6 +289,31 @@ def q_failing_query_stops_all(spark, sf_dir):
     return spark.createDataFrame(seen.ended, "query_name string, outcome string, error_class string")
 
 
+def q_json_stream_roundtrip(spark, sf_dir):
+    """The events as a stream into JSON files, with a restart between two deliveries and one after the commit of
+    the second batch was lost, so that it runs again; every event is there once, with its types."""
+    root = scratch_path(spark, "json-stream")
+    events = TB.decoded(spark, sf_dir)
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    events.withColumn("half", half).write.partitionBy("half").parquet(f"{root}/staged")
+    schema = events.schema
+    checkpoint = f"{root}/checkpoint"
+
+    def run():
+        stream = replay.read_slices(spark, f"{root}/source", schema, files_per_trigger=None)
+        query = kafka.write_json_files(stream, f"{root}/json", checkpoint, {"availableNow": True})
+        query.awaitTermination()
+
+    for part in range(2):
+        spark.read.schema(schema).parquet(f"{root}/staged/half={part}").write.parquet(f"{root}/source/part={part:05d}")
+        run()
+    lost = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/1")
+    if not lost.getFileSystem(spark._jsc.hadoopConfiguration()).delete(lost, False):
+        raise AssertionError("the second batch has no commit")
+    run()
+    return kafka.read_json_files(spark, f"{root}/json", schema)
+
+
 def _copies(spark, sf_dir) -> DataFrame:
     """Every record three times with its own content: ``batch, value, partition, offset``. The second copy comes in the same
     batch, before the first or after it; the third in the next batch, with the least offset of all."""
@@ -354,6 +380,7 @@ def q_rerun_after_crash(spark, sf_dir):
 
 
 STREAM_QUERIES = {
+    "json_stream_roundtrip": q_json_stream_roundtrip,
     "sliding_counts_panes": q_sliding_counts_panes,
     "flash_sale_panes": q_flash_sale_panes,
     "pane_state_rows": q_pane_state_rows,
@@ -420,6 +447,7 @@ FROM ({_PASSES}), (SELECT unnest(['raw_events', 'window_aggregates']) AS query_n
 
 # query name -> key of the batch SQL it must equal, or its own SQL
 STREAM_ORACLE = {
+    "json_stream_roundtrip": "json_roundtrip",
     "sliding_counts_panes": "sliding_counts",
     "flash_sale_panes": _LATCHED,
     "pane_state_rows": """

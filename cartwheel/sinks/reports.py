@@ -123,6 +123,46 @@ def write_csv(rows: DataFrame, path: str) -> None:
     )
 
 
+def write_csv_parts(conversion: DataFrame, path: str, rows_per_file: int = 1_000_000, parts: int | None = None) -> None:
+    """The CSV rows of each date in several files whose names sort in report order (K6, L2); other dates stay.
+
+    Rows are range-partitioned by (date, report order), so a large date spreads over tasks and none numbers or
+    sorts it whole; a task cuts its range into files of ``rows_per_file``. ``parts`` is the number of ranges (by
+    default ``spark.sql.shuffle.partitions``). Every file has the header.
+    """
+    order = [F.asc("report_date"), *conversion_order()]
+    parts = parts or int(conversion.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        conversion.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("conversion_rate", fixed4_text(F.col("conversion_rate")))
+        .select("report_date", *C.CSV_HEADER)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", int(rows_per_file))
+        .option("header", True)
+        .partitionBy("report_date")
+        .csv(path)
+    )
+
+
+def read_csv_parts(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of :func:`write_csv_parts` with ``file`` and ``line_no``, their place in the date's files in order.
+
+    Lines are numbered within a file and moved by the rows of the files before it, so no task holds a date.
+    """
+    place = ["report_date", "file"]
+    rows = spark.read.option("header", True).schema(schema).csv(path).select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"))
+    nth = F.row_number().over(Window.partitionBy(*place).orderBy("_block", "_at"))
+    ahead = Window.partitionBy("report_date").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    bases = rows.groupBy(*place).agg(F.count("*").alias("_n")).select(
+        *place, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_base"))
+    return (rows.withColumn("_nth", nth).join(bases, place)
+            .withColumn("line_no", (F.col("_base") + F.col("_nth")).cast("int")).drop("_nth", "_base", "_block", "_at"))
+
+
 def show_candidates(df: DataFrame, n: int = 20) -> bool:
     """Console sink (K9): print up to ``n`` rows untruncated, or a note when there are none.
 

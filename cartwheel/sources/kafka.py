@@ -63,6 +63,19 @@ def from_json_records(records: DataFrame, schema) -> DataFrame:
         .select("e.*")
 
 
+def write_json_files(events: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None):
+    """A stream as JSON files of Structured Streaming's file sink (K10): its commit log in the folder names the files of
+    each micro-batch once, so a batch that is run again after a restart adds nothing."""
+    return (events.writeStream.format("json").options(**JSON_OPTIONS)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"}))
+            .outputMode("append").start(folder))
+
+
+def read_json_files(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The typed rows of the committed files; files that a lost attempt left are not in the commit log."""
+    return spark.read.schema(schema).options(**JSON_OPTIONS).json(folder)
+
+
 def write_batch(events: DataFrame, settings: KafkaSettings, key_column: str | None = None) -> None:
     to_json_records(events, key_column).write.format("kafka").options(**settings.sink_options()).save()
 
