@@ -24,20 +24,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm import storage
-from cartwheel.llm.tokens import encoder
+from cartwheel.llm.tokens import TABLE_BYTES, encoder
 
 BATCH = 2048
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",
-           text_col: str = "text", content: str = "ids") -> DataFrame:
+           text_col: str = "text", content: str = "ids", table_bytes: int = TABLE_BYTES) -> DataFrame:
     """Pieces of every document: ``doc_id, piece, start, length`` and ``ids`` (array), or ``ids_crc32`` of the
-    ids as little-endian unsigned 32-bit integers by ``content='crc32'``."""
+    ids as little-endian unsigned 32-bit integers by ``content='crc32'``. ``table_bytes`` bounds a worker's table of
+    encoded chunks."""
     last, kind = ("ids", "array<int>") if content == "ids" else ("ids_crc32", "bigint")
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches):
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, table_bytes)
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)

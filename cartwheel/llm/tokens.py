@@ -180,6 +180,9 @@ class ChunkEncoder:
         return np.frombuffer(self.encode(text), dtype=self.dtype)
 
 
-def encoder(tokenizer_path: str) -> ChunkEncoder:
+TABLE_BYTES = 64 << 20
+
+
+def encoder(tokenizer_path: str, table_bytes: int = TABLE_BYTES) -> ChunkEncoder:
     """One encoder per worker process, so its tables outlive a task."""
-    return storage.held(tokenizer_path, lambda: ChunkEncoder(tokenizer_path))
+    return storage.held((tokenizer_path, table_bytes), lambda: ChunkEncoder(tokenizer_path, table_bytes))
