@@ -25,12 +25,15 @@ def _counted(docs: DataFrame) -> DataFrame:
 #: Rows in a column batch of the Parquet reader and bytes in a row group of the writer: whole texts are long,
 #: and what reader and writer hold stays in the executors' heaps beside the Python workers of every stage.
 READER_ROWS, ROW_GROUP = 512, 16 << 20
+#: Bytes of an Arrow batch and of a worker's table of encoded chunks: short tasks leave more workers alive than cores.
+ARROW_BYTES, TABLE_BYTES = 4 << 20, 24 << 20
 
 
 def _bounded(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
     spark.conf.set("parquet.block.size", str(ROW_GROUP))
     storage.ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +59,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _bounded(spark)
-    parts = packing.pieces(docs, TOKENIZER, capacity=1024, end_id=2, content="crc32")
+    parts = packing.pieces(docs, TOKENIZER, capacity=1024, end_id=2, content="crc32", table_bytes=TABLE_BYTES)
     return packing.pack(parts, capacity=1024)
 
 
