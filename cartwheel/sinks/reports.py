@@ -159,7 +159,8 @@ def read_csv_parts(spark: SparkSession, path: str, schema) -> DataFrame:
     ahead = Window.partitionBy("report_date").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = rows.groupBy(*place).agg(F.count("*").alias("_n")).select(
         *place, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_base"))
-    return (rows.withColumn("_nth", nth).join(bases, place)
+    # the rows are dealt by date and file for their numbers already, so the merge join moves the counts alone
+    return (rows.withColumn("_nth", nth).join(bases.hint("merge"), place)
             .withColumn("line_no", (F.col("_base") + F.col("_nth")).cast("int")).drop("_nth", "_base", "_block", "_at"))
 
 
