@@ -92,6 +92,11 @@ def test_one_state_row_a_pane(spark, scratch):
     assert set(found.values()) == {(2, 0, 0)} and len(found) == 5
 
 
+def test_no_window_alerts(spark, scratch):
+    paths, _ = run(spark, scratch, [[at(5)]])
+    assert keyed.current(spark, paths.alerts, KEYS["flash_sale_alerts"]).count() == 0
+
+
 def test_restart_of_a_batch_reads_the_same_panes(spark, scratch, monkeypatch):
     batches = [[at(0), at(100)], [at(130), at(90, name="late")], [at(700)]]
     commit, failures = keyed.commit_batch, []

@@ -82,3 +82,19 @@ def test_spread_only_for_inputs_with_few_splits(spark):
     many = spark.range(0, 1000, numPartitions=6)
     assert spread_small_input(many, slots=4) is many  # enough splits: no shuffle added
     assert sorted(r.event_id for r in spread.collect()) == sorted(r.event_id for r in one.collect())
+
+
+def test_panels_of_tables_without_alerts(spark, scratch):
+    """Events of which no window is a flash sale: the panels and table checks show no alert and do not fail."""
+    rows = [(n, f"2024-01-{n + 1:02d} 10:00:00", n % 3, "purchase", 1.0, '{"k": 4}') for n in range(14)]
+    spark.createDataFrame(rows, "event_id long, at string, user_id long, event_type string, value double, props string").selectExpr(
+        "event_id", "cast(at AS timestamp_ntz) AS ts", "user_id", "event_type", "value", "props").write.parquet(
+            f"{scratch}/events.parquet")
+    found = C.all_queries()
+    run = lambda name: found[name](spark, scratch).collect()
+    assert [r.alert_count for r in run("panel_alert_count")] == [0]
+    assert run("panel_alert_log") == [] and run("panel_alert_annotations") == []
+    assert {r.panel: r.rows for r in run("panel_display_names")}["alert_log"] == 0
+    counts = {r.table_name: r.row_count for r in run("table_counts")}
+    assert counts["flash_sale_alerts"] == 0 and counts["clickstream_events"] == 14
+    assert {r.table_name: r.row_count for r in run("quality_duplicates")}["flash_sale_alerts"] == 0

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.sinks import keyed, partitions
@@ -230,3 +231,22 @@ def test_rerun_of_the_last_batch_after_compaction_loses_nothing(spark, scratch):
     keyed.write_log_rows(_raw(spark, [("e9", "u1", "P1", None, "view", ts("2024-01-15 11:00:00"))]), scratch, 3, ("event_date",))
     keyed.compact_dates(spark, scratch, "event_date", [day])
     assert sorted(r.event_id for r in keyed.union_of_slices(spark, scratch).collect()) == ["e0", "e1", "e2", "e9"]
+
+
+def test_table_of_empty_batches_reads_as_no_rows(spark, scratch):
+    """A log whose batches had no rows has no file; it still is a table with its columns (alerts of quiet windows)."""
+    from cartwheel.sinks import zones
+
+    keys, table = ["product_id", "window_start"], f"{scratch}/alerts"
+    rows = spark.createDataFrame([], "product_id string, view_count long, window_start timestamp_ntz, created_at timestamp_ntz, "
+                                     "window_date date")
+    with pytest.raises(FileNotFoundError):
+        keyed.current(spark, table, keys)
+    for batch in range(2):
+        keyed.upsert(rows, table, batch, partition_by=(keyed.WINDOW_DATE,))
+        zones.record(spark, table, batch, keyed.WINDOW_DATE, "created_at")
+        found = keyed.current(spark, table, keys)
+        assert found.count() == 0 and set(found.dtypes) == set(rows.drop("window_date").dtypes)
+        assert keyed.union_of_slices(spark, table).count() == 0
+        assert keyed.current(spark, table, keys, dates=["2024-01-01"]).count() == 0
+        assert zones.current_in_range(spark, table, keys, "created_at", "2024-01-01", "2024-02-01").count() == 0
