@@ -193,3 +193,32 @@ def test_progress_listener_and_graceful_stop(spark, capsys):
         spark.streams.removeListener(log)
     assert len(log.recent) == 3  # bounded
     assert "[progress] rate_probe batch=" in capsys.readouterr().out
+
+
+def test_state_partitions_are_bounded_whatever_the_session_has(spark, scratch):
+    """The state has at most the asked partitions, in RocksDB, and the session's own settings stay."""
+    from cartwheel.streaming import state
+
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", store)}
+    wire(spark, BATCHES[0]).coalesce(1).write.parquet(f"{scratch}/source/part=00000")
+    stream = replay.read_slices(spark, f"{scratch}/source", WIRE_SCHEMA)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.unset(store)
+    try:
+        started = job.start(spark, stream, f"{scratch}/out", trigger={"availableNow": True}, state_partitions=5,
+                            window_partitions=3)
+        job.await_all(started)
+        assert (spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get(store, "")) == ("9", "")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    found = {n: state.state_operators(spark, started["paths"].checkpoint(n)).first().numPartitions
+             for n in ("raw_events", "aggregates")}
+    assert found == {"raw_events": 5, "aggregates": 3}
+    offsets = spark.read.text(f"{started['paths'].checkpoint('raw_events')}/offsets/0", wholetext=True).first()[0]
+    assert job.ROCKSDB in offsets
+    # an id's state keeps the columns that the table stores
+    value = state.state_rows(spark, started["paths"].checkpoint("raw_events")).schema["value"].dataType.simpleString()
+    assert "user_id" in value and "session_id" not in value and "referrer" not in value
+    assert keyed.union_of_slices(spark, started["paths"].raw).count() == 2
